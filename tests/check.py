@@ -17,6 +17,7 @@ names = sys.argv[2:]
 spark = (
     SparkSession.builder.master("local[8]")
     .config("spark.ui.enabled", "false")
+    .config("spark.ui.showConsoleProgress", "false")
     .config("spark.sql.shuffle.partitions", "8")
     .config("spark.driver.memory", "8g")
     .getOrCreate()

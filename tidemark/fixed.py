@@ -31,6 +31,9 @@ SECRET_PATTERNS = (
     ("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     ("hex", r"[0-9a-fA-F]{32,}"),
 )
+SECRET_MARKS = (
+    "sk-", "pa-", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "AKIA", "ASIA", "eyJ",
+)
 REDACTED = "[REDACTED]"
 
 # --- Fixed values: retrieval ------------------------------------------------

@@ -2,29 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 
-# Unicode white space plus the four separator controls that str.strip() removes.
-_SPACE = r"[\s\x1c-\x1f]"
-# The look-behind starts a trailing match only where a run begins: linear on long runs.
-_STRIP = rf"(?U)\A{_SPACE}+|(?<!{_SPACE}){_SPACE}++\z"
+# The characters that str.strip() removes.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
-_FIRST_LINE = rf"(?U)\A{_SPACE}*+([^{_LINE_END}]*)"
+_FIRST_LINE = rf"\A[^{_LINE_END}]*"
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
 SECRETS = "|".join(pattern for _, pattern in fixed.SECRET_PATTERNS)
+_LONG_HEX = dict(fixed.SECRET_PATTERNS)["hex"]
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any script."""
-    return F.regexp_replace(text, _STRIP, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def first_line(text: Column) -> Column:
     """First line that is not blank, without its indent; '' when there is none."""
-    return F.regexp_extract(text, _FIRST_LINE, 1)
+    return F.regexp_extract(F.ltrim(text, F.lit(WHITE_SPACE)), _FIRST_LINE, 0)
 
 
 def blank_to_null(text: Column) -> Column:
@@ -53,8 +59,16 @@ def render_turn(user: Column, assistant: Column) -> Column:
 
 
 def redact(text: Column, marker: str = fixed.REDACTED) -> Column:
-    """Replace every secret-shaped run; all shapes are tried in one pass."""
-    return F.regexp_replace(text, SECRETS, marker)
+    """Replace every secret-shaped run in one pass.
+
+    Every shape but the bare hex run starts with a fixed mark, and looking for
+    the marks is far cheaper than trying all shapes at every position. Texts
+    without a mark are searched for hex runs only.
+    """
+    marked = reduce(or_, (F.contains(text, F.lit(mark)) for mark in fixed.SECRET_MARKS))
+    return F.when(marked, F.regexp_replace(text, SECRETS, marker)).otherwise(
+        F.regexp_replace(text, _LONG_HEX, marker)
+    )
 
 
 def redaction_hits(text: Column, redacted: Column) -> Column:

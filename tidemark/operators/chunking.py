@@ -67,8 +67,10 @@ def chunk_documents(
 ) -> DataFrame:
     """One row per chunk: the kept columns, ``chunk_index``, ``text``, ``token_count``."""
     pieces = with_pieces(sources.select(*dict.fromkeys([*keep, text])), text, **sizes)
-    rows = pieces.select(*keep, F.posexplode("pieces").alias("chunk_index", "piece"))
-    return rows.select(
+    # The outer form, because Spark would turn the inner one into a filter on
+    # the size of the array and compute all windows a second time for it.
+    rows = pieces.select(*keep, F.posexplode_outer("pieces").alias("chunk_index", "piece"))
+    return rows.filter(F.col("piece").isNotNull()).select(
         *keep,
         F.col("chunk_index").cast("int").alias("chunk_index"),
         F.col("piece").alias("text"),
@@ -164,8 +166,8 @@ def chunk_turns(
         pieces.drop("rendered"), keys, bucket, order, "n_pieces", "base"
     )
     return placed.select(
-        *keys, "turn_id", "ts", "is_long", "base", F.posexplode("pieces").alias("sub", "text")
-    ).select(
+        *keys, "turn_id", "ts", "is_long", "base", F.posexplode_outer("pieces").alias("sub", "text")
+    ).filter(F.col("text").isNotNull()).select(
         *keys,
         (F.col("base") + F.col("sub")).cast("int").alias("chunk_index"),
         "turn_id",

@@ -59,21 +59,25 @@ def with_sources(hits: DataFrame, chunks: DataFrame, sources: DataFrame) -> Data
 def search(
     spark: SparkSession,
     chunks: DataFrame,
-    index: DataFrame,
     sources: DataFrame,
     query: str,
     query_vector: Sequence[float] | None,
     limit: int = 10,
     kind: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Hybrid top-``limit`` chunks; lexical only when there is no query vector.
 
+    ``index`` holds stored postings; without it the texts are scanned.
+
     The lists are cut to twice the limit before fusion, so everything after
     the two top-k steps handles at most 200 rows. Texts join in at the end.
     """
     limit = max(1, min(limit, fixed.SEARCH_LIMIT_MAX))
     fetch = limit * fixed.OVERFETCH
     terms = lexical.query_terms(spark, query)
+    if index is None:
+        index = lexical.scan(chunks, terms, ["chunk_id", "source_id"])
     lists = []
     if query_vector is not None:
         lists.append(ranked(vector.vector_topk(chunks, query_vector, fetch, sources, kind)))
@@ -84,14 +88,16 @@ def search(
 
 def search_batch(
     chunks: DataFrame,
-    index: DataFrame,
     queries: DataFrame,
     k: int = 3,
     key: str = "query_id",
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Hybrid top-k for every row of ``queries`` (``key, query, embedding``)."""
     fetch = k * fixed.OVERFETCH
     terms = lexical.query_term_rows(queries, key)
+    if index is None:
+        index = lexical.scan(chunks, terms)
     # Terms join on equality; scores are summed per (query, chunk) before the
     # shuffle, and the rank limit is applied in every task before the window.
     matched = index.join(terms, "term").groupBy(key, "chunk_id")

@@ -35,11 +35,65 @@ def postings(chunks: DataFrame, keep: Sequence[str] = ("chunk_id",), text: str =
     return (
         chunks.select(*keep, F.sort_array(tx.words(F.col(text))).alias("_words"))
         .withColumn("_starts", starts)
-        .select(*keep, size.alias("n_words"), F.explode(runs).alias("_run"))
+        .select(*keep, size.alias("n_words"), F.explode_outer(runs).alias("_run"))
+        .filter(F.col("_run").isNotNull())
         .select(*keep, "_run.term", "_run.tf", "n_words")
     )
 
 
+def scan(
+    chunks: DataFrame,
+    terms: Sequence[str] | DataFrame,
+    keep: Sequence[str] = ("chunk_id",),
+    text: str = "text",
+) -> DataFrame:
+    """The postings of some terms only, straight from the texts.
+
+    For chunks without a stored index. Words are dropped before they are
+    counted, so only matches reach the shuffle. ``terms`` is a list, or a
+    table with a ``term`` column for a batch of queries.
+    """
+    split = chunks.select(*keep, tx.words(F.col(text)).alias("_words"))
+    rows = split.select(
+        *keep, F.size("_words").alias("n_words"), F.explode_outer("_words").alias("term")
+    )
+    if isinstance(terms, DataFrame):
+        rows = rows.join(terms.select("term").distinct(), "term", "left_semi")
+    else:
+        rows = rows.filter(F.col("term").isin(list(terms)))
+    return rows.groupBy(*keep, "n_words", "term").agg(F.count("*").cast("int").alias("tf"))
+
+
+def write_index(index: DataFrame, path: str, buckets: int = 64, spread: int = 8) -> None:
+    """Store postings by term bucket, sorted by term inside every file.
+
+    A search reads the files of its buckets and, by their min/max statistics,
+    only the row groups of its terms. A frequent word is spread over several
+    tasks and files, so it makes no hot task.
+    """
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(spread))
+    (
+        index.withColumn("term_bucket", bucket)
+        .repartition(F.col("term_bucket"), salt)
+        .sortWithinPartitions("term_bucket", "term")
+        .write.mode("overwrite")
+        .partitionBy("term_bucket")
+        .parquet(path)
+    )
+
+
+def read_index(spark: SparkSession, path: str, terms: Sequence[str], buckets: int = 64) -> DataFrame:
+    """Stored postings of the given terms; other buckets are not opened."""
+    hashed = [F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int") for t in terms]
+    index = spark.read.parquet(path)
+    if not hashed:
+        return index.filter(F.lit(False)).drop("term_bucket")
+    wanted = spark.range(1).select(F.array_distinct(F.array(*hashed)).alias("b")).first().b
+    found = index.filter(F.col("term_bucket").isin(wanted) & F.col("term").isin(list(terms)))
+    return found.drop("term_bucket")
+
+
 def query_terms(spark: SparkSession, query: str) -> list[str]:
     """Distinct words of a query, by the same rule as the postings."""
     kept = F.filter(tx.words(F.lit(query)), lambda w: F.length(w) >= _QUERY_WORD_MIN)
@@ -85,13 +139,10 @@ def lexical_scores(
     return matched.groupBy(*keep).agg(score.alias("score"))
 
 
-def corpus_sizes(index: DataFrame) -> DataFrame:
-    """One row: number of indexed chunks and their mean length in words."""
-    per_chunk = F.col("tf") / F.col("n_words")
-    return index.agg(
-        F.round(F.sum(per_chunk)).cast("bigint").alias("n_chunks"),
-        (F.sum("tf") / F.round(F.sum(per_chunk))).alias("mean_words"),
-    )
+def corpus_sizes(chunks: DataFrame, text: str = "text") -> DataFrame:
+    """One row: number of chunks that have words, and their mean length in words."""
+    lengths = chunks.select(F.size(tx.words(F.col(text))).alias("n")).filter(F.col("n") > 0)
+    return lengths.agg(F.count("*").alias("n_chunks"), F.avg("n").alias("mean_words"))
 
 
 def bm25_scores(

@@ -91,14 +91,17 @@ def vector_ivf_full_probe(spark, sf_dir):
 
 def lexical_topk(spark, sf_dir):
     terms = lexical.query_terms(spark, inputs.query_text(spark, sf_dir))
-    hits = lexical.lexical_topk(inputs.chunk_postings(spark, sf_dir), terms, TOP)
+    index = lexical.scan(inputs.chunks(spark, sf_dir), terms, ["chunk_id", "source_id"])
+    hits = lexical.lexical_topk(index, terms, TOP)
     return hits.select("chunk_id", F.round("score", 6).alias("score"))
 
 
 def lexical_bm25(spark, sf_dir):
-    index = inputs.chunk_postings(spark, sf_dir)
+    chunks = inputs.chunks(spark, sf_dir)
     terms = lexical.query_terms(spark, inputs.query_text(spark, sf_dir))
-    scores = lexical.bm25_scores(index, terms, lexical.corpus_sizes(index))
+    scores = lexical.bm25_scores(
+        lexical.scan(chunks, terms), terms, lexical.corpus_sizes(chunks)
+    )
     return lexical.top(scores, TOP).select("chunk_id", F.round("score", 6).alias("score"))
 
 
@@ -106,7 +109,6 @@ def hybrid_search(spark, sf_dir):
     hits = fusion.search(
         spark,
         inputs.embedded_chunks(spark, sf_dir),
-        inputs.chunk_postings(spark, sf_dir),
         inputs.sources(spark, sf_dir),
         inputs.query_text(spark, sf_dir),
         inputs.query_vector(spark, sf_dir),
@@ -130,8 +132,7 @@ def hybrid_search_json(spark, sf_dir):
 
 def hybrid_batch(spark, sf_dir):
     hits = fusion.search_batch(
-        inputs.chunk_vectors(spark, sf_dir),
-        inputs.chunk_postings(spark, sf_dir),
+        inputs.embedded_chunks(spark, sf_dir),
         inputs.queries(spark, sf_dir),
     )
     return hits.select(
