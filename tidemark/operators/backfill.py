@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,7 +19,6 @@ Embedder = Callable[[Sequence[str], str], "list[list[float]] | None"]
 _WORD = re.compile(r"\w+")
 
 
-@lru_cache(maxsize=200_000)
 def _slot(word: str) -> tuple[int, float]:
     digest = hashlib.md5(word.encode()).hexdigest()
     return int(digest[:4], 16), 1.0 if int(digest[4], 16) < 8 else -1.0
@@ -31,9 +29,12 @@ def hashing_embedder(dim: int = 64) -> Embedder:
 
     def embed(texts: Sequence[str], mode: str) -> list[list[float]]:
         out = np.zeros((len(texts), dim))
+        slots: dict[str, tuple[int, float]] = {}
         for row, text in zip(out, texts):
             for word in _WORD.findall(text.lower()):
-                slot, sign = _slot(word)
+                if word not in slots:
+                    slots[word] = _slot(word)
+                slot, sign = slots[word]
                 row[slot % dim] += sign
         lengths = np.linalg.norm(out, axis=1, keepdims=True)
         return (out / np.where(lengths > 0, lengths, 1.0)).tolist()
