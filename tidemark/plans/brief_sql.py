@@ -185,3 +185,76 @@ ORACLES = {
           '📣 <b>마케팅 읽을거리</b>' || chr(10) || {_ORACLE_BLOCK} AS first_block
         FROM days d""",
 }
+
+
+def message_texts(start: str, key: str) -> str:
+    """Pack and split the blocks of ``start`` (key, head, blocks) row by row."""
+    nl = "chr(10)"
+    return f"""WITH RECURSIVE packing AS (
+      SELECT {key}, 0 AS i, head AS held, NULL::VARCHAR AS done, blocks FROM ({start})
+      UNION ALL
+      SELECT {key}, i + 1, CASE WHEN too_long THEN block ELSE held || {nl} || {nl} || block END,
+             CASE WHEN too_long THEN held END, blocks
+      FROM (SELECT *, blocks[i + 1] AS block, length(held) + length(blocks[i + 1]) + 2 > 3900 AS too_long
+            FROM packing WHERE i < length(blocks))),
+    texts AS (
+      SELECT {key}, i AS m, done AS text FROM packing WHERE done IS NOT NULL
+      UNION ALL SELECT {key}, i + 1, held FROM packing WHERE i = length(blocks)),
+    splitting AS (
+      SELECT {key}, m, 0 AS k, text AS rest, NULL::VARCHAR AS piece FROM texts
+      UNION ALL
+      SELECT {key}, m, k + 1, ltrim(substr(rest, cut + 1), {nl}), left(rest, cut)
+      FROM (SELECT *, CASE WHEN length(rest) <= 3900 THEN length(rest) WHEN back BETWEEN 1 AND 3899 THEN 3900 - back
+                           ELSE 3900 END AS cut
+            FROM (SELECT *, strpos(reverse(left(rest, 3900)), {nl}) AS back FROM splitting WHERE rest <> '')))
+    SELECT {key}, (row_number() OVER (PARTITION BY {key} ORDER BY m, k) - 1)::INT AS position, piece AS message
+    FROM splitting WHERE piece IS NOT NULL"""
+
+
+ORACLES["document_messages"] = message_texts(
+    "SELECT doc_id, 'Document' AS head, string_split(text, chr(10)) AS blocks FROM documents", "doc_id"
+)
+
+
+def _link(url: str, text: str) -> str:
+    return f"""'<a href="' || {esc(url)} || '">' || {esc(text)} || '</a>'"""
+
+
+def _ranked(rows: str, by: str, order: str, value: str) -> str:
+    """Lines of a ranked section; ``rank`` is the place within the day."""
+    same = "strftime(d.run_date, '%Y-%m-%d')" if rows == "day_topics" else "d.run_date"
+    return f"""(SELECT string_agg({value}, chr(10) ORDER BY rank) FROM (
+      SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM {rows} WHERE {rows}.run_date = {same}))"""
+
+
+_CHIP = "CASE dir WHEN 'up' THEN '▲' ELSE '▼' END || name || ' ' || CASE WHEN pct >= 0 THEN '+' ELSE '' END || pct || '%'"
+_BLOCK_LINES = {
+    "📣 <b>마케팅 읽을거리</b>": f"nullif({_ORACLE_BLOCK}, '')",
+    "📊 <b>세그먼트별 관심사 추이</b>": """CASE WHEN d.run_date = DATE '2024-12-31' THEN
+        (SELECT string_agg('<b>' || segment || '</b>' || chr(10) || coalesce(chips, ''), chr(10) ORDER BY segment) FROM chips) END""",
+    "🔥 <b>오늘 한국 실시간 검색</b>": _ranked(
+        "day_searches", "run_date", "feed_pos", f"'• ' || {esc('title')} || ' <i>(' || traffic || ')</i>'"
+    ),
+    "🚀 <b>Products</b>": _ranked(
+        "day_products", "run_date", "feed_pos",
+        f"'<b>' || rank || '.</b> ' || {_link('url', 'name')} || CASE WHEN tagline <> '' THEN ' — ' || {esc('tagline')} ELSE '' END",
+    ),
+    "📰 <b>Topics</b>": _ranked(
+        "day_topics", "run_date", "points DESC, doc_id",
+        f"'<b>' || rank || '.</b> ' || {_link('url', 'title')} || '  👍' || points || chr(10) || '<i>' || {esc('about')} || '</i>'",
+    ),
+    "🐙 <b>Repositories</b>": _ranked(
+        "day_repos", "run_date", "stars_today DESC, p_partkey",
+        f"'<b>' || rank || '.</b> ' || {_link(chr(39) + 'https://github.com/' + chr(39) + ' || repo', 'repo')} || '  ⭐+' || stars_today || chr(10) || '<i>' || {esc('description')} || '</i>'",
+    ),
+}
+_ALL_BLOCKS = ", ".join(f"'{heading}' || chr(10) || {lines}" for heading, lines in _BLOCK_LINES.items())
+_DAY_BLOCKS = f"""WITH {SECTIONS},
+  places AS (SELECT *, row_number() OVER (PARTITION BY segment, dir ORDER BY pct DESC, name) AS rising,
+               row_number() OVER (PARTITION BY segment, dir ORDER BY pct, name DESC) AS falling FROM changes),
+  chips AS (SELECT segment, string_agg({_CHIP}, '  ' ORDER BY dir DESC, pct DESC, name)
+              FILTER ((dir = 'up' AND rising <= 3) OR (dir = 'down' AND falling <= 2)) AS chips
+            FROM places GROUP BY segment)
+  SELECT {_DATE}, '🌅 <b>Daily brief ' || strftime(d.run_date, '%Y-%m-%d') || '</b>' AS head,
+         list_filter([{_ALL_BLOCKS}], lambda b: b IS NOT NULL) AS blocks FROM days d"""
+ORACLES["brief_messages"] = message_texts(_DAY_BLOCKS, "run_date")

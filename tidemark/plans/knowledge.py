@@ -10,8 +10,9 @@ from tidemark.functions import vectors as vx
 from tidemark.operators import backfill, chunking, corpus, fusion, ivf, keyed, lexical, vector
 from tidemark.plans import inputs
 from tidemark.plans.inputs import table
-from tidemark.sources import files
+from tidemark.sources import files, snapshots
 from tidemark.sources.workdir import new_dir
+from tidemark.streaming import backfill as stream_vectors
 
 TOP = 10
 
@@ -348,14 +349,8 @@ def embed_progress(spark, sf_dir):
     )
 
 
-def embed_writeback(spark, sf_dir):
-    """Every pending chunk gets a hashed vector; the given vectors stay."""
-    chunks = inputs.embedded_chunks(spark, sf_dir).withColumn(
-        "embedding", F.col("embedding").cast("array<float>")
-    )
-    vectors = backfill.embed_chunks(backfill.pending(chunks), backfill.hashing_embedder())
-    filled = backfill.write_back(chunks, vectors)
-    return filled.select(
+def _vector_facts(chunks):
+    return chunks.select(
         "chunk_id",
         F.size("embedding").alias("dim"),
         F.round(vx.dot(F.col("embedding"), F.col("embedding")), 4).alias("squared"),
@@ -364,6 +359,43 @@ def embed_writeback(spark, sf_dir):
     )
 
 
+def embed_writeback(spark, sf_dir):
+    """Every pending chunk gets a hashed vector; the given vectors stay."""
+    chunks = inputs.embedded_chunks(spark, sf_dir)
+    vectors = backfill.embed_chunks(backfill.pending(chunks), backfill.hashing_embedder())
+    return _vector_facts(backfill.write_back(chunks, vectors))
+
+
+def stream_backfill(spark, sf_dir):
+    """The same by a stream over a stored chunk table."""
+    path = new_dir(spark, "backfill")
+    inputs.embedded_chunks(spark, sf_dir).write.parquet(f"{path}/chunks")
+    chunks = spark.read.parquet(f"{path}/chunks")
+    landed = spark.readStream.schema(chunks.schema).parquet(f"{path}/chunks")
+    stream_vectors.append_vectors(
+        landed, backfill.hashing_embedder(), f"{path}/vectors", f"{path}/state"
+    ).awaitTermination()
+    return _vector_facts(backfill.write_back(chunks, spark.read.parquet(f"{path}/vectors")))
+
+
+def embed_sources(spark, sf_dir):
+    """Chunks embedded as a whole corpus, then the number of vectors per language."""
+    vectors = backfill.embed_chunks(inputs.chunks(spark, sf_dir), backfill.hashing_embedder(), "chunk_id")
+    owner = inputs.sources(spark, sf_dir).select("source_id", "kind")
+    by_source = vectors.withColumn("source_id", F.floor(F.col("chunk_id") / chunking.CHUNKS_PER_SOURCE))
+    rows = by_source.join(owner, "source_id").groupBy("kind")
+    return rows.agg(F.count("embedding").alias("n_vectors"))
+
+
+def snapshot_retention(spark, sf_dir):
+    """Orders as daily snapshots: which are kept as of the last day, and their size."""
+    orders = table(spark, sf_dir, "orders").withColumn("snapshot_date", F.to_date("o_orderdate"))
+    as_of = orders.agg(F.max("snapshot_date")).scalar()
+    kept = snapshots.retained(orders, as_of).groupBy("snapshot_date").agg(F.count("*").alias("n"))
+    gone = snapshots.expired_dates(orders, as_of).withColumn("n", F.lit(0).cast("bigint"))
+    return kept.unionByName(gone).select(F.col("snapshot_date").cast("string").alias("day"), "n")
+
+
 # --- files ------------------------------------------------------------------
 
 def _write_sessions(spark, sf_dir, path):
@@ -450,6 +482,6 @@ QUERIES = {
         upsert_sources, upsert_chunks, replace_chunks, guarded_delete, guarded_delete_chunks,
         add_notes, add_notes_chunks, embed_pending_count, embed_backlog_fifo,
         embed_backlog_priority, embed_backlog_notes, embed_batch_kinds, embed_progress,
-        embed_writeback, read_sessions, ingest_sessions, discover_files, ingest_files,
+        embed_writeback, embed_sources, stream_backfill, snapshot_retention, read_sessions, ingest_sessions, discover_files, ingest_files,
     )
 }

@@ -294,3 +294,9 @@ ORACLES = {
         sum(hits)::BIGINT AS hits, 0::BIGINT AS embedded_files, 0::BIGINT AS failed
         FROM (SELECT {_clean('text')} AS clean, len(regexp_extract_all(text, '{SECRETS}')) AS hits FROM documents)""",
 }
+ORACLES["stream_backfill"] = ORACLES["embed_writeback"]
+ORACLES["embed_sources"] = f"""WITH {CHUNKS} SELECT lang AS kind, count(*) AS n_vectors
+    FROM chunks JOIN documents ON doc_id = source_id GROUP BY lang"""
+ORACLES["snapshot_retention"] = """WITH days AS (SELECT o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1)
+    SELECT strftime(d, '%Y-%m-%d') AS day,
+           CASE WHEN date_diff('day', d, (SELECT max(d) FROM days)) <= 7 THEN n ELSE 0 END AS n FROM days"""

@@ -164,3 +164,15 @@ def ingest_totals(results: DataFrame) -> DataFrame:
 def first_failures(results: DataFrame, n: int = 10) -> DataFrame:
     failed = results.filter(F.col("error").isNotNull())
     return failed.select("path", "error").orderBy("path").limit(n)
+
+
+def read_scans(spark: SparkSession, paths: Sequence[str], schema: str) -> list[DataFrame]:
+    """One table per scan result that exists; a missing one is skipped."""
+    scans = []
+    for path in paths:
+        try:
+            scans.append(spark.read.schema(schema).parquet(path))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return scans
