@@ -21,14 +21,20 @@ def _plain(value: Column) -> Column:
     return _or_empty(F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)))
 
 
+def _part_text(part: Column) -> Column:
+    """Text of one part of a result list: the ``text`` of an object, any other value as it is."""
+    is_object = F.startswith(F.to_json(part), F.lit("{"))
+    return F.when(is_object, _or_empty(_field(part, "text"))).otherwise(_plain(part))
+
+
 def _result_text(block: Column) -> Column:
     content = _field(block, "content", "variant")
     items = _field(block, "content", "array<variant>")
-    joined = F.array_join(
-        F.transform(items, lambda b: F.coalesce(_field(b, "text"), F.try_variant_get(b, "$", "string"), F.lit(""))),
-        " ",
+    return (
+        F.when(items.isNotNull(), F.array_join(F.transform(items, _part_text), " "))
+        .when(content.isNotNull(), _plain(content))
+        .otherwise("")
     )
-    return F.when(items.isNotNull(), joined).when(content.isNotNull(), _plain(content)).otherwise("")
 
 
 def _block_text(block: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import text as tx
-from tidemark.operators import chunking
+from tidemark.operators import chunking, ordered
 
 
 def last_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -52,12 +52,20 @@ def upsert(
     )
 
 
+def _with_new_ids(sources: DataFrame, batch: DataFrame) -> DataFrame:
+    """Batch rows with ids above all ids in use; only rows that turn out new keep them."""
+    last = sources.agg(F.coalesce(F.max("source_id"), F.lit(-1))).scalar()
+    numbered = ordered.with_numbers(batch, ["kind", "origin"], "_number")
+    return numbered.withColumn("source_id", last + F.col("_number")).drop("_number")
+
+
 def upsert_sources(sources: DataFrame, batch: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sources by (kind, origin): title, metadata and updated_at change; id and created_at stay."""
     keys = ["kind", "origin"]
-    return upsert(
-        sources, last_per_key(batch, keys, order), keys, ["title", "metadata", "updated_at"]
-    )
+    rows = last_per_key(batch, keys, order)
+    if "source_id" in sources.columns:
+        rows = _with_new_ids(sources, rows)
+    return upsert(sources, rows, keys, ["title", "metadata", "updated_at"])
 
 
 def upsert_chunks(chunks: DataFrame, batch: DataFrame) -> DataFrame:
@@ -128,26 +136,15 @@ def add_notes(
     chunks: DataFrame,
     order: Sequence[str],
     now: Column,
-    new_id: Column | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Receipts, next sources, next chunks. New chunks wait for their vectors.
-
-    ``new_id`` numbers a new source from its natural key.
-    """
-    if new_id is None:
-        new_id = F.xxhash64("kind", "origin")
-    notes = last_per_key(prepare_notes(requests), ["kind", "origin"], order)
+    """Receipts, next sources, next chunks. New chunks wait for their vectors."""
+    keys = ["kind", "origin"]
+    notes = last_per_key(prepare_notes(requests), keys, order)
     batch = notes.select(
-        new_id.alias("source_id"),
-        "kind",
-        "origin",
-        "title",
-        "metadata",
-        now.alias("created_at"),
-        now.alias("updated_at"),
+        *keys, "title", "metadata", now.alias("created_at"), now.alias("updated_at")
     )
     next_sources = upsert(
-        sources, batch, ["kind", "origin"], ["title", "metadata", "updated_at"]
+        sources, _with_new_ids(sources, batch), keys, ["title", "metadata", "updated_at"]
     )
     owned = notes.join(next_sources.select("kind", "origin", "source_id"), ["kind", "origin"])
     pieces = chunking.chunk_documents(owned, "text", ["source_id", "metadata"])

@@ -1,4 +1,4 @@
-"""Neighbours and running totals inside a key, without one task per key.
+"""Neighbours, running totals and numbering, without one task per key or table.
 
 A plain window over ``partitionBy(key)`` sends all rows of a key to one task,
 and a single session log may hold a third of all rows. Here the key is cut
@@ -75,3 +75,25 @@ def with_running_total(
         .withColumn(name, F.col(name) + F.col("_base"))
         .drop("_base")
     )
+
+
+def with_numbers(df: DataFrame, keys: Sequence[str], name: str, buckets: int = 1024) -> DataFrame:
+    """Add ``name``: 1, 2, … over the whole table, one number per row with unique ``keys``.
+
+    Rows are numbered inside hash buckets and shifted by the sizes of the
+    buckets before, so no single task sees the table.
+    """
+    hashed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        hashed.groupBy("_bucket")
+        .agg(F.count("*").alias("_size"))
+        .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    )
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+    return (
+        hashed.withColumn(name, place)
+        .join(F.broadcast(bases), "_bucket")
+        .withColumn(name, F.col(name) + F.col("_base"))
+        .drop("_bucket", "_base")
+    )
