@@ -74,6 +74,7 @@ def test_batch_search_equals_single_searches(spark, chunks, vectors, block_rows)
 
 def test_batch_search_in_small_slices(spark, chunks, vectors, monkeypatch):
     monkeypatch.setattr(vector, "SCORES_IN_MEMORY", 10)
+    monkeypatch.setattr(lexical, "SCORES_IN_MEMORY", 10)
     queries = spark.createDataFrame(
         [(q, [float(x) for x in vectors[q]]) for q in (1, 5)], "query_id long, embedding array<float>"
     )
@@ -81,6 +82,19 @@ def test_batch_search_in_small_slices(spark, chunks, vectors, monkeypatch):
     assert ids(got) == plain_topk(vectors, vectors[1], 4) + plain_topk(vectors, vectors[5], 4)
 
 
+@pytest.mark.parametrize("block_rows", [4096, 2])
+def test_batch_of_word_queries_equals_single_ones(spark, chunks, monkeypatch, block_rows):
+    monkeypatch.setattr(lexical, "SCORES_IN_MEMORY", 100)
+    texts = {1: "word3 text", 2: "common common text 17", 3: "absent", 4: "? a", 5: "word0 word1 word2 99"}
+    queries = spark.createDataFrame(list(texts.items()), "query_id long, query string")
+    got = lexical.lexical_topk_batch(chunks, queries, 7, block_rows=block_rows).collect()
+    for q, text in texts.items():
+        mine = sorted((r["rank"], r.chunk_id, r.score) for r in got if r.query_id == q)
+        terms = lexical.query_terms(spark, text)
+        alone = lexical.lexical_topk(lexical.scan(chunks, terms), terms, 7, keep=["chunk_id"])
+        assert mine == [(n, r.chunk_id, r.score) for n, r in enumerate(alone.collect())]
+
+
 def test_lists_are_exact_when_all_are_probed(spark, chunks, vectors, tmp_path):
     lists = ivf.build_lists(chunks, n_lists=6)
     query = [float(x) for x in vectors[17]]

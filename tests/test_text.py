@@ -166,8 +166,6 @@ def test_postings_count_words(spark):
     key = lambda r: (r.chunk_id, r.term, r.tf, r.n_words)
     scanned = sorted(map(key, lexical.scan(df, terms).collect()))
     assert scanned == sorted((c, t, *v) for (c, t), v in want.items() if t in terms)
-    table = spark.createDataFrame([(t,) for t in terms], "term string")
-    assert sorted(map(key, lexical.scan(df, table).collect())) == scanned
 
 
 def test_stored_index_reads_only_its_buckets(spark, tmp_path):

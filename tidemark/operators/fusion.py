@@ -87,24 +87,16 @@ def search(
 
 
 def search_batch(
-    chunks: DataFrame,
-    queries: DataFrame,
-    k: int = 3,
-    key: str = "query_id",
-    index: DataFrame | None = None,
+    chunks: DataFrame, queries: DataFrame, k: int = 3, key: str = "query_id"
 ) -> DataFrame:
-    """Hybrid top-k for every row of ``queries`` (``key, query, embedding``)."""
+    """Hybrid top-k for every row of ``queries`` (``key, query, embedding``).
+
+    One pass over the texts and one over the vectors serve all queries; both
+    leave at most ``2 * k`` rows per query and task for the shuffle.
+    """
     fetch = k * fixed.OVERFETCH
-    terms = lexical.query_term_rows(queries, key)
-    if index is None:
-        index = lexical.scan(chunks, terms)
-    # Terms join on equality; scores are summed per (query, chunk) before the
-    # shuffle, and the rank limit is applied in every task before the window.
-    matched = index.join(terms, "term").groupBy(key, "chunk_id")
-    weight = lexical.rank_weight(F.col("tf"))
-    scored = matched.agg(lexical.rank_score(weight, F.first("n_terms")).alias("score"))
-    by_word = ranked(scored, [key]).filter(F.col("rank") < fetch)
     by_vector = vector.vector_topk_batch(chunks, queries, fetch, key)
+    by_word = lexical.lexical_topk_batch(chunks, queries, fetch, key)
     fused = rrf([by_vector, by_word], group=[key])
     order = Window.partitionBy(key).orderBy(*_fused_order())
     return (

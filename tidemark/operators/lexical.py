@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import text as tx
+from tidemark.operators.batches import QUERY_BLOCK_ROWS, SCORES_IN_MEMORY, BestRows, best_of_blocks
 
+# Query words that one pass over the texts may carry to the tasks.
+QUERY_BLOCK_TERMS = 500_000
+RANK_SCALE = fixed.RANK_WEIGHT / fixed.RANK_NORM
 _QUERY_WORD_MIN = 2
 
 
@@ -43,24 +51,20 @@ def postings(chunks: DataFrame, keep: Sequence[str] = ("chunk_id",), text: str =
 
 def scan(
     chunks: DataFrame,
-    terms: Sequence[str] | DataFrame,
+    terms: Sequence[str],
     keep: Sequence[str] = ("chunk_id",),
     text: str = "text",
 ) -> DataFrame:
     """The postings of some terms only, straight from the texts.
 
     For chunks without a stored index. Words are dropped before they are
-    counted, so only matches reach the shuffle. ``terms`` is a list, or a
-    table with a ``term`` column for a batch of queries.
+    counted, so only matches reach the shuffle.
     """
     split = chunks.select(*keep, tx.words(F.col(text)).alias("_words"))
     rows = split.select(
         *keep, F.size("_words").alias("n_words"), F.explode_outer("_words").alias("term")
     )
-    if isinstance(terms, DataFrame):
-        rows = rows.join(terms.select("term").distinct(), "term", "left_semi")
-    else:
-        rows = rows.filter(F.col("term").isin(list(terms)))
+    rows = rows.filter(F.col("term").isin(list(terms)))
     return rows.groupBy(*keep, "n_words", "term").agg(F.count("*").cast("int").alias("tf"))
 
 
@@ -100,16 +104,6 @@ def query_terms(spark: SparkSession, query: str) -> list[str]:
     return spark.range(1).select(F.array_sort(F.array_distinct(kept)).alias("t")).first().t
 
 
-def query_term_rows(queries: DataFrame, key: str = "query_id", text: str = "query") -> DataFrame:
-    """(key, term, n_terms) for a table of queries."""
-    kept = F.filter(tx.words(F.col(text)), lambda w: F.length(w) >= _QUERY_WORD_MIN)
-    return (
-        queries.select(key, F.array_distinct(kept).alias("_terms"))
-        .withColumn("n_terms", F.size("_terms"))
-        .select(key, "n_terms", F.explode("_terms").alias("term"))
-    )
-
-
 def _harmonic(tf: Column) -> Column:
     """Sum of 1/j² for j = 1..tf."""
     return F.aggregate(
@@ -189,3 +183,67 @@ def lexical_topk(
         wanted = sources.filter(F.col("kind") == kind).select("source_id")
         index = index.join(wanted, "source_id", "left_semi")
     return top(lexical_scores(index, terms, keep), k)
+
+
+def _term_scorer(queries: list[tuple[object, list[str]]], k: int, key: str, id_col: str):
+    """Score batches of word lists against a block of queries, k rows per query and task."""
+    asked: dict[str, list[int]] = {}
+    for number, (_, terms) in enumerate(queries):
+        for term in terms:
+            asked.setdefault(term, []).append(number)
+    term_queries = {t: np.array(numbers) for t, numbers in asked.items()}
+    n_terms = np.array([max(len(terms), 1) for _, terms in queries], dtype=np.float64)
+    slice_rows = max(1, SCORES_IN_MEMORY // len(queries))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = BestRows(len(queries), k)
+        harmonic = np.array([0.0])
+        for batch in batches:
+            for start in range(0, len(batch), slice_rows):
+                part = batch.iloc[start : start + slice_rows]
+                scores = np.zeros((len(part), len(queries)))
+                for row, words in enumerate(part["words"]):
+                    for term, tf in Counter(w for w in words if w in term_queries).items():
+                        if tf >= len(harmonic):
+                            steps = np.arange(1, 2 * tf + 1, dtype=np.float64)
+                            harmonic = np.concatenate([[0.0], np.cumsum(1.0 / steps**2)])
+                        scores[row, term_queries[term]] += RANK_SCALE * harmonic[tf]
+                found = np.round(scores / n_terms, 12).T
+                ids = part[id_col].to_numpy()
+                for number in range(len(queries)):
+                    hit = found[number] > 0
+                    best.add(number, found[number][hit], ids[hit])
+        for number, (name, _) in enumerate(queries):
+            scores, ids = best.rows(number)
+            if len(ids):
+                yield pd.DataFrame({key: name, id_col: ids, "score": scores})
+
+    return score
+
+
+def lexical_topk_batch(
+    chunks: DataFrame,
+    queries: DataFrame,
+    k: int,
+    key: str = "query_id",
+    id_col: str = "chunk_id",
+    block_rows: int = QUERY_BLOCK_ROWS,
+    block_terms: int = QUERY_BLOCK_TERMS,
+) -> DataFrame:
+    """Best k chunks by text-search rank for each of many queries, in one pass over the texts.
+
+    A common word is asked for by many queries and stands in most chunks, so
+    a join on words would shuffle a row per query and chunk. All words of a
+    chunk are in one row: every task scores its own chunks and keeps the k
+    best per query. Queries go along in blocks of bounded size, one pass each.
+    """
+    kept = F.filter(tx.words(F.col("query")), lambda w: F.length(w) >= _QUERY_WORD_MIN)
+    asked = queries.select(key, F.array_distinct(kept).alias("terms")).filter(F.size("terms") > 0)
+    n = asked.agg(F.count("*").alias("rows"), F.sum(F.size("terms")).alias("terms")).first()
+    blocks = max(1, math.ceil(n.rows / block_rows), math.ceil((n.terms or 0) / block_terms))
+    words = chunks.select(id_col, tx.words(F.col("text")).alias("words"))
+    schema = f"{key} {dict(queries.dtypes)[key]}, {id_col} {dict(chunks.dtypes)[id_col]}, score double"
+    return best_of_blocks(
+        words, asked, blocks, key, id_col, k, schema,
+        lambda rows: _term_scorer([(r[key], r.terms) for r in rows], k, key, id_col),
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import times
+from tidemark.functions.once import computed_once
 from tidemark.operators import keyed
 
 # Shape of the detail JSON.
@@ -78,10 +79,9 @@ def run_summary(flags: DataFrame) -> DataFrame:
 
 def parse_details(details: DataFrame, json: str = "detail") -> DataFrame:
     """Detail JSON to ``item`` and ``raw``; rows without an item are dropped."""
-    rows = details.select(
-        F.from_json(json, DETAIL_SCHEMA).alias("parsed"), F.col(json).alias("raw")
-    )
-    return rows.select("parsed.item", "raw").filter(F.col("item.itemId").isNotNull())
+    item = F.from_json("raw", DETAIL_SCHEMA)["item"]
+    rows = computed_once(details.select(F.col(json).alias("raw")), "item", item)
+    return rows.filter(F.col("item.itemId").isNotNull())
 
 
 def has_phrase(text: Column, phrases: Sequence[str]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import markup as mk
+from tidemark.functions.once import computed_once
 from tidemark.functions.text import strip
 
 _CDATA_OR_TEXT = r"(?s)<{0}>(.*?)</{0}>"
@@ -51,11 +52,10 @@ def topic_rows(pages: DataFrame, topic_url: str, keep: Sequence[str] = ("page_id
     ``topic_url`` is a template with one ``%s`` for the id.
     """
     rows = _explode(pages, keep, F.split("html", rf"(?is)(?={_TOPIC})"))
-    rows = rows.filter(F.col("part").rlike(rf"(?is)\A{_TOPIC}")).select(
-        *keep,
-        "pos",
-        mk.attribute(F.regexp_extract("part", r"(?is)\A<div\b([^>]*)>", 1), "data-topic-state-id").alias("id"),
-        mk.element_body(F.col("part"), r"\A<div\b[^>]*>", F.lit("div")).alias("row"),
+    rows = rows.filter(F.col("part").rlike(rf"(?is)\A{_TOPIC}"))
+    rows = computed_once(rows, "row", mk.element_body(F.col("part"), r"\A<div\b[^>]*>", F.lit("div")))
+    rows = rows.withColumn(
+        "id", mk.attribute(F.regexp_extract("part", r"(?is)\A<div\b([^>]*)>", 1), "data-topic-state-id")
     )
     row = F.col("row")
     points = F.call_function(

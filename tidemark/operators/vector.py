@@ -7,17 +7,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as vx
+from tidemark.operators.batches import QUERY_BLOCK_ROWS, SCORES_IN_MEMORY, BestRows, best_of_blocks
 from tidemark.operators.lexical import top
 
 # Bytes of query vectors that one scan may carry to the tasks.
 QUERY_BLOCK_BYTES = 32 * 1024 * 1024
-QUERY_BLOCK_ROWS = 4096
-# (query, chunk) scores that one task holds at a time.
-SCORES_IN_MEMORY = 8_000_000
 
 
 def with_norm(chunks: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -58,22 +56,12 @@ def vector_topk(
     return top(vector_scores(chunks, query, keep), k)
 
 
-def _keep_best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best entries by (score descending, id); ties at the cut are resolved by id."""
-    if len(scores) > k:
-        cut = np.partition(scores, len(scores) - k)[len(scores) - k]
-        within = scores >= cut
-        scores, ids = scores[within], ids[within]
-    order = np.lexsort((ids, -scores))[:k]
-    return scores[order], ids[order]
-
-
-def _block_scorer(keys: list, matrix: np.ndarray, k: int, key: str, id_col: str):
-    """Score batches against a block of queries; each task emits k rows per query."""
+def _vector_scorer(keys: list, matrix: np.ndarray, k: int, key: str, id_col: str):
+    """Score batches of vectors against a block of queries, k rows per query and task."""
     slice_rows = max(1, SCORES_IN_MEMORY // len(keys))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(keys)
+        best = BestRows(len(keys), k)
         for batch in batches:
             for start in range(0, len(batch), slice_rows):
                 part = batch.iloc[start : start + slice_rows]
@@ -82,16 +70,12 @@ def _block_scorer(keys: list, matrix: np.ndarray, k: int, key: str, id_col: str)
                 usable = lengths > 0
                 ids = part[id_col].to_numpy()[usable]
                 cosines = np.round(matrix @ (rows[usable] / lengths[usable, None]).T, 12)
-                for j, found in enumerate(cosines):
-                    scores, kept = _keep_best(found, ids, k)
-                    if best[j] is not None:
-                        scores = np.concatenate([best[j][0], scores])
-                        kept = np.concatenate([best[j][1], kept])
-                        scores, kept = _keep_best(scores, kept, k)
-                    best[j] = scores, kept
-        for name, entry in zip(keys, best):
-            if entry is not None:
-                yield pd.DataFrame({key: name, id_col: entry[1], "score": entry[0]})
+                for number, found in enumerate(cosines):
+                    best.add(number, found, ids)
+        for number, name in enumerate(keys):
+            scores, ids = best.rows(number)
+            if len(ids):
+                yield pd.DataFrame({key: name, id_col: ids, "score": scores})
 
     return score
 
@@ -118,20 +102,12 @@ def vector_topk_batch(
     counted = usable.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
     n_bytes = counted.n * (counted.dim or 0) * 8
     blocks = max(1, math.ceil(n_bytes / block_bytes), math.ceil(counted.n / block_rows))
-    in_block = F.pmod(F.xxhash64(key), F.lit(blocks))
     schema = f"{key} {dict(queries.dtypes)[key]}, {id_col} {dict(chunks.dtypes)[id_col]}, score double"
     embedded = chunks.filter(F.col("embedding").isNotNull()).select(id_col, "embedding")
 
-    found = chunks.sparkSession.createDataFrame([], schema)
-    for block in range(blocks):
-        rows = usable.filter(in_block == block).collect()
-        if not rows:
-            continue
-        matrix = np.array([r.v for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    def scorer(rows):
+        matrix = np.array([r.v for r in rows], dtype=np.float64)
         matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        scorer = _block_scorer([r[key] for r in rows], matrix, k, key, id_col)
-        found = found.unionByName(embedded.mapInPandas(scorer, schema))
-    order = Window.partitionBy(key).orderBy(F.desc("score"), id_col)
-    return (
-        found.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < k)
-    )
+        return _vector_scorer([r[key] for r in rows], matrix, k, key, id_col)
+
+    return best_of_blocks(embedded, usable, blocks, key, id_col, k, schema, scorer)

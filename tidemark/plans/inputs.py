@@ -9,8 +9,20 @@ from tidemark.functions import text as tx
 from tidemark.operators import chunking, lexical
 
 
+# Tables whose rows are costly to process, with the key that spreads them.
+_HEAVY = {"documents": "doc_id", "pages": "page_id", "orders": "o_orderkey", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. A heavy one that fewer tasks read than there are cores is spread out.
+
+    A table of many files already has tasks enough and stays as it is read.
+    """
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _HEAVY and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, _HEAVY[name])
+    return rows
 
 
 def documents(spark, sf_dir) -> DataFrame:

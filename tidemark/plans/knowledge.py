@@ -456,10 +456,14 @@ def discover_files(spark, sf_dir):
 
 
 def ingest_files(spark, sf_dir):
-    """Documents written as files, read back whole, redacted, titled and chunked; totals."""
+    """Documents written as files of a hundred, read back whole, redacted, titled and chunked; totals."""
     path = new_dir(spark, "documents")
-    docs = table(spark, sf_dir, "documents")
-    docs.select("text", "doc_id").write.partitionBy("doc_id").option("lineSep", "\n\n").text(path)
+    group = F.floor(F.col("doc_id") / 100).cast("bigint")
+    grouped = table(spark, sf_dir, "documents").groupBy(group.alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("docs")
+    )
+    text = F.array_join(F.col("docs.text"), "\n\n")
+    grouped.select(text.alias("value"), "part").write.partitionBy("part").text(path)
     listing = files.discover(spark, globs=[f"{path}/*/*.txt"])
     sources = files.file_sources(files.read_documents(spark, listing, [path]), "project_doc")
     counted = chunking.with_pieces(sources, "text").select(

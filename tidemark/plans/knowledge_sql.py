@@ -292,7 +292,9 @@ ORACLES = {
     "discover_files": "SELECT DISTINCT conv_id FROM conversations",
     "ingest_files": f"""SELECT count(*) AS files, sum(length({windows(f"trim(clean, {_TRIM})")}))::BIGINT AS chunks,
         sum(hits)::BIGINT AS hits, 0::BIGINT AS embedded_files, 0::BIGINT AS failed
-        FROM (SELECT {_clean('text')} AS clean, len(regexp_extract_all(text, '{SECRETS}')) AS hits FROM documents)""",
+        FROM (SELECT {_clean('text')} AS clean, len(regexp_extract_all(text, '{SECRETS}')) AS hits
+              FROM (SELECT string_agg(text, chr(10) || chr(10) ORDER BY doc_id) AS text
+                    FROM documents GROUP BY doc_id // 100))""",
 }
 ORACLES["stream_backfill"] = ORACLES["embed_writeback"]
 ORACLES["embed_sources"] = f"""WITH {CHUNKS} SELECT lang AS kind, count(*) AS n_vectors
