@@ -189,7 +189,7 @@ def test_sections_fail_alone(spark):
     def broken():
         return spark.range(1).select(F.raise_error(F.lit("no luck")).alias("x"))
 
-    built, errors = br.isolate(spark, {**sections(spark), "repos": broken})
+    built, errors = br.isolate({**sections(spark), "repos": broken})
     assert "repos" not in built and len(errors) == 1 and errors[0].startswith("repos: ")
     rows = br.assemble(days(spark, "2024-05-02", "2024-05-03"), built, [*errors, "x: y"]).orderBy("run_date").collect()
     full, empty = rows
@@ -199,7 +199,7 @@ def test_sections_fail_alone(spark):
 
 
 def test_blocks_and_prompt(spark):
-    built, _ = br.isolate(spark, sections(spark))
+    built, _ = br.isolate(sections(spark))
     ideas = spark.createDataFrame([("i<1",)], "ideas string").withColumn("run_date", F.lit("2024-05-02").cast("date"))
     table = br.assemble(days(spark, "2024-05-02"), built, ideas=ideas)
     row = br.with_blocks(table, "Daily").first()

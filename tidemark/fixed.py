@@ -16,7 +16,7 @@ PREVIEW_TITLE_CHARS = 60
 PREVIEW_TEXT_CHARS = 120
 
 # --- Fixed values: sources --------------------------------------------------
-SOURCE_KINDS = ("claude_session", "manual_note", "plan", "project_doc", "idea_harness")
+SESSION_KIND = "claude_session"
 NOTE_KIND = "manual_note"
 NOTE_STATUS = "saved; embedding queued"
 

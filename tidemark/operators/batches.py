@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 # Queries that one scan may carry to the tasks.
@@ -44,6 +44,19 @@ class BestRows:
         return self.kept[query] or (np.array([]), np.array([]))
 
 
+def best_per_group(
+    rows: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, name: str
+) -> DataFrame:
+    """The k first rows of every group, with their place ``name`` from 0.
+
+    The filter is on the row number itself: that is the form for which Spark
+    applies the limit in every task before the shuffle, so a group that holds
+    most rows sends k rows per task and not all of them.
+    """
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn(name, place).filter(F.col(name) <= k).withColumn(name, F.col(name) - 1)
+
+
 def best_of_blocks(
     rows: DataFrame,
     queries: DataFrame,
@@ -61,5 +74,4 @@ def best_of_blocks(
         mine = queries.filter(in_block == block).collect()
         if mine:
             found = found.unionByName(rows.mapInPandas(scorer(mine), schema))
-    order = Window.partitionBy(key).orderBy(F.desc("score"), id_col)
-    return found.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < k)
+    return best_per_group(found, [key], [F.desc("score"), F.asc(id_col)], k, "rank")

@@ -6,12 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.text import escape_markup
-from tidemark.sources.workdir import new_dir
+from tidemark.sources.workdir import saved
 
 # --- rankings ---------------------------------------------------------------
 
@@ -160,7 +160,7 @@ def segment_items(changes: DataFrame) -> DataFrame:
 
 
 def isolate(
-    spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]]
+    builders: Mapping[str, Callable[[], DataFrame]]
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Run every section on its own: a failing one becomes an error, the others stay.
 
@@ -169,10 +169,8 @@ def isolate(
     """
     sections, errors = {}, []
     for name, build in builders.items():
-        path = new_dir(spark, f"section-{name}")
         try:
-            build().write.parquet(path)
-            sections[name] = spark.read.parquet(path)
+            sections[name] = saved(build(), f"section-{name}")
         except Exception as error:  # noqa: BLE001
             errors.append(f"{name}: {str(error).splitlines()[0]}")
     return sections, errors

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions import text as tx
 from tidemark.operators import lexical, vector
+from tidemark.operators.batches import best_per_group
 
 
 def ranked(hits: DataFrame, group: Sequence[str] = (), id_col: str = "chunk_id") -> DataFrame:
@@ -98,11 +99,7 @@ def search_batch(
     by_vector = vector.vector_topk_batch(chunks, queries, fetch, key)
     by_word = lexical.lexical_topk_batch(chunks, queries, fetch, key)
     fused = rrf([by_vector, by_word], group=[key])
-    order = Window.partitionBy(key).orderBy(*_fused_order())
-    return (
-        fused.withColumn("position", F.row_number().over(order) - 1)
-        .filter(F.col("position") < k)
-    )
+    return best_per_group(fused, [key], _fused_order(), k, "position")
 
 
 def preview(hits: DataFrame) -> DataFrame:

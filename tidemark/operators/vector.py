@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as vx
+from tidemark.functions.once import computed_once
 from tidemark.operators.batches import QUERY_BLOCK_ROWS, SCORES_IN_MEMORY, BestRows, best_of_blocks
 from tidemark.operators.lexical import top
 
@@ -34,11 +35,8 @@ def vector_scores(
         chunks = with_norm(chunks, vector)
     length = float(np.sqrt(sum(float(v) * float(v) for v in query)))
     score = vx.cosine(F.col(vector), vx.literal(query), F.col("norm"), F.lit(length))
-    return (
-        chunks.filter(F.col(vector).isNotNull())
-        .select(*keep, F.round(score, 12).alias("score"))
-        .filter(F.col("score").isNotNull())
-    )
+    scored = computed_once(chunks.filter(F.col(vector).isNotNull()), "score", F.round(score, 12))
+    return scored.filter(F.col("score").isNotNull()).select(*keep, "score")
 
 
 def vector_topk(

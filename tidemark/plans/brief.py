@@ -290,7 +290,7 @@ def _builders(spark, sf_dir):
 
 def _days(spark, sf_dir):
     """Daily rows of all days on which a labelled document appeared."""
-    sections, errors = br.isolate(spark, _builders(spark, sf_dir))
+    sections, errors = br.isolate(_builders(spark, sf_dir))
     days = table(spark, sf_dir, "labels").select(_topic_day(F.col("doc_id")).alias("run_date")).distinct()
     days = days.withColumn("topics_date", F.date_sub("run_date", 1))
     return br.assemble(days, sections, errors)

@@ -10,7 +10,7 @@ from tidemark.operators import chunking, lexical
 
 
 # Tables whose rows are costly to process, with the key that spreads them.
-_HEAVY = {"documents": "doc_id", "pages": "page_id", "orders": "o_orderkey", "events": "event_id"}
+_HEAVY = {"documents": "doc_id", "pages": "page_id", "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

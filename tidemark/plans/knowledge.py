@@ -11,7 +11,7 @@ from tidemark.operators import backfill, chunking, corpus, fusion, ivf, keyed, l
 from tidemark.plans import inputs
 from tidemark.plans.inputs import table
 from tidemark.sources import files, snapshots
-from tidemark.sources.workdir import new_dir
+from tidemark.sources.workdir import new_dir, saved
 from tidemark.streaming import backfill as stream_vectors
 
 TOP = 10
@@ -444,10 +444,25 @@ def ingest_sessions(spark, sf_dir):
     path = new_dir(spark, "sessions")
     _write_sessions(spark, sf_dir, path)
     lines = files.read_session_lines(spark, path, session=_conversation_of)
-    turns = chunking.redact_turns(chunking.pair_turns(files.session_messages(lines)))
+    # Pairing and chunking go over the messages several times; the lines are parsed once.
+    messages = saved(files.session_messages(lines), "messages")
+    turns = chunking.redact_turns(chunking.pair_turns(messages))
     return chunking.chunk_turns(turns).select("session", "chunk_index", "turn_id", "text")
 
 
+def ingest_session_sources(spark, sf_dir):
+    """The source row of every session file: title of the first user turn, number of turns."""
+    path = new_dir(spark, "sessions")
+    _write_sessions(spark, sf_dir, path)
+    lines = files.read_session_lines(spark, path, session=_conversation_of)
+    titles = chunking.session_titles(chunking.pair_turns(saved(files.session_messages(lines), "messages")))
+    listing = files.discover(spark, globs=[path]).withColumn("session", _conversation_of(F.col("path")))
+    rows = files.session_sources(titles, listing)
+    turns = F.get_json_object("metadata", "$.turn_count").cast("bigint")
+    recent = F.get_json_object("metadata", "$.file_mtime").cast("bigint") > 1_700_000_000
+    return rows.select("kind", "origin", "title", turns.alias("turn_count"), recent.alias("has_time"))
+
+
 def discover_files(spark, sf_dir):
     path = new_dir(spark, "sessions")
     _write_sessions(spark, sf_dir, path)
@@ -486,6 +501,6 @@ QUERIES = {
         upsert_sources, upsert_chunks, replace_chunks, guarded_delete, guarded_delete_chunks,
         add_notes, add_notes_chunks, embed_pending_count, embed_backlog_fifo,
         embed_backlog_priority, embed_backlog_notes, embed_batch_kinds, embed_progress,
-        embed_writeback, embed_sources, stream_backfill, snapshot_retention, read_sessions, ingest_sessions, discover_files, ingest_files,
+        embed_writeback, embed_sources, stream_backfill, snapshot_retention, read_sessions, ingest_sessions, ingest_session_sources, discover_files, ingest_files,
     )
 }

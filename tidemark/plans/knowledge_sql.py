@@ -302,3 +302,9 @@ ORACLES["embed_sources"] = f"""WITH {CHUNKS} SELECT lang AS kind, count(*) AS n_
 ORACLES["snapshot_retention"] = """WITH days AS (SELECT o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1)
     SELECT strftime(d, '%Y-%m-%d') AS day,
            CASE WHEN date_diff('day', d, (SELECT max(d) FROM days)) <= 7 THEN n ELSE 0 END AS n FROM days"""
+ORACLES["ingest_session_sources"] = f"""WITH {turns(_BLOCKS)} SELECT 'claude_session' AS kind,
+    session::VARCHAR AS origin,
+    coalesce(arg_min(left(regexp_extract(ltrim(user_text), '^[^\\n\\r]*'), 120), seq)
+      FILTER (user_text <> ''), '(untitled session)') AS title,
+    count(*) AS turn_count, true AS has_time
+    FROM turns GROUP BY session"""

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import fixed
 from tidemark.functions import blocks
 from tidemark.functions import text as tx
 
@@ -111,6 +112,24 @@ def session_messages(lines: DataFrame) -> DataFrame:
     )
 
 
+def session_sources(
+    titles: DataFrame, listing: DataFrame, kind: str = fixed.SESSION_KIND
+) -> DataFrame:
+    """Session titles (``session, title, turn_count``) to source rows.
+
+    ``listing`` has ``session`` and ``modified``; a session in several files
+    counts as changed with the last of them.
+    """
+    changed = listing.groupBy("session").agg(F.max("modified").alias("modified"))
+    metadata = F.struct("turn_count", F.unix_seconds("modified").alias("file_mtime"))
+    return titles.join(changed, "session", "left").select(
+        F.lit(kind).alias("kind"),
+        F.col("session").cast("string").alias("origin"),
+        "title",
+        F.to_json(metadata).alias("metadata"),
+    )
+
+
 def read_documents(spark: SparkSession, listing: DataFrame, roots: Sequence[str]) -> DataFrame:
     """Whole text of every listed file: (path, modified, text, error).
 
