@@ -13,9 +13,9 @@ TOPIC_DAY = "(DATE '2024-12-31' - (doc_id // 55)::INT)"
 
 
 def plain(text: str) -> str:
-    """Entities that occur in the tables, resolved."""
+    """Entities that occur in the tables, resolved; these names need no semicolon in HTML."""
     for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        text = f"replace({text}, '&{name};', '{char}')"
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
     return text
 
 
@@ -176,14 +176,6 @@ ORACLES = {
           CASE WHEN that = DATE '2024-12-31'
                THEN (SELECT string_agg('- [' || segment || '] ' || first_five || chr(10), '' ORDER BY segment) FROM per_segment)
                ELSE '(없음)' END AS segments, products FROM lines""",
-    "brief_blocks": f"""WITH {SECTIONS} SELECT {_DATE},
-          '🌅 <b>Daily brief ' || strftime(d.run_date, '%Y-%m-%d') || '</b>' AS head,
-          (d.run_date IN (SELECT run_date FROM day_reads))::BIGINT + (d.run_date IN (SELECT run_date FROM day_searches))::BIGINT
-          + (d.run_date IN (SELECT run_date FROM day_products))::BIGINT + (d.run_date IN (SELECT run_date FROM day_repos))::BIGINT
-          + (strftime(d.run_date, '%Y-%m-%d') IN (SELECT run_date FROM day_topics))::BIGINT
-          + (d.run_date = DATE '2024-12-31')::BIGINT AS n_blocks,
-          '📣 <b>마케팅 읽을거리</b>' || chr(10) || {_ORACLE_BLOCK} AS first_block
-        FROM days d""",
 }
 
 
@@ -258,3 +250,5 @@ _DAY_BLOCKS = f"""WITH {SECTIONS},
   SELECT {_DATE}, '🌅 <b>Daily brief ' || strftime(d.run_date, '%Y-%m-%d') || '</b>' AS head,
          list_filter([{_ALL_BLOCKS}], lambda b: b IS NOT NULL) AS blocks FROM days d"""
 ORACLES["brief_messages"] = message_texts(_DAY_BLOCKS, "run_date")
+ORACLES["brief_blocks"] = f"""SELECT run_date, head, length(blocks)::BIGINT AS n_blocks, blocks[1] AS first_block
+    FROM ({_DAY_BLOCKS})"""
