@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions import text as tx
 from tidemark.operators import chunking, ordered
+from tidemark.sources.workdir import saved
 
 
 def last_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -137,16 +138,22 @@ def add_notes(
     order: Sequence[str],
     now: Column,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Receipts, next sources, next chunks. New chunks wait for their vectors."""
+    """Receipts, next sources, next chunks. New chunks wait for their vectors.
+
+    The prepared notes are saved with their ids, so that the three results
+    agree and the texts are redacted once.
+    """
     keys = ["kind", "origin"]
-    notes = last_per_key(prepare_notes(requests), keys, order)
-    batch = notes.select(
-        *keys, "title", "metadata", now.alias("created_at"), now.alias("updated_at")
+    notes = _with_new_ids(sources, last_per_key(prepare_notes(requests), keys, order))
+    known = sources.select(*keys, F.col("source_id").alias("_known"))
+    with_ids = notes.join(known, keys, "left").withColumn(
+        "source_id", F.coalesce("_known", "source_id")
     )
-    next_sources = upsert(
-        sources, _with_new_ids(sources, batch), keys, ["title", "metadata", "updated_at"]
+    owned = saved(with_ids.drop("_known"), "notes")
+    batch = owned.select(
+        "source_id", *keys, "title", "metadata", now.alias("created_at"), now.alias("updated_at")
     )
-    owned = notes.join(next_sources.select("kind", "origin", "source_id"), ["kind", "origin"])
+    next_sources = upsert(sources, batch, keys, ["title", "metadata", "updated_at"])
     pieces = chunking.chunk_documents(owned, "text", ["source_id", "metadata"])
     added = pieces.withColumn("chunk_id", chunking.chunk_id(F.col("source_id"), F.col("chunk_index")))
     next_chunks = replace_children(chunks, added, parents=owned)

@@ -84,7 +84,6 @@ def listed(rows: str, value: str, order: str, sep: str = ",") -> str:
     return f"coalesce((SELECT string_agg({value}, '{sep}' ORDER BY {order}) FROM {rows} WHERE {rows}.{same}), '')"
 
 
-_NL = "' || chr(10) || '"
 _SEGMENT_ROWS = """SELECT segment, string_agg(name || ' ' || pct, ',' ORDER BY pct DESC, name) AS items,
   string_agg(name || CASE WHEN pct >= 0 THEN '+' ELSE '' END || pct || '%', ', ' ORDER BY pct DESC, name)
     FILTER (place <= 5) AS first_five
