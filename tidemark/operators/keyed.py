@@ -140,16 +140,18 @@ def add_notes(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Receipts, next sources, next chunks. New chunks wait for their vectors.
 
-    The prepared notes are saved with their ids, so that the three results
-    agree and the texts are redacted once.
+    The prepared notes are saved: numbering and the three results go over
+    them several times, but the texts are redacted once.
     """
     keys = ["kind", "origin"]
-    notes = _with_new_ids(sources, last_per_key(prepare_notes(requests), keys, order))
+    notes = saved(last_per_key(prepare_notes(requests), keys, order), "notes")
     known = sources.select(*keys, F.col("source_id").alias("_known"))
-    with_ids = notes.join(known, keys, "left").withColumn(
-        "source_id", F.coalesce("_known", "source_id")
+    owned = (
+        _with_new_ids(sources, notes)
+        .join(known, keys, "left")
+        .withColumn("source_id", F.coalesce("_known", "source_id"))
+        .drop("_known")
     )
-    owned = saved(with_ids.drop("_known"), "notes")
     batch = owned.select(
         "source_id", *keys, "title", "metadata", now.alias("created_at"), now.alias("updated_at")
     )
