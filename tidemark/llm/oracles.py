@@ -68,6 +68,25 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from v
 """
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2 = rf"""
+with d as (select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+x as (
+  select rid, i, l[i] as line,
+         {_LOWER.format("regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} as k
+  from d, unnest(range(1, len(l) + 1)) as u(i)),
+f as (select k from x where k <> '' group by k having count(distinct rid) >= 10),
+y as (select rid, i, line, k in (select k from f) as gone from x),
+z as (
+  select rid, count(*) as n, count(*) filter (gone) as g,
+         coalesce(string_agg(line, chr(10) order by i) filter (not gone), '') as kept
+  from y group by rid)
+select doc_id, n::bigint as n_lines, g::bigint as n_dropped, sha256(kept) as kept_sha256
+from d join z using (rid)
+"""
+
 ORACLES = {
+    "op2_line_dedup": OP2,
     "op9_quality_rules": OP9,
 }

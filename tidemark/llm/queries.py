@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, rows
+from tidemark.llm import decontaminate, line_dedup, pieces, quality, rows, simhash
 from tidemark.sources import workdir
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, PIECE_MODEL)
+    return encoded.select(
+        "doc.doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "scores",
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.to_json("runner_up").alias("runner_up"),
+        "restored",
+    )
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (rows.table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.leaks(docs, benchmark).drop("text_hash")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.table(spark, sf_dir, "documents")
     measured = workdir.saved(quality.measure(docs, keep=F.struct("doc_id")), "quality")
@@ -24,6 +42,31 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    return line_dedup.dedup_lines(docs).select(
+        "doc.doc_id",
+        F.size(F.split(rows.text_of("doc.text"), "\n")).cast("long").alias("n_lines"),
+        "n_dropped",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    marked = workdir.saved(docs.select("doc_id", simhash.fingerprint(F.col("text")).alias("fp")), "fingerprints")
+    return simhash.clusters(marked).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op4_pieces": op4_pieces,
+    "op5_decontaminate": op5_decontaminate,
     "op9_quality_rules": op9_quality_rules,
+    "op10_simhash": op10_simhash,
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,8 @@ def packed(docs: DataFrame) -> Column:
 def unpacked(df: DataFrame, column: str = "doc") -> DataFrame:
     """Back to the columns that were packed."""
     return df.select(f"{column}.*")
+
+
+def shipped(module: str) -> None:
+    """Send a module's functions to the tasks by value: executors need not have this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
