@@ -51,7 +51,8 @@ def templates(found: Column) -> Column:
     """The canonical form of each token.
 
     A capital starts a name unless it starts a sentence, that is, unless the
-    token before ends with a full stop or there is none.
+    token before ends with a full stop or there is none. Words in capitals are
+    plain words, so that shouted copies keep their template.
     """
 
     def canonical(token: Column, i: Column) -> Column:
@@ -61,7 +62,7 @@ def templates(found: Column) -> Column:
             opens = (i == 0) | F.endswith(F.get(found, i - 1), F.lit("."))
             return (
                 F.when(head.between(48, 57), NUMBER)
-                .when(capital, F.when(opens, F.lower(bare)).otherwise(NAME))
+                .when(capital, F.when(opens | (bare == F.upper(bare)), F.lower(bare)).otherwise(NAME))
                 .when(bare.isin(UNITS), UNIT)
                 .otherwise(bare)
             )

@@ -86,7 +86,25 @@ select doc_id, n::bigint as n_lines, g::bigint as n_dropped, sha256(kept) as kep
 from d join z using (rid)
 """
 
+OP8 = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (
+  select page_id, strlen(html)::bigint as payload_bytes, sha1(html) as h from p),
+f as (select h, min(page_id) as first from d group by h),
+b as (
+  select d.*, first, list_reduce(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_reduce(list_transform(range(0, 5), lambda k:
+      ((('0x' || substr(h, 1 + (5 * i + k) // 4, 1))::int >> (3 - (5 * i + k) % 4)) & 1) << (4 - k)), lambda x, y: x + y)::int, 1)),
+    lambda x, y: x || y) as digest
+  from d join f using (h))
+select page_id, payload_bytes, digest as payload_digest,
+       case when page_id > first then 'revisit' else 'response' end as record_type,
+       case when page_id > first then first end as refers_to
+from b
+"""
+
 ORACLES = {
     "op2_line_dedup": OP2,
+    "op8_warc": OP8,
     "op9_quality_rules": OP9,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, pieces, quality, rows, simhash
+from tidemark.llm import decontaminate, lengths, line_dedup, pieces, quality, rows, shards, simhash, warc
 from tidemark.sources import workdir
 
 
@@ -27,6 +27,41 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, benchmark).drop("text_hash")
 
 
+def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    return shards.sharded(docs, SHARDS).select(
+        "doc.doc_id",
+        "size",
+        F.crc32(rows.text_of("doc.text").cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    vocabulary = lengths.ranks(spark, RANKS)
+    length = lengths.encoded_length(F.col("text"), vocabulary, SPLIT_PATTERN)
+    return lengths.by_limit(lengths.histogram(docs, length))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = rows.table(spark, sf_dir, "pages")
+    archive = workdir.new_dir(spark, "warc")
+    warc.write(pages, archive)
+    found = warc.records(spark, archive)
+    number = lambda name: F.regexp_extract(name, "<urn:x-page:(-?[0-9]+)>", 1)
+    return found.select(
+        F.nullif(number("record_id"), F.lit("")).cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.nullif(number("refers_to"), F.lit("")).cast("long").alias("refers_to"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.table(spark, sf_dir, "documents")
     measured = workdir.saved(quality.measure(docs, keep=F.struct("doc_id")), "quality")
@@ -43,6 +78,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: how the byte-level vocabulary splits a text before merging.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SHARDS = 24
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +106,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_pieces": op4_pieces,
     "op5_decontaminate": op5_decontaminate,
+    "op6_histogram_sort": op6_histogram_sort,
+    "op7_token_lengths": op7_token_lengths,
+    "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }

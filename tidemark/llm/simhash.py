@@ -8,17 +8,21 @@ numbers of candidates: a part may be skipped (-1), must be equal (0) or may
 differ in T_i bits, which are then enumerated. Candidates share a part's value
 and are verified on all bits.
 
-Equal fingerprints are one class from the start. Part values that more than
-``HOT`` classes share are not paired: their classes are grouped by all
-fingerprints that come of blanking two bits, in groups of at most four, which
-finds the same links exactly.
+Equal fingerprints are one class from the start, so copies are never paired.
+A value that a large group of near copies shares is not paired either: its
+members are compared with its smallest one first, and then only with members
+that are still in other components.
+
+Defined results: a missing text is an empty one; texts without words have the
+fingerprint zero and are linked like any other. Rows that repeat belong
+together. An empty table has no fingerprints and no links.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,8 @@ from tidemark.sources import workdir
 
 BITS = 64
 SEED = 42
-HOT = 512
+# Near copies share this part of their five-word shingles, in percent.
+SIMILAR = 80
 
 
 def _shingle_hashes(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +88,8 @@ def fingerprint(text: Column, size: int = 3) -> Column:
     return of(text)
 
 
-def _bit_pairs(classes: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of classes, and how many have both of two bits set: 64 x 64 sums over all classes."""
+def _bit_pairs(classes: DataFrame) -> tuple[np.ndarray, int]:
+    """How many nodes have both of two bits set, as 64 x 64 sums over all nodes, and how many nodes there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BITS, BITS))
@@ -99,7 +104,7 @@ def _bit_pairs(classes: DataFrame) -> tuple[int, np.ndarray]:
     table = np.zeros(BITS * BITS)
     for row in sums.collect():  # 4096 rows at most
         table[row["at"]] = row["n"]
-    return classes.count(), table.reshape(BITS, BITS)
+    return table.reshape(BITS, BITS), classes.count()
 
 
 def _groups(correlation: np.ndarray, parts: int) -> list[list[int]]:
@@ -173,31 +178,44 @@ def _all_flips(group: list[int], t: int) -> list[int]:
     return [_mask(c) for k in range(t + 1) for c in itertools.combinations(group, k)]
 
 
-def links(classes: DataFrame, distance: int) -> DataFrame:
-    """(a, b): linked fingerprints; links inside a hot part value lead to its groups' smallest ones."""
-    n, both = _bit_pairs(classes)
-    found = []
-    for k, (group, t) in enumerate(plan(both, n, distance)):
-        key = F.col("fp").bitwiseAND(F.lit(_mask(group)))
-        index = classes.select(key.alias("key"), F.col("fp").alias("b"))
-        flips = F.explode(F.array(*[F.lit(x) for x in _all_flips(group, t)])).alias("flip")
-        probe = classes.select("fp", key.alias("at"), flips).select(F.col("at").bitwiseXOR(F.col("flip")).alias("key"), F.col("fp").alias("a"))
-        hot = workdir.saved(index.groupBy("key").count().filter(F.col("count") > HOT).select("key"), f"hot-{k}")
-        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-        cool = probe.join(hot, "key", "left_anti").join(index, "key").filter((F.col("a") < F.col("b")) & near)
-        found.append(cool.select("a", "b"))
-        outside = [b for b in range(BITS) if t or b not in group]
-        blanked = [~_mask(c) for c in itertools.combinations(outside, distance)]
-        inside = probe.join(hot, "key", "left_semi").select("a").union(index.join(hot, "key", "left_semi").select(F.col("b"))).distinct()
-        signed = inside.select("a", F.posexplode(F.array(*[F.lit(x) for x in blanked]))).select(
-            "a", "pos", F.col("a").bitwiseAND(F.col("col")).alias("rest")
-        )
-        together = signed.groupBy("pos", "rest").agg(F.collect_set("a").alias("all")).filter(F.size("all") > 1)
-        found.append(together.select(F.explode("all").alias("a"), F.array_min("all").alias("b")).filter("a <> b"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+def links(nodes: DataFrame, distance: int, verified: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+    """(a, b): links between nodes ``(node, fp)`` that join all that is linked; a saved table.
+
+    Candidates meet in a value of one part. First each node is compared with the
+    smallest node of every value, which is linear. Most of a large group of
+    copies is one component then. Then the candidates of different components
+    are compared: pairs inside a component could add nothing. ``verified`` may
+    drop pairs by a closer look.
+    """
+    nodes = nodes.select("node", "fp")
+    parts = plan(*_bit_pairs(nodes), distance)
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other_fp"))) <= distance
+
+    def index(rows_: DataFrame) -> DataFrame:
+        values = [F.struct(F.lit(k).alias("part"), F.col("fp").bitwiseAND(F.lit(_mask(g))).alias("key")) for k, (g, _) in enumerate(parts)]
+        return rows_.select("*", F.explode(F.array(*values)).alias("at"))
+
+    def probes(rows_: DataFrame) -> DataFrame:
+        flips = [F.struct(F.lit(k).alias("part"), F.lit(_mask(g)).alias("mask"), F.lit(x).alias("flip")) for k, (g, t) in enumerate(parts) for x in _all_flips(g, t)]
+        at = F.struct(F.col("p.part").alias("part"), F.col("fp").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip")).alias("key"))
+        return rows_.withColumn("p", F.explode(F.array(*flips))).withColumn("at", at).drop("p")
+
+    first = F.min(F.struct("node", "fp")).alias("first")
+    leaders = index(nodes).groupBy("at").agg(first).select("at", F.col("first.node").alias("other"), F.col("first.fp").alias("other_fp"))
+    near_leader = probes(nodes).join(leaders, "at").filter((F.col("node") != F.col("other")) & near)
+    pairs = near_leader.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    linked = workdir.saved(verified(pairs), "links")
+    roots = components.roots(linked).withColumnRenamed("root", "part_of")
+    parted = nodes.join(roots, "node", "left").select("node", "fp", F.coalesce("part_of", "node").alias("part_of"))
+    parted = workdir.saved(parted, "parted")
+    others = index(parted).select("at", F.col("node").alias("other"), F.col("fp").alias("other_fp"), F.col("part_of").alias("other_of"))
+    mixed = others.groupBy("at").agg(F.min("other_of").alias("low"), F.max("other_of").alias("high"))
+    # A value whose nodes are one component matters to nodes of other components only.
+    apart = (F.col("part_of") != F.col("low")) | (F.col("part_of") != F.col("high"))
+    asking = probes(parted).join(mixed, "at").filter(apart).drop("low", "high")
+    rest = asking.join(others, "at").filter((F.col("part_of") != F.col("other_of")) & near)
+    pairs = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return linked.union(workdir.saved(verified(pairs), "links"))
 
 
 def clusters(marked: DataFrame, doc_id: str = "doc_id", fp: str = "fp", distance: int = 2) -> DataFrame:
@@ -209,7 +227,7 @@ def clusters(marked: DataFrame, doc_id: str = "doc_id", fp: str = "fp", distance
     """
     ids = F.col(doc_id)
     classes = workdir.saved(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(ids).alias("least")), "classes")
-    roots = components.roots(links(classes.select("fp"), distance))
+    roots = components.roots(links(classes.select(F.col("fp").alias("node"), "fp"), distance))
     rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -218,4 +236,60 @@ def clusters(marked: DataFrame, doc_id: str = "doc_id", fp: str = "fp", distance
     return marked.join(of_fp, F.col(fp) == F.col("_fp")).drop("_fp")
 
 
+def shingle_set(text: Column, size: int) -> Column:
+    """Distinct hashes of the word shingles of a text; the whole of a shorter one."""
+
+    def windows(words_: Column) -> Column:
+        count = F.size(words_)
+        starts = F.slice(words_, 1, F.greatest(count - (size - 1), F.lit(1)))
+        return F.array_distinct(
+            F.transform(starts, lambda w, i: F.xxhash64(w, *[F.get(words_, i + k) for k in range(1, size)]))
+        )
+
+    return rows.let(rows.words_of(rows.ascii_lower(text)), windows)
+
+
+def similar(pairs: DataFrame, sets: DataFrame, percent: int = SIMILAR) -> DataFrame:
+    """The pairs whose shingle sets ``(node, shingles)`` are alike in ``percent`` of their union or more."""
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("mine")), "a")
+    both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("theirs")), "b")
+    common = F.size(F.array_intersect("mine", "theirs"))
+    sized = both.select("a", "b", common.alias("common"), (F.size("mine") + F.size("theirs")).alias("sizes"))
+    return sized.filter(F.col("common") * (100 + percent) >= percent * F.col("sizes")).select("a", "b")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, distance: int = 8, shingle: int = 5, percent: int = SIMILAR) -> DataFrame:
+    """One document of each group of near copies, the one of the smallest id, with its own columns.
+
+    Fingerprints of shingles of ``size`` words within ``distance`` bits propose
+    pairs of texts; those that share ``percent`` of their distinct shingles of
+    ``shingle`` words are linked. Groups are connected components. Equal texts
+    are one node. Of rows that tie in id and text, one stays; missing ids come last.
+    """
+    whole = rows.text_of(text)
+    marked = docs.select(
+        rows.packed(docs).alias("doc"),
+        F.col(doc_id).alias("id"),
+        F.xxhash64(whole).alias("node"),
+        fingerprint(F.col(text), size).alias("fp"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    marked = workdir.saved(marked, "marked")
+    nodes = workdir.saved(marked.groupBy("node").agg(F.min("fp").alias("fp")), "texts")
+    texts = marked.select("node", rows.text_of(f"doc.`{text}`").alias("text"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = workdir.saved(pairs, "pairs")
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        met = texts.join(asked, "node").groupBy("node").agg(F.any_value("text").alias("text"))
+        return similar(pairs, workdir.saved(met.select("node", shingle_set(F.col("text"), shingle).alias("shingles")), "shingles"), percent)
+
+    roots = components.roots(links(nodes, distance, verified))
+    rooted = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    first = marked.select("node", order.alias("o")).groupBy("node").agg(F.min("o").alias("o"))
+    stays = first.join(rooted, "node").groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.row").alias("row"))
+    return rows.unpacked(marked.join(stays, "row", "left_semi"))
+
+
 rows.shipped(__name__)
