@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, lengths, line_dedup, pieces, quality, rows, shards, simhash, warc
+from tidemark.llm import decontaminate, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, warc
 from tidemark.sources import workdir
 
 
@@ -84,6 +84,24 @@ SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 SHARDS = 24
 
 
+def op1_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    rest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
+    # Remainder 2 is not trained on; of the rest, 3 is deleted from the counts to learn the weights.
+    role = (
+        F.when(rest == 2, interpolation.TEST).when(rest == 3, interpolation.DELETED).otherwise(interpolation.COUNTED)
+    )
+    return interpolation.scored(docs, role).select(
+        F.col("id").alias("doc_id"),
+        (F.col("role") == interpolation.TEST).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.table(spark, sf_dir, "documents")
     return line_dedup.dedup_lines(docs).select(
@@ -103,6 +121,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_interpolation": op1_interpolation,
     "op2_line_dedup": op2_line_dedup,
     "op4_pieces": op4_pieces,
     "op5_decontaminate": op5_decontaminate,
