@@ -148,23 +148,6 @@ def _block(sizes: bytes, vocab: bytes, tokens: bytes, order: int) -> _Block:
     return _Block(counts, [(g & ~np.uint64(3)) | np.uint64(k) for k, g in enumerate(grams)], begins)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
-    """Runs of rows that agree in a column of the sorted batches."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        value = batch.column(column).to_numpy()
-        cuts = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1).tolist(), len(value)]
-        for a, b in zip(cuts, cuts[1:]):
-            if a == b:
-                continue
-            if held and held[-1].column(column)[0] != batch.column(column)[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def counts(packed: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
     """(block, role, part, counted, deleted, n_counted, n_deleted, v_counted, v_all); a saved table.
 
@@ -192,7 +175,7 @@ def counts(packed: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
                 )
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 0):
+        for table in rows.groups(batches, 0):
             runs = [_unpack_sorted(x.as_py()) for x in table["keys"]]
             sent = [_unpack(x.as_py()) if x.is_valid else None for x in table["n"]]
             roles, of, part = table["role"].to_numpy(), table["block"].to_numpy(), table["part"][0].as_py()
@@ -257,7 +240,7 @@ def held_out_counts(packed: DataFrame, found: DataFrame, documents: int, order:
     names = ["bucket", "c1"] + [x for k in range(2, order + 1) for x in (f"c{k}", f"x{k}")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 0):
+        for table in rows.groups(batches, 0):
             b, grams, contexts = _looked_up(table, order, False)
             for c in contexts:
                 c[b.begins] = documents
@@ -335,7 +318,7 @@ def scored(docs: DataFrame, role: Column, doc_id: str = "doc_id", text: str = "t
     begun = documents.get(COUNTED, 0) + documents.get(DELETED, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 0):
+        for table in rows.groups(batches, 0):
             b, grams, contexts = _looked_up(table, order, True)
             for c in contexts:
                 c[b.begins] = begun

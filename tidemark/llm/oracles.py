@@ -86,6 +86,19 @@ select doc_id, n::bigint as n_lines, g::bigint as n_dropped, sha256(kept) as kep
 from d join z using (rid)
 """
 
+OP3 = rf"""
+with d as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+win as (select rid, i, array_to_string(w[i:i+34], ' ') as g from d, unnest(range(1, len(w) - 33)) as u(i)),
+rep as (select rid, i from (select *, count(*) over (partition by g) as c from win) where c > 1),
+gone as (select distinct rid, i + j as k from rep, unnest(range(0, 35)) as u(j)),
+each as (select rid, k, w[k] as word from d, unnest(range(1, len(w) + 1)) as u(k)),
+kept as (
+  select e.rid, array_to_string(list(word order by e.k) filter (gone.k is null), ' ') as t, count(gone.k) as n
+  from each e left join gone on gone.rid = e.rid and gone.k = e.k group by e.rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (rid)
+"""
+
 OP8 = """
 with p as (select page_id, coalesce(html, '') as html from pages),
 d as (
@@ -105,6 +118,7 @@ from b
 
 ORACLES = {
     "op2_line_dedup": OP2,
+    "op3_repeats": OP3,
     "op8_warc": OP8,
     "op9_quality_rules": OP9,
 }

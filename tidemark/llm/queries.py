@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, warc
+from tidemark.llm import decontaminate, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, substrings, warc
 from tidemark.sources import workdir
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    return substrings.without_repeats(docs.select("doc_id", "text")).select(
+        "doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = pieces.encode(docs, PIECE_MODEL)
@@ -123,6 +130,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_interpolation": op1_interpolation,
     "op2_line_dedup": op2_line_dedup,
+    "op3_repeats": op3_repeats,
     "op4_pieces": op4_pieces,
     "op5_decontaminate": op5_decontaminate,
     "op6_histogram_sort": op6_histogram_sort,

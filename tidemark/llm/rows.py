@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,26 @@ def unpacked(df: DataFrame, column: str = "doc") -> DataFrame:
     return df.select(f"{column}.*")
 
 
+def groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
+    """Runs of rows that agree in a column of the sorted batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        value = batch.column(column).to_numpy()
+        cuts = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1).tolist(), len(value)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and held[-1].column(column)[0] != batch.column(column)[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def shipped(module: str) -> None:
     """Send a module's functions to the tasks by value: executors need not have this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+shipped(__name__)
