@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -19,6 +20,7 @@ spark = (
     .config("spark.ui.enabled", "false")
     .config("spark.ui.showConsoleProgress", "false")
     .config("spark.sql.shuffle.partitions", "8")
+    .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="check-"))
     .config("spark.driver.memory", "8g")
     .getOrCreate()
 )

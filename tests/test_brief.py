@@ -222,38 +222,42 @@ def test_blocks_and_prompt(spark):
     assert text == "in\n\n[Reads]\n- [src] R\n\nout"
 
 
-def plain_messages(head, blocks, limit):
-    packed, held = [], head
-    for block in blocks:
-        if len(held) + 2 + len(block) > limit:
-            packed.append(held)
-            held = block
-        else:
-            held += "\n\n" + block
-    out = []
-    for text in [*packed, held]:
-        while text:
-            cut = len(text)
-            if cut > limit:
-                ends = [i for i, c in enumerate(text[:limit]) if c == "\n" and i]
-                cut = ends[-1] if ends else limit
-            out.append(text[:cut])
-            text = text[cut:].lstrip("\n") if cut < len(text) else ""
-    return out
-
-
-def test_messages_match_plain_packing(spark):
+# Worked by hand: head, blocks, and the messages of at most twenty characters.
+MESSAGES = [
+    ("head", [], ["head"]),
+    ("head", ["one", "two"], ["head\n\none\n\ntwo"]),
+    ("head", ["0123456789", "abcdef"], ["head\n\n0123456789", "abcdef"]),
+    ("head", ["0123456789abcd"], ["head\n\n0123456789abcd"]),
+    ("head", ["0123456789abcde"], ["head", "0123456789abcde"]),
+    ("head", ["line one is here\nline two"], ["head", "line one is here", "line two"]),
+    ("head", ["x" * 45], ["head", "x" * 20, "x" * 20, "x" * 5]),
+    ("head", ["", "b"], ["head\n\n\n\nb"]),
+    ("head", ["😀" * 21], ["head", "😀" * 20, "😀"]),
+]
+
+
+def packed(spark, cases):
+    df = spark.createDataFrame([(i, h, b) for i, (h, b, *_) in enumerate(cases)], "run_date int, head string, blocks array<string>")
+    rows = sorted(br.messages(df, limit=20).collect(), key=lambda r: (r.run_date, r.position))
+    return [[r.message for r in rows if r.run_date == i] for i in range(len(cases))]
+
+
+def test_messages_worked_by_hand(spark):
+    assert packed(spark, MESSAGES) == [messages for *_, messages in MESSAGES]
+
+
+def test_messages_hold_everything_and_are_full(spark):
     rng = random.Random(8)
     cases = []
-    for i in range(60):
-        blocks = ["".join(rng.choice("abc\n😀") for _ in range(rng.choice([0, 3, 10, 19, 20, 21, 50]))) for _ in range(rng.randrange(6))]
-        cases.append((i, "head", blocks))
-    df = spark.createDataFrame(cases, "run_date int, head string, blocks array<string>")
-    got = br.messages(df, limit=20).collect()
-    for i, head, blocks in cases:
-        mine = [r.message for r in sorted(got, key=lambda r: r.position) if r.run_date == i]
-        assert mine == plain_messages(head, blocks, 20)
-        assert all(len(m) <= 20 for m in mine)
+    for _ in range(60):
+        blocks = ["".join(rng.choice("abc😀") for _ in range(rng.choice([1, 3, 10, 19, 20]))) for _ in range(rng.randrange(6))]
+        cases.append(("head", blocks))
+    for (head, blocks), messages in zip(cases, packed(spark, cases)):
+        assert all(0 < len(m) <= 20 for m in messages)
+        # Blocks that fit a message are never cut, and none is lost.
+        assert [part for m in messages for part in m.split("\n\n")] == [head, *blocks]
+        # The next message's first block would not have fitted.
+        assert all(len(a) + 2 + len(b.split("\n\n")[0]) > 20 for a, b in zip(messages, messages[1:]))
 
 
 def test_saved_days(spark, tmp_path):

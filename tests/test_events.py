@@ -140,11 +140,17 @@ def test_identities(spark):
 
 
 def test_alerts(spark):
-    bodies = [event(event="purchase", props={"pkg": "gold", "amount": 5000, "userId": "u"}), event(event="purchase"), event()]
-    rows = ev.alerts(ev.normalise(envelopes(spark, bodies), ["n"]), ["n"]).orderBy("n").collect()
+    big = {"pkg": "big", "amount": 7, "pad": "x" * 9000}
+    bodies = [
+        event(event="purchase", props={"pkg": "gold", "amount": 5000, "userId": "u"}), event(event="purchase"), event(),
+        event(event="purchase", props=big),
+    ]
+    rows = ev.alerts(ev.normalise(envelopes(spark, bodies), ["n"], with_raw=True), ["n"]).orderBy("n").collect()
     assert [r.message for r in rows] == [
         "\U0001F4B0 **결제** `a` — gold / 5000원 (user u)",
         "\U0001F4B0 **결제** `a` — ? / ?원 (user anon)",
+        # The guard empties the props of this one, its alert is whole.
+        "\U0001F4B0 **결제** `a` — big / 7원 (user anon)",
     ]
 
 
@@ -195,7 +201,7 @@ def test_stream_equals_batch(spark, tmp_path, landed):
     assert {str(r.day) for r in stored.select("day").collect()} == {"1970-01-01"}
     assert key(stored.select(batch.columns).collect()) == key(batch.collect())
     stream.append_alerts(read(), str(tmp_path / "alerts"), str(tmp_path / "s2"), keep=["n"]).awaitTermination()
-    assert key(spark.read.parquet(str(tmp_path / "alerts")).collect()) == key(ev.alerts(batch, ["n"]).collect())
+    assert key(spark.read.parquet(str(tmp_path / "alerts")).collect()) == key(ev.alerts(ev.normalise(spark.read.parquet(path), ["n"], with_raw=True), ["n"]).collect())
 
 
 def test_identity_stream_and_replay(spark, tmp_path, landed):
@@ -209,9 +215,30 @@ def test_identity_stream_and_replay(spark, tmp_path, landed):
     run("a")
     columns = ["app", "distinct_id", "user_id", "first_seen"]
     assert key(stream.read_identities(spark, root).select(columns).collect()) == key(want.select(columns).collect())
-    # A new state folder replays every batch over the tables that are already there.
+    # A new state folder applies every batch again, on top of what is already there.
     run("b")
     assert key(stream.read_identities(spark, root).select(columns).collect()) == key(want.select(columns).collect())
+    # Folding the changes keeps the table, and later changes go on top.
+    stream.compact_identities(spark, root)
+    assert key(stream.read_identities(spark, root).select(columns).collect()) == key(want.select(columns).collect())
+    run("c")
+    assert key(stream.read_identities(spark, root).select(columns).collect()) == key(want.select(columns).collect())
+
+
+def test_identities_survive_a_new_checkpoint(spark, tmp_path):
+    root, schema = str(tmp_path / "ids"), "n long, ua string, country string, received_at timestamp, body string"
+
+    def run(state, rows):
+        path = str(tmp_path / f"in-{state}")
+        for k, (who, user) in enumerate(rows):
+            envelopes(spark, [event(event="$identify", distinct_id=who, user_id=user)]).write.mode("append").parquet(path)
+        read = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        stream.maintain_identities(read, root, str(tmp_path / state), order=["received_at", "pos"]).awaitTermination()
+
+    run("a", [("d0", "u0"), ("d1", "u1"), ("d2", "u2")])
+    run("b", [("d3", "u3"), ("d1", "new")])
+    got = {r.distinct_id: r.user_id for r in stream.read_identities(spark, root).collect()}
+    assert got == {"d0": "u0", "d1": "new", "d2": "u2", "d3": "u3"}
 
 
 def test_local_days(spark):

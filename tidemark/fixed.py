@@ -18,7 +18,7 @@ PREVIEW_TEXT_CHARS = 120
 # --- Fixed values: sources --------------------------------------------------
 SESSION_KIND = "claude_session"
 NOTE_KIND = "manual_note"
-NOTE_STATUS = "saved; embedding queued"
+NOTE_STATUS = "saved; embedding queued (rag-worker will backfill within ~2s)"
 
 # --- Fixed values: secret shapes (published key formats) --------------------
 SECRET_PATTERNS = (
@@ -127,9 +127,9 @@ HEADINGS = {
     "reads": "📣 <b>마케팅 읽을거리</b>",
     "segments": "📊 <b>세그먼트별 관심사 추이</b>",
     "searches": "🔥 <b>오늘 한국 실시간 검색</b>",
-    "products": "🚀 <b>Products</b>",
-    "topics": "📰 <b>Topics</b>",
-    "repos": "🐙 <b>Repositories</b>",
+    "products": "🚀 <b>Product Hunt</b>",
+    "topics": "📰 <b>GeekNews · 어제</b>",
+    "repos": "🐙 <b>GitHub Trending · Python</b>",
 }
 
 # --- Fixed values: snapshots ------------------------------------------------

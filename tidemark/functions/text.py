@@ -29,8 +29,8 @@ def strip(text: Column) -> Column:
 
 
 def first_line(text: Column) -> Column:
-    """First line that is not blank, without its indent; '' when there is none."""
-    return F.regexp_extract(F.ltrim(text, F.lit(WHITE_SPACE)), _FIRST_LINE, 0)
+    """First line of the stripped text; '' when there is none."""
+    return F.regexp_extract(strip(text), _FIRST_LINE, 0)
 
 
 def blank_to_null(text: Column) -> Column:

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.text import escape_markup
-from tidemark.sources.workdir import saved
+from tidemark.operators import keyed
+from tidemark.sources.workdir import saved, shared_dir
 
 # --- rankings ---------------------------------------------------------------
 
 
 def first_n(
-    rows: DataFrame, order: Sequence[Column | str], n: int, by: Sequence[str] = ()
+    rows: DataFrame, order: Sequence[Column | str], n: int | None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """First n rows, or first n of every group, with ``rank`` from 1.
+    """First n rows, or first n of every group, with ``rank`` from 1; all of a group when n is None.
 
     Without groups the cut comes first and only n rows are numbered. With
     groups Spark applies the limit in every task before the shuffle.
@@ -27,7 +31,8 @@ def first_n(
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     if by:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        return rows.withColumn("rank", place).filter(F.col("rank") <= n)
+        ranked = rows.withColumn("rank", place)
+        return ranked if n is None else ranked.filter(F.col("rank") <= n)
     best = rows.orderBy(*order).limit(n)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
@@ -37,21 +42,20 @@ def without_titles(rows: DataFrame, words: Sequence[str] = fixed.TITLE_EXCLUDES)
 
 
 def topics_of_day(
-    topics: DataFrame, pages: DataFrame, day: str, max_pages: int = fixed.MAX_PAGES
+    topics: DataFrame, pages: DataFrame, day: str, max_pages: int | None = fixed.MAX_PAGES
 ) -> DataFrame:
     """Topics dated ``day`` on pages sorted from new to old.
 
     Paging ends with the first page that is empty or reaches back before the
-    day, and after ``max_pages``. ``page`` counts from 1.
+    day, and after ``max_pages`` unless that is None. ``page`` counts from 1.
     """
     reach = topics.groupBy("page").agg(F.min("date").alias("oldest"), F.count("*").alias("n"))
     ends = pages.select("page").join(reach, "page", "left").filter(
         F.col("n").isNull() | (F.col("oldest") < day)
     )
-    last = F.coalesce(ends.agg(F.min("page")).scalar(), F.lit(max_pages))
-    return topics.filter(
-        (F.col("date") == day) & (F.col("page") <= max_pages) & (F.col("page") <= last)
-    )
+    last = ends.agg(F.min("page")).scalar()
+    within = F.lit(True) if max_pages is None else F.col("page") <= max_pages
+    return topics.filter((F.col("date") == day) & within & (last.isNull() | (F.col("page") <= last)))
 
 
 def top_topics(
@@ -165,17 +169,33 @@ def isolate(
     """Run every section on its own: a failing one becomes an error, the others stay.
 
     Each result is written to the shared folder, so an error shows up here
-    and not when the day is put together.
+    and not when the day is put together. Only what the data or the builder
+    gets wrong is isolated. A missing folder, a full disk or a lost executor is
+    a fault of the cluster and stops the run.
     """
     sections, errors = {}, []
+    if builders:
+        shared_dir(SparkSession.active())
     for name, build in builders.items():
         try:
             sections[name] = saved(build(), f"section-{name}")
+        except Py4JError:
+            raise
         except Exception as error:  # noqa: BLE001
+            if isinstance(error, PySparkException) and _of_cluster(error):
+                raise
             errors.append(f"{name}: {str(error).splitlines()[0]}")
     return sections, errors
 
 
+def _of_cluster(error: PySparkException) -> bool:
+    """Whether a Spark error names no condition of the data or the plan."""
+    condition = error.getCondition() or ""
+    return condition.startswith(("TASK_WRITE_FAILED", "_LEGACY_ERROR_TEMP")) or (
+        not condition and not re.search(r"\[[A-Z_.]+\]", str(error))
+    )
+
+
 def assemble(
     days: DataFrame, sections: Mapping[str, DataFrame], errors: Sequence[str] = (), ideas: DataFrame | None = None
 ) -> DataFrame:
@@ -220,6 +240,32 @@ def save_day(day: DataFrame, path: str) -> None:
     )
 
 
+def upsert_days(days: DataFrame, path: str) -> None:
+    """Write rows of ``run_date`` over the same days of a table kept in folders of a month.
+
+    Only the months that the rows fall into are rewritten; their other days stay.
+    """
+    month = F.date_format("run_date", "yyyy-MM")
+    rows = saved(days.withColumn("month", month), "days")
+    spark = days.sparkSession
+    try:
+        stored = spark.read.schema(rows.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = rows.limit(0)
+    touched = stored.join(rows.select("month").distinct(), "month", "left_semi").select(*rows.columns)
+    # The table is read and overwritten, so what stays is set down first.
+    merged = saved(keyed.upsert(touched, rows, ["run_date", "month"]), "days")
+    (
+        merged.repartition("month")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(path)
+    )
+
+
 def latest_day(days: DataFrame) -> DataFrame:
     return days.orderBy(F.desc("run_date")).limit(1)
 

@@ -40,13 +40,17 @@ def envelope_events(
     )
 
 
-def normalise(envelopes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def normalise(
+    envelopes: DataFrame, keep: Sequence[str] = (), limit: int = fixed.BATCH_EVENTS, with_raw: bool = False
+) -> DataFrame:
     """Request envelopes (``ua, country, received_at, body``) to event rows.
 
-    ``keep`` names further envelope columns to carry along.
+    ``keep`` names further envelope columns to carry along. ``with_raw`` adds
+    ``raw``: the fields of an alert as they were sent, which the size guard on
+    ``props`` may remove from there.
     """
     rows = envelope_events(
-        drop_bots(envelopes), [*keep, "ua", "country", "received_at"]
+        drop_bots(envelopes), [*keep, "ua", "country", "received_at"], limit
     )
     event = F.col("event")
     props = F.to_json(F.try_variant_get(event, "$.props", "variant"))
@@ -67,6 +71,7 @@ def normalise(envelopes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.coalesce(context, F.lit("{}")).alias("ctx"),
         "country",
         F.left("ua", F.lit(fixed.UA_CHARS)).alias("ua"),
+        *[_alert_fields(event).alias("raw") for _ in range(int(with_raw))],
     )
     required = reduce(and_, (F.col(c) != "" for c in ("app", "event", "distinct_id")))
     return fields.filter(required).withColumns(
@@ -74,6 +79,10 @@ def normalise(envelopes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _alert_fields(event: Column) -> Column:
+    return F.struct(*[F.try_variant_get(event, f"$.props.{name}", "string").alias(name) for name in ("pkg", "amount", "userId")])
+
+
 def identity_batch(
     events: DataFrame, order: Sequence[str], identify: str = fixed.IDENTIFY
 ) -> DataFrame:
@@ -98,11 +107,8 @@ def resolve(events: DataFrame, identities: DataFrame) -> DataFrame:
 
 
 def alerts(events: DataFrame, keep: Sequence[str] = (), purchase: str = fixed.PURCHASE) -> DataFrame:
-    """Alert text for every purchase event."""
-    props = F.try_parse_json("props")
-    field = lambda name, missing: F.coalesce(
-        F.try_variant_get(props, f"$.{name}", "string"), F.lit(missing)
-    )
+    """Alert text for every purchase event, from events normalised ``with_raw`` fields."""
+    field = lambda name, missing: F.coalesce(F.col(f"raw.{name}"), F.lit(missing))
     text = F.format_string(
         fixed.ALERT_FORMAT, F.col("app"), field("pkg", "?"), field("amount", "?"), field("userId", "anon")
     )
@@ -110,8 +116,9 @@ def alerts(events: DataFrame, keep: Sequence[str] = (), purchase: str = fixed.PU
 
 
 def counts(events: DataFrame, unit: str = "day") -> DataFrame:
-    """Events per app, event and time unit."""
-    return events.groupBy("app", "event", F.date_trunc(unit, "ts").alias("at")).agg(
+    """Events per app, event and UTC time unit."""
+    at = F.date_trunc(unit, times.utc_clock(F.col("ts")))
+    return events.groupBy("app", "event", at.alias("at")).agg(
         F.count("*").alias("n")
     )
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.operators.vector import vector_topk, with_norm
 
-TRAINING_ROWS_PER_LIST = 1000
 _SPREAD = 16
 
 
@@ -29,17 +28,12 @@ class Lists:
 def build_lists(chunks: DataFrame, n_lists: int = fixed.IVF_LISTS, seed: int = 7) -> Lists:
     """Assign every embedded chunk to its nearest centroid.
 
-    Centroids are trained on about a thousand rows per list; every row is
-    then assigned, so nothing is lost to the sample.
+    Centroids are trained on all rows, at every size.
     """
     usable = with_norm(chunks.filter(F.col("embedding").isNotNull())).filter(F.col("norm") > 0)
     unit = F.transform("embedding", lambda v: v.cast("double") / F.col("norm"))
     points = usable.withColumn("features", array_to_vector(unit))
-    fraction = min(1.0, TRAINING_ROWS_PER_LIST * n_lists / max(usable.count(), 1))
-    training = points.select("features")
-    if fraction < 1.0:
-        training = training.sample(fraction=fraction, seed=seed)
-    model = KMeans(k=n_lists, seed=seed, maxIter=10, predictionCol="list_id").fit(training)
+    model = KMeans(k=n_lists, seed=seed, maxIter=10, predictionCol="list_id").fit(points.select("features"))
     return Lists(model.transform(points).drop("features"), np.array(model.clusterCenters()))
 
 

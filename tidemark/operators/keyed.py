@@ -89,7 +89,7 @@ def delete_outcomes(
     """Per requested source: ``deleted`` and the reason when it was not."""
     kind = F.col("kind")
     reason = F.when(kind.isNull(), F.lit("not_found")).when(
-        kind != deletable, F.concat(F.lit("refuse: kind="), kind, F.lit(" cannot be deleted"))
+        kind != deletable, F.concat(F.lit("refuse: kind="), kind, F.lit(" cannot be deleted via MCP"))
     )
     asked = requests.select("source_id").distinct()
     return asked.join(sources.select("source_id", "kind"), "source_id", "left").select(

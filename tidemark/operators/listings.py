@@ -19,7 +19,7 @@ DETAIL_SCHEMA = """item STRUCT<
   itemId: BIGINT, salesType: STRING, serviceType: STRING, roomType: STRING, status: STRING,
   title: STRING, description: STRING, bjdCode: STRING, jibunAddress: STRING,
   imageThumbnail: STRING, moveinDate: STRING, updatedAt: STRING, options: ARRAY<STRING>,
-  price: STRUCT<deposit: INT, rent: INT>, manageCost: STRUCT<amount: INT>,
+  price: STRUCT<deposit: DOUBLE, rent: DOUBLE>, manageCost: STRUCT<amount: DOUBLE>,
   area: STRUCT<`전용면적M2`: DECIMAL(6,2)>, floor: STRUCT<floor: STRING, allFloors: STRING>,
   location: STRUCT<lat: DECIMAL(10,7), lng: DECIMAL(10,7)>,
   addressOrigin: STRUCT<localText: STRING>>"""
@@ -39,7 +39,7 @@ def scan(
     Plain comparisons on columns, so a stored table takes them in its scan.
     """
     return listed.filter(
-        F.substr("geohash", F.lit(1), F.lit(5)).isin(list(geohashes))
+        reduce(or_, (F.startswith("geohash", F.lit(prefix)) for prefix in geohashes))
         & (F.col("sales_type") == sales_type)
         & F.col("deposit").between(0, deposit_max)
         & F.col("rent").between(0, rent_max)
@@ -116,6 +116,11 @@ def wanted(
     return F.coalesce(matches, F.lit(False))
 
 
+def _whole(amount: Column) -> Column:
+    """An amount as the integer column holds it; NULL when it is too large for one."""
+    return F.bround(amount, 0).try_cast("int")
+
+
 def flatten(
     parsed: DataFrame, source: str, villa_url: str, officetel_url: str
 ) -> DataFrame:
@@ -134,9 +139,9 @@ def flatten(
         item["salesType"].alias("sales_type"),
         item["serviceType"].alias("service_type"),
         item["roomType"].alias("room_type"),
-        item["price"]["deposit"].alias("deposit"),
-        item["price"]["rent"].alias("rent"),
-        item["manageCost"]["amount"].alias("manage_cost"),
+        _whole(item["price"]["deposit"]).alias("deposit"),
+        _whole(item["price"]["rent"]).alias("rent"),
+        _whole(item["manageCost"]["amount"]).alias("manage_cost"),
         item["area"]["전용면적M2"].alias("area_m2"),
         item["floor"]["floor"].alias("floor"),
         item["floor"]["allFloors"].alias("all_floors"),
@@ -191,13 +196,17 @@ def area_counts(listings: DataFrame) -> DataFrame:
     return rows.orderBy(F.desc("n"), "prefix")
 
 
-def within_days(rows: DataFrame, column: str, as_of: Column, days: int = fixed.DAYS) -> DataFrame:
-    """Rows of the last ``days`` days before ``as_of``."""
+def within_days(
+    rows: DataFrame, column: str, as_of: Column, days: int | None = fixed.DAYS
+) -> DataFrame:
+    """Rows of the last ``days`` days before ``as_of``; all rows when ``days`` is None."""
+    if days is None:
+        return rows
     return rows.filter(F.col(column) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
 def run_days(
-    runs: DataFrame, as_of: Column, days: int = fixed.DAYS, zone: str = fixed.LOCAL_ZONE
+    runs: DataFrame, as_of: Column, days: int | None = fixed.DAYS, zone: str = fixed.LOCAL_ZONE
 ) -> DataFrame:
     """Successful runs per local day: last start and number of new listings."""
     fine = within_days(runs.filter(F.col("status") == "ok"), "started_at", as_of, days)
@@ -210,7 +219,7 @@ def listings_by_day(
     listings: DataFrame,
     runs: DataFrame,
     as_of: Column,
-    days: int = fixed.DAYS,
+    days: int | None = fixed.DAYS,
     zone: str = fixed.LOCAL_ZONE,
 ) -> DataFrame:
     """Listings with local day and area, newest first; a run day without any gives one NULL row.

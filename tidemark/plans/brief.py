@@ -74,7 +74,7 @@ def topics_of_day(spark, sf_dir):
     numbered = lambda df: df.withColumn("page", F.col("page_id") + 1)
     source = _topic_pages(spark, sf_dir)
     rows = br.topics_of_day(
-        numbered(pages.topic_rows(source, TOPIC_URL)), numbered(source), "2024-12-25", max_pages=1_000_000
+        numbered(pages.topic_rows(source, TOPIC_URL)), numbered(source), "2024-12-25", max_pages=None
     )
     return rows.select("id", "page", "date")
 
@@ -276,7 +276,7 @@ def _builders(spark, sf_dir):
         rows = br.segment_items(_changes(spark, sf_dir)).withColumn(
             "run_date", F.lit(LAST_DAY).cast("date")
         )
-        return br.first_n(rows, ["segment"], 1000, by=["run_date"])
+        return br.first_n(rows, ["segment"], None, by=["run_date"])
 
     return {
         "topics": topics,
@@ -289,9 +289,12 @@ def _builders(spark, sf_dir):
 
 
 def _days(spark, sf_dir):
-    """Daily rows of all days on which a labelled document appeared."""
+    """Daily rows of all days that have an entry in some section or a labelled document."""
     sections, errors = br.isolate(_builders(spark, sf_dir))
-    days = table(spark, sf_dir, "labels").select(_topic_day(F.col("doc_id")).alias("run_date")).distinct()
+    days = table(spark, sf_dir, "labels").select(_topic_day(F.col("doc_id")).cast("date").alias("run_date"))
+    for rows in sections.values():
+        days = days.unionByName(rows.select("run_date"))
+    days = days.distinct()
     days = days.withColumn("topics_date", F.date_sub("run_date", 1))
     return br.assemble(days, sections, errors)
 
@@ -337,11 +340,9 @@ def brief_upsert(spark, sf_dir):
     second = table(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("run_date")).agg(
         F.count("*").alias("n"), F.lit("lines").alias("ideas")
     )
-    # One folder per month keeps the number of partitions small; a month is replaced whole.
-    month = F.date_format("run_date", "yyyy-MM")
-    for rows in (first, second.filter(F.col("run_date") >= "2000-01-01")):
-        br.save_day(rows.select(month.alias("run_date"), "n", F.dayofmonth("run_date").alias("day"), "ideas").repartition("run_date"), path)
-    return spark.read.parquet(path).select(F.col("run_date").cast("string").alias("month"), "day", "n", "ideas")
+    for rows in (first, second):
+        br.upsert_days(rows, path)
+    return spark.read.parquet(path).select(F.col("run_date").cast("string").alias("day"), "n", "ideas")
 
 
 def brief_schema_change(spark, sf_dir):

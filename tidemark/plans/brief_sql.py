@@ -63,7 +63,9 @@ pcts AS (
   FROM means),
 changes AS (SELECT *, CASE WHEN pct > 12 THEN 'up' WHEN pct < -12 THEN 'down' ELSE 'flat' END AS dir FROM pcts)"""
 _EXCLUDED = "NOT regexp_matches(title, '채용|구인|모집|후원|광고|이벤트|할인|프로모션|출시 기념')"
-DAYS = f"""days AS (SELECT DISTINCT {TOPIC_DAY} AS run_date FROM labels)"""
+DAYS = f"""days AS (SELECT DISTINCT run_date FROM (
+  SELECT {TOPIC_DAY} AS run_date FROM labels UNION ALL SELECT {day('(p_partkey // 25)')} FROM part
+  UNION ALL SELECT {day('page_id')} FROM pages UNION ALL SELECT DATE '2024-12-31'))"""
 
 
 def top_per_day(rows: str, date: str, order: str, n: int, name: str) -> str:
@@ -158,13 +160,11 @@ ORACLES = {
           least(5, (SELECT count(*) FROM repos WHERE {day('page_id')} = run_date))::INT AS n_repos FROM best""",
     "recent_brief_dates": f"""WITH {DAYS} SELECT strftime(run_date, '%Y-%m-%d') AS run_date FROM days
         ORDER BY run_date DESC LIMIT 30""",
-    "brief_upsert": """WITH lines AS (SELECT l_shipdate::DATE AS d, count(*) AS n FROM lineitem
-          WHERE l_shipdate >= DATE '2000-01-01' GROUP BY 1),
+    "brief_upsert": """WITH lines AS (SELECT l_shipdate::DATE AS d, count(*) AS n FROM lineitem GROUP BY 1),
         old AS (SELECT o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1)
-        SELECT strftime(d, '%Y-%m') AS month, day(d)::INT AS day, n, 'lines' AS ideas FROM lines
+        SELECT d::VARCHAR AS day, n, 'lines' AS ideas FROM lines
         UNION ALL
-        SELECT strftime(d, '%Y-%m'), day(d)::INT, n, 'orders' FROM old
-        WHERE strftime(d, '%Y-%m') NOT IN (SELECT strftime(d, '%Y-%m') FROM lines)""",
+        SELECT d::VARCHAR, n, 'orders' FROM old WHERE d NOT IN (SELECT d FROM lines)""",
     "brief_schema_change": """SELECT 'orders' AS origin, '-' AS ideas, count(*) AS n FROM orders
         UNION ALL SELECT 'lines', l_returnflag, count(*) FROM lineitem GROUP BY l_returnflag""",
     "brief_prompt": f"""WITH {SECTIONS}, per_segment AS ({_SEGMENT_ROWS}),
@@ -226,15 +226,15 @@ _BLOCK_LINES = {
     "🔥 <b>오늘 한국 실시간 검색</b>": _ranked(
         "day_searches", "run_date", "feed_pos", f"'• ' || {esc('title')} || ' <i>(' || traffic || ')</i>'"
     ),
-    "🚀 <b>Products</b>": _ranked(
+    "🚀 <b>Product Hunt</b>": _ranked(
         "day_products", "run_date", "feed_pos",
         f"'<b>' || rank || '.</b> ' || {_link('url', 'name')} || CASE WHEN tagline <> '' THEN ' — ' || {esc('tagline')} ELSE '' END",
     ),
-    "📰 <b>Topics</b>": _ranked(
+    "📰 <b>GeekNews · 어제</b>": _ranked(
         "day_topics", "run_date", "points DESC, doc_id",
         f"'<b>' || rank || '.</b> ' || {_link('url', 'title')} || '  👍' || points || chr(10) || '<i>' || {esc('about')} || '</i>'",
     ),
-    "🐙 <b>Repositories</b>": _ranked(
+    "🐙 <b>GitHub Trending · Python</b>": _ranked(
         "day_repos", "run_date", "stars_today DESC, p_partkey",
         f"'<b>' || rank || '.</b> ' || {_link(chr(39) + 'https://github.com/' + chr(39) + ' || repo', 'repo')} || '  ⭐+' || stars_today || chr(10) || '<i>' || {esc('description')} || '</i>'",
     ),

@@ -10,7 +10,8 @@ from tidemark.plans.inputs import table
 from tidemark.sources.workdir import new_dir
 from tidemark.streaming import events as stream
 
-EVENTS_PER_REQUEST = 60
+# Requests hold as many events as are read of one; a longer one shows where reading ends.
+EVENTS_PER_REQUEST, LONG_REQUEST = 50, 60
 STEPS = ("signup", "view", "click", "purchase")
 AGENTS = ("Mozilla/5.0 (X11)", None, "Googlebot/2.1", "curl/8.5", "okhttp/4.12")
 
@@ -25,7 +26,12 @@ def _bodies(events):
     cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
     props = F.when(
         F.col("event_type") == "purchase",
-        F.concat(F.lit('{"amount":'), cents, F.lit(',"pkg":"pack"}')),
+        # Some purchases are too large for the props that are kept.
+        F.concat(
+            F.lit('{"amount":'), cents, F.lit(',"pkg":"pack"'),
+            F.when(F.col("event_id") % 97 == 0, F.concat(F.lit(',"pad":"'), F.repeat(F.lit("x"), F.lit(9000)), F.lit('"'))).otherwise(""),
+            F.lit("}"),
+        ),
     ).otherwise(F.col("props"))
     body = F.concat(
         F.lit('{"app":"app'), (F.col("user_id") % 3).cast("string"),
@@ -44,10 +50,10 @@ def _agent(number):
     return F.get(F.lit([a or "" for a in AGENTS]), (number % len(AGENTS)).cast("int"))
 
 
-def _envelopes(spark, sf_dir):
-    """Requests of up to 60 events each, in event order."""
+def _envelopes(spark, sf_dir, size=EVENTS_PER_REQUEST):
+    """Requests of up to ``size`` events each, in event order."""
     bodies = _bodies(table(spark, sf_dir, "events"))
-    request = F.floor(F.col("event_id") / EVENTS_PER_REQUEST).cast("bigint")
+    request = F.floor(F.col("event_id") / size).cast("bigint")
     entry = F.struct("event_id", "body")
     grouped = bodies.groupBy(request.alias("request")).agg(
         F.array_sort(F.collect_list(entry)).alias("entries"),
@@ -64,8 +70,8 @@ def _envelopes(spark, sf_dir):
     )
 
 
-def _normalised(spark, sf_dir):
-    return ev.normalise(_envelopes(spark, sf_dir), ["request"])
+def _normalised(spark, sf_dir, with_raw=False):
+    return ev.normalise(_envelopes(spark, sf_dir), ["request"], with_raw=with_raw)
 
 
 def _plain(rows):
@@ -75,7 +81,9 @@ def _plain(rows):
 
 
 def events_normalise(spark, sf_dir):
-    return _plain(_normalised(spark, sf_dir).withColumn("pos", F.col("pos").cast("bigint")))
+    """Requests of sixty events, of which fifty are read."""
+    rows = ev.normalise(_envelopes(spark, sf_dir, LONG_REQUEST), ["request"])
+    return _plain(rows.withColumn("pos", F.col("pos").cast("bigint")))
 
 
 def event_json_guard(spark, sf_dir):
@@ -90,10 +98,11 @@ def event_json_guard(spark, sf_dir):
 
 
 def _identities(events):
-    batch = ev.identity_batch(events, ["received_at", "request", "pos"], "signup")
-    known = events.limit(0).select(
-        "app", "distinct_id", "user_id", F.col("received_at").alias("first_seen")
-    )
+    """Identities of the earlier requests, and those of the later ones written over them."""
+    at = F.unix_micros("received_at")
+    half = events.agg(F.avg(at)).scalar()
+    order = ["received_at", "request", "pos"]
+    known, batch = (ev.identity_batch(events.filter(part), order, "signup") for part in (at < half, at >= half))
     return ev.upsert_identities(known, batch)
 
 
@@ -108,12 +117,12 @@ def events_resolved(spark, sf_dir):
 
 
 def purchase_alerts(spark, sf_dir):
-    rows = ev.alerts(_normalised(spark, sf_dir), ["request", "pos"])
+    rows = ev.alerts(_normalised(spark, sf_dir, with_raw=True), ["request", "pos"])
     return rows.select("request", F.col("pos").cast("bigint").alias("pos"), "message")
 
 
 def event_counts(spark, sf_dir):
-    rows = ev.counts(_normalised(spark, sf_dir).withColumn("ts", times.utc_clock(F.col("ts"))))
+    rows = ev.counts(_normalised(spark, sf_dir))
     return rows.withColumn("at", F.date_format("at", "yyyy-MM-dd"))
 
 
@@ -182,12 +191,17 @@ _SENT = """sent AS (
          CASE WHEN event_type IN ('signup', 'purchase') THEN 'u' || user_id % 7 || '-' || event_id % 5 END AS user_id,
          CASE WHEN event_id % 4 <> 0 THEN (event_id % 4)::VARCHAR END AS session_id,
          epoch_us(ts) // 1000 * 1000 AS ts,
-         CASE WHEN event_type = 'purchase' THEN '{"amount":' || round(value * 100)::BIGINT || ',"pkg":"pack"}'
+         CASE WHEN event_type = 'purchase' AND event_id % 97 = 0 THEN '{}'
+              WHEN event_type = 'purchase' THEN '{"amount":' || round(value * 100)::BIGINT || ',"pkg":"pack"}'
               ELSE replace(props, ' ', '') END AS props,
          '{}' AS ctx, round(value * 100)::BIGINT AS cents
   FROM events)"""
 _AGENT = "CASE {n} % 5 WHEN 0 THEN 'Mozilla/5.0 (X11)' WHEN 1 THEN '' WHEN 4 THEN 'okhttp/4.12' END"
-_BATCHED = f"""{_SENT}, kept AS (
+_BATCHED = f"""{_SENT.replace('60', str(EVENTS_PER_REQUEST))}, batched AS (
+  SELECT *, epoch_us(max(arrived) OVER (PARTITION BY request)) AS received_at, 'KR' AS country,
+         {_AGENT.format(n='request')} AS ua
+  FROM sent WHERE request % 5 NOT IN (2, 3))"""
+_CUT = f"""{_SENT}, kept AS (
   SELECT *, epoch_us(max(arrived) OVER (PARTITION BY request)) AS received_at, 'KR' AS country,
          {_AGENT.format(n='request')} AS ua
   FROM sent WHERE request % 5 NOT IN (2, 3)),
@@ -200,7 +214,7 @@ _STREAMED = f"streamed AS (SELECT *, {_AGENT.format(n='event_id')} AS ua FROM se
 _ALERT = "'💰 **결제** `' || app || '` — pack / ' || cents || '원 (user anon)' AS message"
 
 ORACLES = {
-    "events_normalise": f"""WITH {_BATCHED} SELECT request, pos, app, event, distinct_id, user_id,
+    "events_normalise": f"""WITH {_CUT} SELECT request, pos, app, event, distinct_id, user_id,
         session_id, ts, received_at, props, ctx, country, ua FROM batched""",
     "event_json_guard": """SELECT doc_id, n_chars, n_chars > 8000 AS emptied FROM (
         SELECT doc_id, length('{"text": ') + 1 + length(to_json(text)::VARCHAR)

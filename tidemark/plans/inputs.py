@@ -9,25 +9,20 @@ from tidemark.functions import text as tx
 from tidemark.operators import chunking, lexical
 
 
-# Tables whose rows are costly to process, with the key that spreads them.
-_HEAVY = {"documents": "doc_id", "pages": "page_id", "orders": "o_orderkey"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A heavy one that fewer tasks read than there are cores is spread out.
+    """A given table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    A table of many files already has tasks enough and stays as it is read.
-    """
-    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _HEAVY and rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores, _HEAVY[name])
-    return rows
+
+def redacted(spark, sf_dir) -> DataFrame:
+    """Documents without secrets: nothing of a raw text may reach a title, a chunk or an index."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.withColumn("text", tx.redact(F.col("text")))
 
 
 def documents(spark, sf_dir) -> DataFrame:
     """Source rows with their text: kind = language, origin = source/doc_id."""
-    docs = table(spark, sf_dir, "documents")
+    docs = redacted(spark, sf_dir)
     start = F.lit("2024-01-01T00:00:00").cast("timestamp_ntz")
     return docs.select(
         F.col("doc_id").alias("source_id"),
@@ -47,7 +42,7 @@ def sources(spark, sf_dir) -> DataFrame:
 
 def chunks(spark, sf_dir) -> DataFrame:
     """Chunks of every document with their surrogate ids."""
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "source_id")
+    docs = redacted(spark, sf_dir).withColumnRenamed("doc_id", "source_id")
     rows = chunking.chunk_documents(docs)
     return rows.withColumn("chunk_id", chunking.chunk_id(F.col("source_id"), F.col("chunk_index")))
 

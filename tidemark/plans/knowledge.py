@@ -54,7 +54,7 @@ def chunk_turns(spark, sf_dir):
 
 
 def session_titles(spark, sf_dir):
-    return chunking.session_titles(chunking.pair_turns(inputs.messages(spark, sf_dir)))
+    return chunking.session_titles(chunking.redact_turns(chunking.pair_turns(inputs.messages(spark, sf_dir))))
 
 
 def postings(spark, sf_dir):
@@ -216,7 +216,7 @@ def replace_chunks(spark, sf_dir):
     current = inputs.chunks(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("source_id"))
     again = (
-        table(spark, sf_dir, "documents")
+        inputs.redacted(spark, sf_dir)
         .withColumnRenamed("doc_id", "source_id")
         .join(labels, "source_id", "left_semi")
         .withColumn("text", F.concat(F.lit("second reading: "), "text"))
@@ -375,16 +375,17 @@ def stream_backfill(spark, sf_dir):
     stream_vectors.append_vectors(
         landed, backfill.hashing_embedder(), f"{path}/vectors", f"{path}/state"
     ).awaitTermination()
-    return _vector_facts(backfill.write_back(chunks, spark.read.parquet(f"{path}/vectors")))
+    return _vector_facts(backfill.write_back(chunks, stream_vectors.read_vectors(spark, f"{path}/vectors")))
 
 
 def embed_sources(spark, sf_dir):
     """Chunks embedded as a whole corpus, then the number of vectors per language."""
     vectors = backfill.embed_chunks(inputs.chunks(spark, sf_dir), backfill.hashing_embedder(), "chunk_id")
     owner = inputs.sources(spark, sf_dir).select("source_id", "kind")
-    by_source = vectors.withColumn("source_id", F.floor(F.col("chunk_id") / chunking.CHUNKS_PER_SOURCE))
+    by_source = vectors.withColumn("source_id", F.expr(f"chunk_id div {chunking.CHUNKS_PER_SOURCE}"))
+    first = F.round(F.get("embedding", F.lit(0)).cast("double"), 4).cast("decimal(10,4)")
     rows = by_source.join(owner, "source_id").groupBy("kind")
-    return rows.agg(F.count("embedding").alias("n_vectors"))
+    return rows.agg(F.count("embedding").alias("n_vectors"), F.sum(first).cast("double").alias("first_values"))
 
 
 def snapshot_retention(spark, sf_dir):
@@ -455,7 +456,8 @@ def ingest_session_sources(spark, sf_dir):
     path = new_dir(spark, "sessions")
     _write_sessions(spark, sf_dir, path)
     lines = files.read_session_lines(spark, path, session=_conversation_of)
-    titles = chunking.session_titles(chunking.pair_turns(saved(files.session_messages(lines), "messages")))
+    turns = chunking.redact_turns(chunking.pair_turns(saved(files.session_messages(lines), "messages")))
+    titles = chunking.session_titles(turns)
     listing = files.discover(spark, globs=[path]).withColumn("session", _conversation_of(F.col("path")))
     rows = files.session_sources(titles, listing)
     turns = F.get_json_object("metadata", "$.turn_count").cast("bigint")
@@ -480,15 +482,13 @@ def ingest_files(spark, sf_dir):
     text = F.array_join(F.col("docs.text"), "\n\n")
     grouped.select(text.alias("value"), "part").write.partitionBy("part").text(path)
     listing = files.discover(spark, globs=[f"{path}/*/*.txt"])
-    sources = files.file_sources(files.read_documents(spark, listing, [path]), "project_doc")
-    counted = chunking.with_pieces(sources, "text").select(
-        F.col("origin").alias("path"),
-        F.size("pieces").cast("bigint").alias("chunks"),
-        "hits",
-        F.lit(False).alias("embedded"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    return files.ingest_totals(counted)
+    # A file that is listed and gone when it is read.
+    gone = listing.orderBy("path").limit(1).withColumn("path", F.concat("path", F.lit(".gone")))
+    read = saved(files.read_documents(spark, listing.unionByName(gone), [path]), "documents")
+    counted = chunking.with_pieces(files.file_sources(read, "project_doc"), "text").select(
+        F.col("origin").alias("path"), F.size("pieces").cast("bigint").alias("chunks"), "hits"
+    )
+    return files.ingest_totals(files.file_results(read, counted))
 
 
 QUERIES = {

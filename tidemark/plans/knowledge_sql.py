@@ -23,16 +23,22 @@ def chunk_rows(table: str, key: str, text: str, name: str) -> str:
                    unnest(range(length({windows(text)}))) AS chunk_index FROM {table}))"""
 
 
-CHUNKS = chunk_rows("documents", "doc_id", f"trim(text, {_TRIM})", "chunks")
+def _clean(text: str) -> str:
+    return f"regexp_replace({text}, '{SECRETS}', '{REDACTED}', 'g')"
+
+
+# Secrets are gone before a title is taken or a chunk is cut.
+REDACTED_DOCUMENTS = f"(SELECT * REPLACE ({_clean('text')} AS text) FROM documents)"
+CHUNKS = chunk_rows(REDACTED_DOCUMENTS, "doc_id", f"trim(text, {_TRIM})", "chunks")
 EMBEDDED = f"""{CHUNKS}, embedded AS (
   SELECT c.*, e.embedding FROM chunks c
   LEFT JOIN embeddings e ON e.vec_id = c.source_id AND c.chunk_index = 0)"""
-_LINE = f"regexp_extract(ltrim(text, {_TRIM}), '^[^\\n\\r]*')"
+_LINE = f"regexp_extract(trim(text, {_TRIM}), '^[^\\n\\r]*')"
 _BARE = f"CASE WHEN starts_with(trim({_LINE}), '# ') THEN trim(substr(trim({_LINE}), 3)) ELSE trim({_LINE}) END"
 SOURCES = f"""sources AS (
   SELECT doc_id AS source_id, lang AS kind, source || '/' || doc_id AS origin,
          CASE WHEN trim({_LINE}) <> '' THEN left({_BARE}, 120) ELSE source END AS title,
-         TIMESTAMP '2024-01-01' + to_minutes(doc_id::INT) AS created_at FROM documents)"""
+         TIMESTAMP '2024-01-01' + to_minutes(doc_id::INT) AS created_at FROM {REDACTED_DOCUMENTS})"""
 
 
 def term_rows(rows: str, keep: str, text: str) -> str:
@@ -115,10 +121,6 @@ def turns(kept: str) -> str:
       WHERE role = 'user' OR prev_role IS DISTINCT FROM 'user')"""
 
 
-def _clean(text: str) -> str:
-    return f"regexp_replace({text}, '{SECRETS}', '{REDACTED}', 'g')"
-
-
 def turn_chunks(kept: str) -> str:
     body = "trim(concat_ws(chr(10) || chr(10), CASE WHEN u <> '' THEN 'User: ' || u END, CASE WHEN a <> '' THEN 'Assistant: ' || a END), " + _TRIM + ")"
     return f"""{turns(kept)}, rendered AS (
@@ -147,15 +149,16 @@ _REQUESTS = """requests AS (SELECT DISTINCT source_id FROM (
 _NOTES = f"""notes AS (
   SELECT *, 'note:' || title || ':' || length(clean) AS origin FROM (
     SELECT *, CASE WHEN lang = 'de' THEN 'note ' || doc_id
-                   ELSE left(regexp_extract(ltrim(clean, {_TRIM}), '^[^\\n\\r]*'), 120) END AS title
+                   ELSE left(regexp_extract(trim(clean, {_TRIM}), '^[^\\n\\r]*'), 120) END AS title
     FROM (SELECT doc_id, lang, {_clean('text')} AS clean, len(regexp_extract_all(text, '{SECRETS}')) AS hits
           FROM documents WHERE trim(text, {_TRIM}) <> ''))),
 kept_notes AS (SELECT *, trim(clean, {_TRIM}) AS body FROM notes
   QUALIFY row_number() OVER (PARTITION BY origin ORDER BY doc_id DESC) = 1)"""
 
-_HASHED = f"""words AS (
-  SELECT chunk_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS term
-  FROM embedded WHERE embedding IS NULL),
+def hashed(rows: str) -> str:
+    """Lengths and end values of the hashed vectors of all rows."""
+    return f"""words AS (
+  SELECT chunk_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS term FROM {rows}),
 slots AS (
   SELECT chunk_id, ('0x' || md5(term)[1:4])::BIGINT % 64 AS slot,
          sum(CASE WHEN ('0x' || md5(term)[5:5])::BIGINT < 8 THEN 1 ELSE -1 END)::DOUBLE AS v
@@ -164,6 +167,9 @@ lengths AS (
   SELECT chunk_id, sqrt(sum(v * v)) AS len, coalesce(max(v) FILTER (slot = 0), 0) AS v0,
          coalesce(max(v) FILTER (slot = 63), 0) AS v63 FROM slots GROUP BY chunk_id)"""
 
+
+_HASHED = hashed("(SELECT * FROM embedded WHERE embedding IS NULL)")
+
 ORACLES = {
     "chunk_documents": f"""WITH {CHUNKS} SELECT source_id, chunk_index::INT AS chunk_index, text,
         length(text)::INT AS token_count FROM chunks""",
@@ -172,13 +178,13 @@ ORACLES = {
     "doc_titles": f"WITH {SOURCES} SELECT source_id, title FROM sources",
     "doc_previews": f"""WITH {SOURCES} SELECT source_id, left(title, 60) AS short_title,
         replace(left(text, 120), chr(10), ' ') AS short_text
-        FROM sources JOIN documents ON doc_id = source_id""",
+        FROM sources JOIN {REDACTED_DOCUMENTS} ON doc_id = source_id""",
     "pair_turns": f"WITH {turns(_KEPT)} SELECT * FROM turns",
     "chunk_turns": f"""WITH {turn_chunks(_KEPT)} SELECT session, chunk_index::INT AS chunk_index, turn_id,
         CASE WHEN is_long THEN sub END::INT AS sub_chunk, text, length(text)::INT AS token_count
         FROM turn_chunks""",
     "session_titles": f"""WITH {turns(_KEPT)} SELECT session,
-        coalesce(arg_min(left(regexp_extract(ltrim(user_text), '^[^\\n\\r]*'), 120), seq)
+        coalesce(arg_min(left(regexp_extract(trim({_clean('user_text')}, {_TRIM}), '^[^\\n\\r]*'), 120), seq)
           FILTER (user_text <> ''), '(untitled session)') AS title, count(*) AS turn_count
         FROM turns GROUP BY session""",
     "postings": f"""WITH {CHUNKS}, {POSTINGS} SELECT chunk_id, term, tf::INT AS tf,
@@ -236,7 +242,7 @@ ORACLES = {
                CASE WHEN l.doc_id IS NOT NULL THEN 7 ELSE length(c.text) END::INT AS token_count
         FROM chunks c FULL JOIN labels l ON l.doc_id = c.source_id AND c.chunk_index = 0""",
     "replace_chunks": f"""WITH {CHUNKS}, again AS (
-          SELECT doc_id, 'second reading: ' || text AS text FROM documents
+          SELECT doc_id, 'second reading: ' || text AS text FROM {REDACTED_DOCUMENTS}
           WHERE doc_id IN (SELECT doc_id FROM labels)),
         {chunk_rows('again', 'doc_id', f"trim(text, {_TRIM})", 'fresh')}
         SELECT source_id, chunk_index::INT AS chunk_index, text, length(text)::INT AS token_count FROM (
@@ -245,7 +251,7 @@ ORACLES = {
           UNION ALL SELECT source_id, chunk_index, text FROM fresh)""",
     "guarded_delete": f"""WITH {_REQUESTS} SELECT source_id, coalesce(lang = 'es', false) AS deleted,
         CASE WHEN lang IS NULL THEN 'not_found'
-             WHEN lang <> 'es' THEN 'refuse: kind=' || lang || ' cannot be deleted' END AS reason
+             WHEN lang <> 'es' THEN 'refuse: kind=' || lang || ' cannot be deleted via MCP' END AS reason
         FROM requests LEFT JOIN documents ON doc_id = source_id""",
     "guarded_delete_chunks": f"""WITH {CHUNKS} SELECT source_id, chunk_index::INT AS chunk_index FROM chunks
         WHERE source_id NOT IN (SELECT doc_id FROM labels JOIN documents USING (doc_id) WHERE lang = 'es')""",
@@ -290,21 +296,22 @@ ORACLES = {
     "ingest_sessions": f"""WITH {turn_chunks(_BLOCKS)} SELECT session, chunk_index::INT AS chunk_index,
         turn_id, text FROM turn_chunks""",
     "discover_files": "SELECT DISTINCT conv_id FROM conversations",
-    "ingest_files": f"""SELECT count(*) AS files, sum(length({windows(f"trim(clean, {_TRIM})")}))::BIGINT AS chunks,
-        sum(hits)::BIGINT AS hits, 0::BIGINT AS embedded_files, 0::BIGINT AS failed
+    "ingest_files": f"""SELECT count(*) + 1 AS files, sum(length({windows(f"trim(clean, {_TRIM})")}))::BIGINT AS chunks,
+        sum(hits)::BIGINT AS hits, 0::BIGINT AS embedded_files, 1::BIGINT AS failed
         FROM (SELECT {_clean('text')} AS clean, len(regexp_extract_all(text, '{SECRETS}')) AS hits
               FROM (SELECT string_agg(text, chr(10) || chr(10) ORDER BY doc_id) AS text
                     FROM documents GROUP BY doc_id // 100))""",
 }
 ORACLES["stream_backfill"] = ORACLES["embed_writeback"]
-ORACLES["embed_sources"] = f"""WITH {CHUNKS} SELECT lang AS kind, count(*) AS n_vectors
-    FROM chunks JOIN documents ON doc_id = source_id GROUP BY lang"""
+ORACLES["embed_sources"] = f"""WITH {CHUNKS}, {hashed('chunks')} SELECT lang AS kind, count(*) AS n_vectors,
+    sum(round(coalesce(v0 / nullif(len, 0), 0), 4)::DECIMAL(10, 4))::DOUBLE AS first_values
+    FROM chunks LEFT JOIN lengths USING (chunk_id) JOIN documents ON doc_id = source_id GROUP BY lang"""
 ORACLES["snapshot_retention"] = """WITH days AS (SELECT o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1)
     SELECT strftime(d, '%Y-%m-%d') AS day,
            CASE WHEN date_diff('day', d, (SELECT max(d) FROM days)) <= 7 THEN n ELSE 0 END AS n FROM days"""
 ORACLES["ingest_session_sources"] = f"""WITH {turns(_BLOCKS)} SELECT 'claude_session' AS kind,
     session::VARCHAR AS origin,
-    coalesce(arg_min(left(regexp_extract(ltrim(user_text), '^[^\\n\\r]*'), 120), seq)
+    coalesce(arg_min(left(regexp_extract(trim({_clean('user_text')}, {_TRIM}), '^[^\\n\\r]*'), 120), seq)
       FILTER (user_text <> ''), '(untitled session)') AS title,
     count(*) AS turn_count, true AS has_time
     FROM turns GROUP BY session"""

@@ -13,7 +13,7 @@ SOURCE = "portal"
 VILLA_URL = "https://listings.example/villa/%s"
 OFFICETEL_URL = "https://listings.example/officetel/%s"
 CUT = "1998-01-01"
-ALL_DAYS = 36_500
+ALL_DAYS = None
 _PREFIXES = ("11290", "11230", "11140", "11200", "11305", "11999", "26110")
 
 
@@ -51,8 +51,10 @@ def _details(spark, sf_dir):
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("updatedAt"),
         F.when(key % 3 == 0, F.array(F.lit("에어컨"), F.lit("냉장고"))).alias("options"),
         F.struct(
-            F.floor(F.col("o_totalprice") / 100).alias("deposit"),
-            F.when(key % 17 != 0, 60 + key % 71).alias("rent"),
+            # Also amounts that no integer column holds, and fractions.
+            F.when(key % 19 == 0, 5_000_000_000.0).when(key % 19 == 1, 3000.5)
+            .otherwise(F.floor(F.col("o_totalprice") / 100).cast("double")).alias("deposit"),
+            F.when(key % 17 != 0, (60 + key % 71) + F.when(key % 7 == 0, 0.25).otherwise(0.0)).alias("rent"),
         ).alias("price"),
         F.when(key % 5 != 0, F.struct((key % 23).alias("amount"))).alias("manageCost"),
         F.struct(((key % 4000) / 100).cast("decimal(6,2)").alias("전용면적M2")).alias("area"),
@@ -267,7 +269,9 @@ _FLAT = f"""flat AS (
     CASE WHEN o_orderkey % 9 = 0 THEN '전세' ELSE '월세' END AS sales_type,
     CASE WHEN o_orderkey % 2 = 0 THEN '오피스텔' ELSE '빌라' END AS service_type,
     CASE o_orderpriority WHEN '1-URGENT' THEN '투룸' WHEN '2-HIGH' THEN '쓰리룸' WHEN '3-MEDIUM' THEN '투룸' ELSE '원룸' END AS room_type,
-    floor(o_totalprice / 100)::INT AS deposit,
+    CASE o_orderkey % 19 WHEN 0 THEN 5e9 WHEN 1 THEN 3000.5e0 ELSE floor(o_totalprice / 100) END AS sent_deposit,
+    CASE WHEN o_orderkey % 17 <> 0 THEN 60 + o_orderkey % 71 + CASE WHEN o_orderkey % 7 = 0 THEN 0.25e0 ELSE 0e0 END END AS sent_rent,
+    CASE o_orderkey % 19 WHEN 0 THEN NULL WHEN 1 THEN 3000 ELSE floor(o_totalprice / 100) END::INT AS deposit,
     CASE WHEN o_orderkey % 17 <> 0 THEN 60 + o_orderkey % 71 END::INT AS rent,
     CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 23 END::INT AS manage_cost,
     ((o_orderkey % 4000) / 100)::DECIMAL(6,2)::VARCHAR AS area_m2,
@@ -281,8 +285,8 @@ _FLAT = f"""flat AS (
   FROM orders JOIN customer ON c_custkey = o_custkey),
 wanted AS (
   SELECT * FROM flat WHERE sales_type = '월세' AND room_type IN ('투룸', '쓰리룸') AND status = 'open'
-    AND left(bjd_code, 5) IN ('11290', '11230', '11140', '11200', '11305') AND deposit <= 3000
-    AND coalesce(rent, 0) + coalesce(manage_cost, 0) BETWEEN 80 AND 120
+    AND left(bjd_code, 5) IN ('11290', '11230', '11140', '11200', '11305') AND sent_deposit <= 3000
+    AND coalesce(sent_rent, 0) + coalesce(manage_cost, 0) BETWEEN 80 AND 120
     AND coalesce(description, '') NOT LIKE '%여성 전용%')"""
 _LISTED = f"""listed AS (SELECT DISTINCT l_orderkey AS item_id FROM lineitem),
 known AS (SELECT o_orderkey AS item_id FROM orders WHERE o_orderdate < TIMESTAMP '{CUT}')"""
@@ -297,8 +301,8 @@ _RUNS = """runs AS (
     count(DISTINCT l_orderkey) AS new_count FROM lineitem GROUP BY l_shipdate)"""
 
 
-def _days(days: int) -> str:
-    since = f"(SELECT max(o_orderdate) FROM orders) - to_days({days})"
+def _days(days: int | None) -> str:
+    since = "'-infinity'::TIMESTAMP" if days is None else f"(SELECT max(o_orderdate) FROM orders) - to_days({days})"
     return f"""{_STORED}, {_RUNS}, recent AS (
       SELECT *, (first_seen_at + INTERVAL 9 HOUR)::DATE AS day, {_AREA} AS area FROM stored
       WHERE first_seen_at >= {since}),
@@ -321,7 +325,7 @@ ORACLES = {
         count(*) FILTER (item_id NOT IN (SELECT item_id FROM known)) AS new_count,
         count(*) FILTER (item_id IN (SELECT item_id FROM known)) AS seen_count,
         epoch_us(TIMESTAMP '2002-01-01 00:05:00') AS finished_at FROM listed""",
-    "listing_flatten": f"WITH {_FLAT} SELECT * EXCLUDE (k) FROM flat",
+    "listing_flatten": f"WITH {_FLAT} SELECT * EXCLUDE (k, sent_deposit, sent_rent) FROM flat",
     "listing_filter": f"""WITH {_FLAT} SELECT item_id, room_type, deposit, rent, manage_cost, bjd_code FROM wanted""",
     "listing_upsert": f"""WITH {_FLAT}, {_STORED},
         old AS (SELECT *, epoch_us(first_seen_at) AS seen FROM stored WHERE first_seen_at < TIMESTAMP '{CUT}')

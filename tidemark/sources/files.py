@@ -168,6 +168,19 @@ def file_sources(documents: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def file_results(documents: DataFrame, counted: DataFrame, embedded: DataFrame | None = None) -> DataFrame:
+    """``path, chunks, hits, embedded, error`` of every listed file, read or not.
+
+    ``counted`` has the chunks and hits of the files that were stored, and
+    ``embedded`` the paths whose chunks got vectors in the same run.
+    """
+    rows = documents.select("path", "error").join(counted, "path", "left")
+    if embedded is None:
+        return rows.withColumn("embedded", F.lit(False))
+    done = embedded.select("path", F.lit(True).alias("embedded")).distinct()
+    return rows.join(done, "path", "left").withColumn("embedded", F.coalesce("embedded", F.lit(False)))
+
+
 def ingest_totals(results: DataFrame) -> DataFrame:
     """Totals over per-file results: ``path, chunks, hits, embedded, error``."""
     fine = F.col("error").isNull()

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_OWN = "tidemark.local.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the cluster; a temporary one only in local mode."""
-    named = spark.conf.get(SETTING, None)
+    """The folder named by the cluster; without one, a temporary folder per session in local mode only."""
+    named = spark.conf.get(SETTING, None) or spark.conf.get(_OWN, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    own = tempfile.mkdtemp(prefix="tidemark-")
+    spark.conf.set(_OWN, own)
+    return own
 
 
 def new_dir(spark: SparkSession, name: str) -> str:

@@ -2,14 +2,57 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import backfill
+from tidemark.sources.workdir import saved
 
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
+_VECTORS = "chunk_id bigint, embedding array<float>"
+_WAITING = "chunk_id bigint, text string"
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
+    return rows.select(*[part.split()[0] for part in schema.split(", ")])
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """All vectors made so far: (chunk_id, embedding), one row per chunk."""
+    rows = _stored(spark, f"{path}/made", _VECTORS)
+    return rows.groupBy("chunk_id").agg(F.any_value("embedding").alias("embedding"))
+
+
+def waiting(spark: SparkSession, path: str) -> DataFrame:
+    """Chunks whose embedding call failed and that have no vector yet: (chunk_id, text)."""
+    failed = _stored(spark, f"{path}/failed", _WAITING).dropDuplicates(["chunk_id"])
+    return failed.join(read_vectors(spark, path).select("chunk_id"), "chunk_id", "left_anti")
+
+
+def _embed(rows: DataFrame, embedder: backfill.Embedder, path: str, part: str) -> None:
+    """Keep the vectors of the rows under a name of their own, and what failed under the same."""
+    rows = saved(rows.select("chunk_id", "text"), "pending")
+    tried = saved(backfill.embed_chunks(rows, embedder), "tried")
+    fine = F.col("embedding").isNotNull()
+    tried.filter(fine).select("chunk_id", "embedding").write.mode("overwrite").parquet(f"{path}/made/part={part}")
+    failed = rows.join(tried.filter(~fine).select("chunk_id"), "chunk_id", "left_semi")
+    failed.write.mode("overwrite").parquet(f"{path}/failed/part={part}")
+
+
+def retry(spark: SparkSession, embedder: backfill.Embedder, path: str) -> None:
+    """Try all chunks again whose call failed before."""
+    _embed(waiting(spark, path), embedder, path, f"retry-{uuid.uuid4().hex}")
 
 
 def append_vectors(
@@ -19,15 +62,22 @@ def append_vectors(
     checkpoint: str,
     trigger: Mapping = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Vectors of all pending chunks of a stream, appended as (chunk_id, embedding).
+    """Vectors of all pending chunks of a stream, appended below ``path``; see ``read_vectors``.
 
     The chunk table itself is not rewritten per micro-batch: readers merge
-    the appended vectors with ``backfill.write_back``.
+    the appended vectors with ``backfill.write_back``. A failed call leaves its
+    chunks waiting; they are tried again when the stream starts and with every
+    micro-batch. A replayed micro-batch overwrites its own files.
     """
-    vectors = backfill.embed_chunks(backfill.pending(chunks), embedder)
+    retry(chunks.sparkSession, embedder, path)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        todo = backfill.pending(batch).select("chunk_id", "text")
+        todo = todo.unionByName(waiting(batch.sparkSession, path)).dropDuplicates(["chunk_id"])
+        _embed(todo, embedder, path, f"batch-{batch_id}")
+
     return (
-        vectors.writeStream.format("parquet")
-        .option("path", path)
+        chunks.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -7,6 +7,7 @@ input; start it again, or pass another trigger, for continuous work.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -40,7 +41,7 @@ def append_alerts(
     purchase: str = ev.fixed.PURCHASE,
 ) -> StreamingQuery:
     """Alert texts of purchase events, as a table of their own."""
-    rows = ev.alerts(ev.normalise(envelopes, keep), keep, purchase)
+    rows = ev.alerts(ev.normalise(envelopes, keep, with_raw=True), keep, purchase)
     return (
         rows.writeStream.format("parquet")
         .option("path", path)
@@ -51,7 +52,9 @@ def append_alerts(
 
 
 IDENTITY_SCHEMA = "app string, distinct_id string, user_id string, first_seen timestamp"
-_STORED_SCHEMA = f"{IDENTITY_SCHEMA}, version bigint, slot int"
+# Where a set of changes comes from; folder names, so that looking them up reads no rows.
+_STORED_SCHEMA = f"{IDENTITY_SCHEMA}, version bigint, run string, batch bigint"
+_COMPACTED = "compacted"
 
 
 def _stored(spark: SparkSession, root: str) -> DataFrame:
@@ -63,19 +66,34 @@ def _stored(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], _STORED_SCHEMA)
 
 
-def _newest(stored: DataFrame, before: int | None) -> tuple[int, int] | None:
-    """(version, slot) of the newest table, or of the newest one before a batch."""
-    usable = stored if before is None else stored.filter(F.col("version") < before)
-    best = usable.agg(F.max(F.struct("version", "slot")).alias("best")).first().best
-    return None if best is None else (best.version, best.slot)
+def _folder(root: str, version: int, run: str, batch: int) -> str:
+    return f"{root}/version={version}/run={run}/batch={batch}"
+
+
+def _write_changes(changes: DataFrame, root: str, run: str, batch: int) -> None:
+    """Keep changes above all stored versions; the same batch of the same run overwrites itself."""
+    sets = _stored(changes.sparkSession, root).select("version", "run", "batch")
+    mine = F.max(F.when((F.col("run") == run) & (F.col("batch") == batch), F.col("version")))
+    found = sets.agg(mine.alias("mine"), F.max("version").alias("last")).first()
+    version = found.mine if found.mine is not None else (found.last or 0) + 1
+    changes.write.mode("overwrite").parquet(_folder(root, version, run, batch))
 
 
 def read_identities(spark: SparkSession, root: str) -> DataFrame:
-    """The newest identity table."""
+    """The identity table: the user of the newest change, and the first arrival."""
     stored = _stored(spark, root)
-    newest = _newest(stored, None)
-    rows = stored.filter(F.lit(False) if newest is None else F.col("slot") == newest[1])
-    return rows.drop("version", "slot")
+    base = stored.agg(F.max(F.when(F.col("run") == _COMPACTED, F.col("version")))).scalar()
+    rows = stored.filter(F.col("version") >= F.coalesce(base, F.lit(0)))
+    return rows.groupBy("app", "distinct_id").agg(
+        F.max_by("user_id", "version").alias("user_id"), F.min_by("first_seen", "version").alias("first_seen")
+    )
+
+
+def compact_identities(spark: SparkSession, root: str) -> None:
+    """Fold all changes so far into one set, which readers start from; run it between streams."""
+    last = _stored(spark, root).agg(F.max("version").alias("last")).first().last
+    if last is not None:
+        read_identities(spark, root).write.parquet(_folder(root, last + 1, _COMPACTED, 0))
 
 
 def maintain_identities(
@@ -87,25 +105,19 @@ def maintain_identities(
     trigger: Mapping = AVAILABLE_NOW,
     identify: str = ev.fixed.IDENTIFY,
 ) -> StreamingQuery:
-    """Identity table kept up to date by micro-batches, in two alternating slots.
+    """Identity changes appended by micro-batches; ``read_identities`` folds them.
 
-    A batch reads the newest table of an earlier batch and writes the other
-    slot. A replayed batch therefore starts from the same table and overwrites
-    only its own output: a lost executor or a restart cannot apply it twice.
+    A batch writes its own changes only, never the table. Its version is one
+    above all stored ones, also after a restart with another checkpoint, and a
+    replayed batch finds and overwrites what it wrote: a lost executor or a
+    restart can neither apply it twice nor drop earlier identities.
     """
     rows = ev.normalise(envelopes, keep)
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         changes = ev.identity_batch(batch, order, identify)
-        if changes.isEmpty():
-            return
-        stored = _stored(batch.sparkSession, root)
-        newest = _newest(stored, batch_id)
-        slot = -1 if newest is None else newest[1]
-        current = stored.filter(F.col("slot") == slot).drop("version", "slot")
-        after = ev.upsert_identities(current, changes)
-        target = f"{root}/slot={1 if slot == 0 else 0}"
-        after.withColumn("version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(target)
+        _write_changes(changes, root, run, batch_id)
 
     return (
         rows.writeStream.foreachBatch(apply)
