@@ -35,8 +35,8 @@ from tidemark.llm import rows, words
 from tidemark.sources import workdir
 
 ORDER = 2
-BLOCK_TOKENS = 1_000_000
-PART_KEYS = 2_000_000
+BLOCK_TOKENS = 400_000
+PART_KEYS = 500_000
 COUNTED, DELETED, TEST = 0, 1, 2
 END = np.uint64(0x1F83D9ABFB41BD6B)
 BEGIN = np.uint64(0x5BE0CD19137E2179)
@@ -158,7 +158,9 @@ def counts(packed: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for place in range(batch.num_rows):
+                # One row at a time: a batch may hold many blocks.
+                row = {c: batch.column(c)[place].as_py() for c in batch.schema.names}
                 b = _block(row["sizes"], row["vocab"], row["tokens"], order)
                 keys, n = np.unique(np.concatenate(b.keys), return_counts=True)
                 cuts = np.searchsorted(keys >> shift, np.arange(parts + 1, dtype=np.uint64)) if shift is not None else np.array([0, len(keys)])
