@@ -165,17 +165,16 @@ def test_suffix_automaton():
         texts = [[rnd.randrange(3) for _ in range(rnd.randint(1, 12))] for _ in range(rnd.randint(1, 4))]
         times = [rnd.randint(1, 2) for _ in texts]
         automaton = substrings.Automaton()
-        for t, n in zip(texts, times):
-            automaton.add(t, n)
+        paths = [automaton.add(t, n) for t, n in zip(texts, times)]
         automaton.finish()
         seen = Counter()
         for t, n in zip(texts, times):
             for a in range(len(t)):
                 for b in range(a + 1, len(t) + 1):
                     seen[tuple(t[a:b])] += n
-        for t in texts:
+        for t, path in zip(texts, paths):
             want = [max((b - a for a in range(b) if seen[tuple(t[a:b])] > 1), default=0) for b in range(1, len(t) + 1)]
-            assert automaton.statistics(t) == want
+            assert automaton.statistics(path) == want
 
 
 ITEM = "A train leaves Boston at 7 with 120 riders on board and Alice counts 7 bags of 5 kg each before it stops again."

@@ -174,22 +174,26 @@ def reached(found: DataFrame) -> DataFrame:
 
 
 def _whole(spark: SparkSession, path: str, on_chain: DataFrame, found: DataFrame) -> DataFrame:
-    """(file, off, value): the texts of records that hold magics, from their fragments.
+    """(file, off, value): the texts of records that do not end where their fragment does, from their fragments.
+
+    These hold magics, or something that is no record follows them.
 
     A record covers the fragments from its start to its end; both sides meet in
     stretches of a fixed length. Fragments are fetched by file, length and hash.
     """
-    long_ = on_chain.filter("next > end").select("file", F.col("off").alias("of"), "next")
+    long_ = on_chain.filter("next <> end").select("file", F.col("off").alias("of"), "next")
     spread = long_.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("of") / REACH), F.floor((F.col("next") - 1) / REACH))))
     parts = found.select("file", "off", "key", "bytes").withColumn("stretch", F.floor(F.col("off") / REACH))
-    held = spread.join(parts, ["file", "stretch"]).filter("off >= of and off < next").select("file", "of", "off", "key", "bytes")
+    held = spread.join(parts, ["file", "stretch"]).filter("off >= of and off < next").select("file", "of", "next", "off", "key", "bytes")
     held = workdir.saved(held, "held")
     asked = workdir.saved(held.select("file", "key", "bytes").distinct(), "asked")
     again = _fragments(spark, path).select("file", F.xxhash64("value").alias("key"), F.octet_length("value").cast("long").alias("bytes"), "value")
     values = again.join(asked, ["file", "key", "bytes"]).groupBy("file", "key", "bytes").agg(F.any_value("value").alias("value"))
     ordered = F.sort_array(F.collect_list(F.struct("off", "value")))
-    texts = held.join(values, ["file", "key", "bytes"]).groupBy("file", "of").agg(ordered.alias("all"))
-    return texts.select("file", F.col("of").alias("off"), F.array_join("all.value", MAGIC).alias("value"))
+    texts = held.join(values, ["file", "key", "bytes"]).groupBy("file", "of", "next").agg(ordered.alias("all"))
+    joined = F.array_join("all.value", MAGIC).cast("binary")
+    value = F.substring(joined, F.lit(1), (F.col("next") - F.col("of") - len(MAGIC)).cast("int")).cast("string")
+    return texts.select("file", F.col("of").alias("off"), value.alias("value"))
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -200,7 +204,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     """
     found = candidates(spark, path)
     on_chain = found.join(reached(found), ["file", "off"])
-    short = on_chain.filter("next <= end").select("file", "off", "r")
+    short = on_chain.filter("next = end").select("file", "off", "r")
     whole = _whole(spark, path, on_chain, found).select("file", "off", _parsed(F.col("value")).alias("r"))
     again = F.col("r.type") == "revisit"
     return short.union(whole).select(
@@ -219,7 +223,7 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
     """(file, off, record_id, block) of all records: each one's content as written, headers of the payload included."""
     found = candidates(spark, path)
     on_chain = workdir.saved(found.join(reached(found), ["file", "off"]), "chain")
-    whole = _whole(spark, path, on_chain.withColumn("end", F.col("off")), found)
+    whole = _whole(spark, path, on_chain.withColumn("end", F.lit(-1)), found)
     begin = F.instr("value", GAP) + len(GAP)
     block = F.substring(F.col("value"), begin, F.length("value") - begin + 1 - len(GAP))
     return whole.join(on_chain.select("file", "off", "r.record_id"), ["file", "off"]).select("file", "off", "record_id", block.alias("block"))
