@@ -173,7 +173,7 @@ def test_stored_index_reads_only_its_buckets(spark, tmp_path):
     df = spark.createDataFrame(rows, "chunk_id long, text string")
     index = lexical.postings(df)
     path = str(tmp_path / "index")
-    lexical.write_index(index, path, buckets=8, spread=2)
+    lexical.write_index(index, path, buckets=8)
     terms = ["w3", "w47", "nowhere"]
     stored = lexical.read_index(spark, path, terms, buckets=8)
     key = lambda r: (r.chunk_id, r.term, r.tf, r.n_words)

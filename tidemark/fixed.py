@@ -132,5 +132,14 @@ HEADINGS = {
     "repos": "🐙 <b>GitHub Trending · Python</b>",
 }
 
+# --- Fixed values: feed and markup patterns ---------------------------------
+FEED_FIELD = r"(?s)<{0}>(.*?)</{0}>"
+FEED_TRAFFIC = r"<ht:approx_traffic>(.*?)</ht:approx_traffic>"
+FEED_CONTENT = r"(?s)<content[^>]*>(.*?)</content>"
+FEED_LINK = r"""<link[^>]*rel="alternate"[^>]*href="([^"]+)\""""
+FEED_PARAGRAPH = r"(?s)<p>(.*?)</p>"
+CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
+TAG = r"<[^>]+>"
+
 # --- Fixed values: snapshots ------------------------------------------------
 RETENTION_DAYS = 7

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tidemark import fixed
 from tidemark.functions.text import strip
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
@@ -32,8 +33,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def bare_text(text: Column) -> Column:
     """Unwrap CDATA and drop tags; entities stay."""
-    unwrapped = F.regexp_replace(text, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
-    return F.regexp_replace(unwrapped, r"<[^>]+>", "")
+    unwrapped = F.regexp_replace(text, fixed.CDATA, "$1")
+    return F.regexp_replace(unwrapped, fixed.TAG, "")
 
 
 def clean_markup(text: Column) -> Column:

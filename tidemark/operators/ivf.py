@@ -8,14 +8,12 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.operators.vector import vector_topk, with_norm
 
-_SPREAD = 16
-
 
 @dataclass
 class Lists:
@@ -38,12 +36,16 @@ def build_lists(chunks: DataFrame, n_lists: int = fixed.IVF_LISTS, seed: int = 7
 
 
 def write_lists(lists: Lists, path: str) -> None:
-    """Store the chunks by list; a list that holds many chunks gets many files."""
-    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(_SPREAD))
-    spread = lists.chunks.repartition(F.col("list_id"), salt)
+    """Store the chunks by list, in as many files as a list's size asks for."""
+    spread = lists.chunks.hint("rebalance", F.col("list_id"))
     spread.write.mode("overwrite").partitionBy("list_id").parquet(path)
 
 
+def read_lists(spark: SparkSession, path: str, centroids: np.ndarray) -> Lists:
+    """Stored lists; a search opens only those that it probes."""
+    return Lists(spark.read.parquet(path), centroids)
+
+
 def nearest_lists(centroids: np.ndarray, query: Sequence[float], n_probe: int) -> list[int]:
     """Lists whose centroids are closest in angle to the query."""
     lengths = np.linalg.norm(centroids, axis=1)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -68,18 +70,17 @@ def scan(
     return rows.groupBy(*keep, "n_words", "term").agg(F.count("*").cast("int").alias("tf"))
 
 
-def write_index(index: DataFrame, path: str, buckets: int = 64, spread: int = 8) -> None:
+def write_index(index: DataFrame, path: str, buckets: int = 64) -> None:
     """Store postings by term bucket, sorted by term inside every file.
 
     A search reads the files of its buckets and, by their min/max statistics,
-    only the row groups of its terms. A frequent word is spread over several
-    tasks and files, so it makes no hot task.
+    only the row groups of its terms. Tasks and files follow the size of a
+    bucket: Spark splits a large one, also one that holds a frequent word.
     """
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(spread))
     (
         index.withColumn("term_bucket", bucket)
-        .repartition(F.col("term_bucket"), salt)
+        .hint("rebalance", F.col("term_bucket"))
         .sortWithinPartitions("term_bucket", "term")
         .write.mode("overwrite")
         .partitionBy("term_bucket")
@@ -88,14 +89,19 @@ def write_index(index: DataFrame, path: str, buckets: int = 64, spread: int = 8)
 
 
 def read_index(spark: SparkSession, path: str, terms: Sequence[str], buckets: int = 64) -> DataFrame:
-    """Stored postings of the given terms; other buckets are not opened."""
-    hashed = [F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int") for t in terms]
+    """Stored postings of the given terms; other buckets are not opened.
+
+    One filter per bucket with its own few terms, which Parquet can check
+    against the row groups; a long list over all buckets would become one wide range.
+    """
     index = spark.read.parquet(path)
-    if not hashed:
+    if not terms:
         return index.filter(F.lit(False)).drop("term_bucket")
-    wanted = spark.range(1).select(F.array_distinct(F.array(*hashed)).alias("b")).first().b
-    found = index.filter(F.col("term_bucket").isin(wanted) & F.col("term").isin(list(terms)))
-    return found.drop("term_bucket")
+    asked = F.explode(F.lit(list(terms))).alias("term")
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    groups = spark.range(1).select(asked).groupBy(bucket.alias("bucket")).agg(F.collect_set("term").alias("terms")).collect()
+    here = [(F.col("term_bucket") == g.bucket) & F.col("term").isin(g.terms) for g in groups]
+    return index.filter(reduce(or_, here)).drop("term_bucket")
 
 
 def query_terms(spark: SparkSession, query: str) -> list[str]:

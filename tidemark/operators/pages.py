@@ -12,19 +12,17 @@ from tidemark.functions import markup as mk
 from tidemark.functions.once import computed_once
 from tidemark.functions.text import strip
 
-_CDATA_OR_TEXT = r"(?s)<{0}>(.*?)</{0}>"
-
 
 def _first(text: Column, pattern: str) -> Column:
     return F.regexp_extract(text, pattern, 1)
 
 
 def _field(text: Column, name: str) -> Column:
-    return _first(text, _CDATA_OR_TEXT.format(name))
+    return _first(text, fixed.FEED_FIELD.format(name))
 
 
 def _has(text: Column, name: str) -> Column:
-    return mk.found(text, _CDATA_OR_TEXT.format(name))
+    return mk.found(text, fixed.FEED_FIELD.format(name))
 
 
 def _count(text: Column) -> Column:
@@ -157,7 +155,7 @@ def repo_content(
 # --- feeds ------------------------------------------------------------------
 
 def _items(feeds: DataFrame, keep: Sequence[str], tag: str) -> DataFrame:
-    pattern = F.lit(_CDATA_OR_TEXT.format(tag))
+    pattern = F.lit(fixed.FEED_FIELD.format(tag))
     return _explode(feeds, keep, F.regexp_extract_all("xml", pattern, F.lit(1)))
 
 
@@ -183,12 +181,12 @@ def search_items(
     """Trend feeds to searches with traffic and their first news pairs."""
     rows = _items(feeds, keep, "item")
     part = F.col("part")
-    every = lambda name: F.regexp_extract_all(part, F.lit(_CDATA_OR_TEXT.format(f"ht:{name}")), F.lit(1))
+    every = lambda name: F.regexp_extract_all(part, F.lit(fixed.FEED_FIELD.format(f"ht:{name}")), F.lit(1))
     rows = rows.filter(_has(part, "title")).select(
         *keep,
         "pos",
         mk.clean_markup(_field(part, "title")).alias("title"),
-        mk.clean_markup(_first(part, r"<ht:approx_traffic>(.*?)</ht:approx_traffic>")).alias("traffic"),
+        mk.clean_markup(_first(part, fixed.FEED_TRAFFIC)).alias("traffic"),
         every("news_item_title").alias("_titles"),
         every("news_item_url").alias("_urls"),
     )
@@ -210,16 +208,15 @@ def product_items(
     """Product feeds to name, address and tagline."""
     rows = _items(feeds, keep, "entry")
     part = F.col("part")
-    content = _first(part, r"(?s)<content[^>]*>(.*?)</content>")
-    link = r"""<link[^>]*rel="alternate"[^>]*href="([^"]+)\""""
+    content = _first(part, fixed.FEED_CONTENT)
     rows = rows.filter(_has(part, "title")).select(
         *keep,
         "pos",
         mk.clean_markup(_field(part, "title")).alias("name"),
-        _first(part, link).alias("url"),
+        _first(part, fixed.FEED_LINK).alias("url"),
         mk.unescape(content).alias("_content"),
     )
-    paragraph = r"(?s)<p>(.*?)</p>"
+    paragraph = fixed.FEED_PARAGRAPH
     text = F.when(mk.found(F.col("_content"), paragraph), _first(F.col("_content"), paragraph)).otherwise(
         F.col("_content")
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as tx
 from tidemark.operators import chunking, lexical
+from tidemark.sources.workdir import new_dir, saved
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +67,29 @@ def chunk_postings(spark, sf_dir) -> DataFrame:
     return lexical.postings(chunks(spark, sf_dir), ["chunk_id", "source_id"])
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """Stored chunks, postings, corpus sizes and where the postings lie."""
+
+    chunks: DataFrame
+    sizes: DataFrame
+    postings: str
+
+
+_CORPORA: dict[tuple[str, str], Corpus] = {}
+
+
+def corpus(spark, sf_dir) -> Corpus:
+    """Chunks and postings of the documents, made once per session and folder and searched from then on."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _CORPORA:
+        stored = saved(embedded_chunks(spark, sf_dir), "chunks")
+        path = new_dir(spark, "postings")
+        lexical.write_index(lexical.postings(stored, ["chunk_id", "source_id"]), path)
+        _CORPORA[key] = Corpus(stored, saved(lexical.corpus_sizes(stored), "sizes"), path)
+    return _CORPORA[key]
+
+
 def query_vector(spark, sf_dir) -> list[float]:
     """The search vector: the vector with the lowest id."""
     return table(spark, sf_dir, "embeddings").orderBy("vec_id").first().embedding

@@ -85,35 +85,38 @@ def vector_ivf_full_probe(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("chunk_id"), F.col("vec_id").alias("source_id"), "embedding"
     )
-    lists = ivf.build_lists(vectors, n_lists=16)
+    built = ivf.build_lists(vectors, n_lists=16)
+    path = new_dir(spark, "lists")
+    ivf.write_lists(built, path)
+    lists = ivf.read_lists(spark, path, built.centroids)
     hits = ivf.ivf_topk(lists, inputs.query_vector(spark, sf_dir), TOP, n_probe=16)
     return hits.select("chunk_id", F.round("score", 6).alias("score"))
 
 
 def lexical_topk(spark, sf_dir):
     terms = lexical.query_terms(spark, inputs.query_text(spark, sf_dir))
-    index = lexical.scan(inputs.chunks(spark, sf_dir), terms, ["chunk_id", "source_id"])
+    index = lexical.read_index(spark, inputs.corpus(spark, sf_dir).postings, terms)
     hits = lexical.lexical_topk(index, terms, TOP)
     return hits.select("chunk_id", F.round("score", 6).alias("score"))
 
 
 def lexical_bm25(spark, sf_dir):
-    chunks = inputs.chunks(spark, sf_dir)
+    corpus = inputs.corpus(spark, sf_dir)
     terms = lexical.query_terms(spark, inputs.query_text(spark, sf_dir))
-    scores = lexical.bm25_scores(
-        lexical.scan(chunks, terms), terms, lexical.corpus_sizes(chunks)
-    )
+    scores = lexical.bm25_scores(lexical.read_index(spark, corpus.postings, terms), terms, corpus.sizes)
     return lexical.top(scores, TOP).select("chunk_id", F.round("score", 6).alias("score"))
 
 
 def hybrid_search(spark, sf_dir):
+    corpus, query = inputs.corpus(spark, sf_dir), inputs.query_text(spark, sf_dir)
     hits = fusion.search(
         spark,
-        inputs.embedded_chunks(spark, sf_dir),
+        corpus.chunks,
         inputs.sources(spark, sf_dir),
-        inputs.query_text(spark, sf_dir),
+        query,
         inputs.query_vector(spark, sf_dir),
         limit=TOP,
+        index=lexical.read_index(spark, corpus.postings, lexical.query_terms(spark, query)),
     )
     return hits.select(
         "chunk_id", "source_id", "kind", "origin", "title", "chunk_index", "text",
@@ -133,7 +136,7 @@ def hybrid_search_json(spark, sf_dir):
 
 def hybrid_batch(spark, sf_dir):
     hits = fusion.search_batch(
-        inputs.embedded_chunks(spark, sf_dir),
+        inputs.corpus(spark, sf_dir).chunks,
         inputs.queries(spark, sf_dir),
     )
     return hits.select(
