@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources import workdir
+
 # Queries that one scan may carry to the tasks.
 QUERY_BLOCK_ROWS = 4096
 # (query, row) scores that one task holds at a time.
@@ -67,11 +69,18 @@ def best_of_blocks(
     schema: str,
     scorer: Callable[[list[Row]], Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]],
 ) -> DataFrame:
-    """Scan the rows once per block of queries and rank what the tasks keep, from 0."""
+    """Scan the rows once per block of queries and rank what the tasks keep, from 0.
+
+    Each block is scored and written before the next one is fetched: the driver
+    holds the queries of one block, of bounded size, and the plan does not grow.
+    """
+    spark = rows.sparkSession
     in_block = F.pmod(F.xxhash64(key), F.lit(blocks))
-    found = rows.sparkSession.createDataFrame([], schema)
+    path = workdir.new_dir(spark, "scored")
+    spark.createDataFrame([], schema).write.parquet(path)
     for block in range(blocks):
         mine = queries.filter(in_block == block).collect()
         if mine:
-            found = found.unionByName(rows.mapInPandas(scorer(mine), schema))
+            rows.mapInPandas(scorer(mine), schema).write.mode("append").parquet(path)
+    found = spark.read.schema(schema).parquet(path)
     return best_per_group(found, [key], [F.desc("score"), F.asc(id_col)], k, "rank")
