@@ -5,7 +5,8 @@ document passes through, would cost the square of the corpus. So the reference
 is cut by content: each window of ``window`` words has an anchor, the
 ``ANCHOR`` words in it of the smallest hash. Equal windows have equal anchors;
 windows in a row with one anchor form a run. Only runs whose anchor stands in
-two places or more can repeat. Their distinct texts are the reference; its
+two places or more can repeat. Where the runs of an anchor are all equal, they
+repeat as they are. The distinct texts of the others are the reference; its
 shards are dealt by anchor, and each shard's automaton goes with the runs of
 its anchors to one task. The runs stream through it for their matching
 statistics: at each word, the longest suffix that occurs at least twice. Where
@@ -135,13 +136,22 @@ def occurrences(docs: DataFrame, repeated: DataFrame, doc_id: str, text: str, wi
     return workdir.saved(found.join(repeated, "anchor"), "occurrences")
 
 
-def _references(docs: DataFrame, found: DataFrame, doc_id: str, text: str, window: int = WINDOW) -> DataFrame:
-    """(anchor, run, twice, hot, words) for each distinct run, its words from one place where it stands; a saved table."""
+def _references(docs: DataFrame, found: DataFrame, doc_id: str, text: str, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(anchor, run, twice, hot, words) for each distinct run, its words from one place where it stands; a saved table.
+
+    Where all places of an anchor have the same run, that run repeats as a
+    whole and there is nothing to match it with; the second table has these as
+    (run, spans).
+    """
     one = F.min(F.struct("id", "hash", "place")).alias("one")
     distinct = found.groupBy("anchor", "run").agg(F.count("*").alias("n"), one)
     distinct = workdir.saved(distinct.select("anchor", "run", (F.col("n") > 1).alias("twice"), "one.*"), "runs")
-    hot = distinct.groupBy("anchor").agg(F.count("*").alias("runs")).filter(F.col("runs") > HOT_RUNS)
-    marked = distinct.join(hot, "anchor", "left").withColumn("hot", F.col("runs").isNotNull())
+    per = distinct.groupBy("anchor").agg(F.count("*").alias("runs"), F.min(F.struct("run", "place")).alias("only"))
+    per = workdir.saved(per, "anchor-runs")
+    windows = F.col("only.place").bitwiseAND(F.lit(255)).cast("int")
+    alone = per.filter("runs = 1").select("only.run", F.array(F.struct(F.lit(0).alias("from"), windows.alias("to"))).alias("spans"))
+    several = per.filter("runs > 1").select("anchor", (F.col("runs") > HOT_RUNS).alias("hot"))
+    marked = distinct.join(several, "anchor")
     # The list holds runs of one document.
     wanted = marked.groupBy("id", "hash").agg(F.collect_list(F.struct("place", "anchor", "run", "twice", "hot")).alias("runs"))
     texts = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(rows.text_of(text)).alias("_hash"), F.col(text).alias("text"))
@@ -165,7 +175,7 @@ def _references(docs: DataFrame, found: DataFrame, doc_id: str, text: str, windo
 
     once = met.mapInArrow(fetch, "anchor long, run long, twice boolean, hot boolean, words binary")
     # A text that stands in several rows was fetched from each.
-    return workdir.saved(once.dropDuplicates(["anchor", "run"]), "references")
+    return workdir.saved(once.dropDuplicates(["anchor", "run"]), "references"), alone
 
 
 class Automaton:
@@ -191,23 +201,30 @@ class Automaton:
             p = self.link[p]
         return clone
 
-    def add(self, sequence: list[int], times: int) -> None:
-        last = 0
+    def add(self, sequence: list[int], times: int) -> list[int]:
+        """Add a sequence that occurs ``times`` times; the states of its prefixes, which no later one changes."""
+        moves, link, length, count = self.next, self.link, self.length, self.count
+        last, states = 0, []
         for symbol in sequence:
-            q = self.next[last].get(symbol)
+            q = moves[last].get(symbol)
             if q is not None:  # the prefix is known
-                last = q if self.length[q] == self.length[last] + 1 else self._split(last, symbol, q)
+                last = q if length[q] == length[last] + 1 else self._split(last, symbol, q)
+                count[last] += times
             else:
-                new = self._state(self.length[last] + 1, 0, {})
-                p = last
-                while p >= 0 and symbol not in self.next[p]:
-                    self.next[p][symbol] = new
-                    p = self.link[p]
+                new, p = len(link), last
+                moves.append({})
+                length.append(length[last] + 1)
+                count.append(times)
+                link.append(0)
+                while p >= 0 and symbol not in moves[p]:
+                    moves[p][symbol] = new
+                    p = link[p]
                 if p >= 0:
-                    q = self.next[p][symbol]
-                    self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, symbol, q)
+                    q = moves[p][symbol]
+                    link[new] = q if length[q] == length[p] + 1 else self._split(p, symbol, q)
                 last = new
-            self.count[last] += times
+            states.append(last)
+        return states
 
     def finish(self) -> None:
         """Let every state count what its longer ones do, and know its longest suffix that occurs twice."""
@@ -219,14 +236,10 @@ class Automaton:
         for state in order:
             self.twice[state] = state if state and self.count[state] > 1 else self.twice[self.link[state]] if state else 0
 
-    def statistics(self, sequence: list[int]) -> list[int]:
-        """At each place of a sequence that was added, the length of the longest suffix that occurs twice."""
-        state, out = 0, []
-        for i, symbol in enumerate(sequence):
-            state = self.next[state][symbol]
-            top = self.twice[state]
-            out.append(i + 1 if top == state and state else self.length[top])
-        return out
+    def statistics(self, states: list[int]) -> list[int]:
+        """For each prefix of an added sequence, the length of its longest suffix that occurs twice."""
+        twice, length = self.twice, self.length
+        return [length[twice[state]] for state in states]
 
 
 def _ranges(flags: np.ndarray) -> list[dict[str, int]]:
@@ -252,12 +265,11 @@ def repeated_runs(references: DataFrame, window: int = WINDOW, shard_words: int
             cuts = np.cumsum([len(x) for x in stretches])[:-1]
             sequences = [x.tolist() for x in np.split(symbols, cuts)]
             automaton = Automaton()
-            for sequence, twice in zip(sequences, table["twice"].to_pylist()):
-                automaton.add(sequence, 1 + twice)
+            paths = [automaton.add(x, 1 + twice) for x, twice in zip(sequences, table["twice"].to_pylist())]
             automaton.finish()
             runs, spans = [], []
-            for run, sequence in zip(table["run"].to_pylist(), sequences):
-                hit = np.array(automaton.statistics(sequence)[window - 1 :]) >= window
+            for run, path in zip(table["run"].to_pylist(), paths):
+                hit = np.array(automaton.statistics(path[window - 1 :])) >= window
                 if hit.any():
                     runs.append(run)
                     spans.append(_ranges(hit))
@@ -311,7 +323,8 @@ def _kept(text: Column, spans: Column, window: int) -> Column:
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc, kept, n_words, n_removed): each row with its text after the repeats are gone."""
     found = occurrences(docs, anchors(docs, text, window), doc_id, text, window)
-    spans = repeated_runs(_references(docs, found, doc_id, text, window), window)
+    references, alone = _references(docs, found, doc_id, text, window)
+    spans = repeated_runs(references, window).union(alone)
     start = F.shiftright("place", 8).cast("int")
     placed = found.join(spans, "run").select(
         "id",
