@@ -10,8 +10,8 @@ and are verified on all bits.
 
 Equal fingerprints are one class from the start, so copies are never paired.
 A value that a large group of near copies shares is not paired either: its
-members are compared with its smallest one first, and then only with members
-that are still in other components.
+members are compared with its smallest and largest first, and then only with
+members that are still in other components.
 
 Defined results: a missing text is an empty one; texts without words have the
 fingerprint zero and are linked like any other. Rows that repeat belong
@@ -35,6 +35,8 @@ from tidemark.sources import workdir
 
 BITS = 64
 SEED = 42
+# A signature is shuffled; a candidate is compared where it is.
+SIGNATURE_COST = 6
 # Near copies share this part of their five-word shingles, in percent.
 SIMILAR = 80
 
@@ -159,7 +161,7 @@ def plan(both: np.ndarray, n: int, distance: int) -> list[tuple[list[int], int]]
             for used, (cost, chosen) in best.items():
                 for t in range(-1, distance - used + 1):
                     probes = sum(math.comb(len(group), k) for k in range(t + 1))
-                    more = n * (probes + (t >= 0)) + (n * n / 2 * _likely(both, n, group, t) if t >= 0 else 0)
+                    more = SIGNATURE_COST * n * (probes + (t >= 0)) + (n * n / 2 * _likely(both, n, group, t) if t >= 0 else 0)
                     key, value = used + t + 1, (cost + more, chosen + [(group, t)] * (t >= 0))
                     if key not in step or value[0] < step[key][0]:
                         step[key] = value
@@ -182,7 +184,7 @@ def links(nodes: DataFrame, distance: int, verified: Callable[[DataFrame], DataF
     """(a, b): links between nodes ``(node, fp)`` that join all that is linked; a saved table.
 
     Candidates meet in a value of one part. First each node is compared with the
-    smallest node of every value, which is linear. Most of a large group of
+    smallest and the largest node of each of its values, which is linear. Most of a large group of
     copies is one component then. Then the candidates of different components
     are compared: pairs inside a component could add nothing. ``verified`` may
     drop pairs by a closer look.
@@ -200,9 +202,10 @@ def links(nodes: DataFrame, distance: int, verified: Callable[[DataFrame], DataF
         at = F.struct(F.col("p.part").alias("part"), F.col("fp").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip")).alias("key"))
         return rows_.withColumn("p", F.explode(F.array(*flips))).withColumn("at", at).drop("p")
 
-    first = F.min(F.struct("node", "fp")).alias("first")
-    leaders = index(nodes).groupBy("at").agg(first).select("at", F.col("first.node").alias("other"), F.col("first.fp").alias("other_fp"))
-    near_leader = probes(nodes).join(leaders, "at").filter((F.col("node") != F.col("other")) & near)
+    both = F.struct("node", "fp")
+    ends = index(nodes).groupBy("at").agg(F.array(F.min(both), F.max(both)).alias("ends"))
+    leaders = ends.select("at", F.explode("ends").alias("l")).select("at", F.col("l.node").alias("other"), F.col("l.fp").alias("other_fp"))
+    near_leader = index(nodes).join(leaders, "at").filter((F.col("node") != F.col("other")) & near)
     pairs = near_leader.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     linked = workdir.saved(verified(pairs), "links")
     roots = components.roots(linked).withColumnRenamed("root", "part_of")
