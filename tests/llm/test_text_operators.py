@@ -149,6 +149,21 @@ def test_one_of_each(spark, docs, none):
     assert set(simhash.one_of_each(docs).columns) == set(docs.columns)
 
 
+def test_one_of_each_finds_contiguous_edits(spark):
+    rnd = random.Random(6)
+    rows, similar = [], []
+    for k in range(150):
+        w = [f"v{rnd.randrange(4000)}" for _ in range(rnd.randrange(200, 1000))]
+        n, at = round(len(w) * rnd.choice([0.1, 0.15, 0.19])), rnd.randrange(len(w) // 2)
+        copy = w[:at] + w[at + n :] if k % 2 else w[:at] + [f"n{rnd.randrange(4000)}" for _ in range(n)] + w[at:]
+        a, b = (brute.shingles(" ".join(x)) for x in (w, copy))
+        similar.append(100 * len(a & b) >= 80 * len(a | b))
+        rows += [(2 * k, " ".join(w), "en", "a"), (2 * k + 1, " ".join(copy), "en", "a")]
+    got = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, brute.SCHEMA)).collect()}
+    assert got == {2 * k for k in range(150)} | {2 * k + 1 for k in range(150) if not similar[k]}
+    assert sum(similar) > 100
+
+
 @pytest.mark.parametrize(("window", "hot"), [(35, 4096), (10, 4096), (10, 0)])
 def test_substrings(docs, none, monkeypatch, window, hot):
     monkeypatch.setattr(substrings, "HOT_RUNS", hot)
