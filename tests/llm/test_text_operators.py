@@ -231,3 +231,20 @@ def test_decontamination(spark):
     clean = decontaminate.without_leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     assert sorted(r.doc_id for r in clean.collect()) == [4, 5, 6, 7, 8, 9, 10, 11]
     assert clean.columns == docs.columns
+
+
+def test_decontamination_of_slot_rich_and_short_items(spark):
+    title = "The Great Garden Of Queen Maria And Her Seven Sisters Was Built In Old Vienna By Anton Huber"
+    numbers = "12 15 18 21 24 27 30 34 36 39 42 45 48 51 54"
+    short = "Paula eats 3 apples and 4 pears"
+    benchmark = ((1, title), (2, numbers), (3, short))
+    other = " ".join(str(k) for k in range(100, 160))
+    for shift in range(decontaminate.TILE):
+        texts = ["x " * shift + t for t in (title, title.lower(), title.upper(), numbers, short.replace("3", "5"), other, "eats 3 apples and 4 plums")]
+        want = {(0, 1), (1, 1), (2, 1), (3, 2), (4, 3)}
+        if shift == 0:
+            assert leaked(spark, texts, benchmark) == want
+            every = texts
+            continue
+        every += texts
+    assert leaked(spark, every, benchmark) == {(7 * s + d, i) for s in range(decontaminate.TILE) for d, i in want}

@@ -8,17 +8,26 @@ a whole tile wherever it starts, and the hash join finds it. What the join
 finds is laid out along the item: a position agrees when the literal tokens are
 equal, or when both are placeholders of one type and the values correspond one
 to one throughout the stretch. An item has leaked into a document when
-``MIN_RUN`` positions in a row agree, or all of a shorter item's.
-
-Defined results: missing texts have no tokens. Items of fewer than 2 * TILE - 1
-tokens are not searched: so short a phrase turns up in clean text. Windows of
-more than ``MAX_SLOTS`` placeholders say too little and are not looked up; the
-positions still count when others lead to the item. Items or documents that
-repeat are reported each; a missing document or item id stays missing.
+``MIN_RUN`` positions in a row agree, or all of a shorter item's. Placeholders
+alone say too little: ``MIN_EQUAL`` of these positions, or half of a shorter
+item's, must agree in their tokens.
+
+A name may stand in small or capital letters in a copy. So the index holds every
+window with each of its names as a placeholder and as a plain word, and a tile
+is looked up as it stands and with all its names as plain words. Items of fewer
+than 2 * TILE - 1 tokens may hold no tile; they are found by their whole
+template, which is looked up at every place of a document.
+
+Defined results: missing texts have no tokens. Items of fewer than ``MIN_ITEM``
+tokens are not searched: so short a phrase turns up in clean text. Items or
+documents that repeat are reported each; a missing document or item id stays
+missing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +36,8 @@ from tidemark.sources import workdir
 
 TILE = 6
 MIN_RUN = 13
-MAX_SLOTS = 2
+MIN_EQUAL = 4
+MIN_ITEM = 3
 # A larger index is not broadcast: 2 million entries are under 100 MB.
 BROADCAST_ENTRIES = 2_000_000
 UNITS = (
@@ -38,6 +48,8 @@ UNITS = (
     "dollar dollars cent cents euro euros percent"
 ).split()
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+# Before a word that is a name; no token has this sign.
+NAMED = "+"
 # Everything between tokens: ASCII signs but full stop and comma, and the general punctuation block.
 _BETWEEN = r"[\x00-\x2B\x2D\x2F\x3A-\x40\x5B-\x60\x7B-\x7F -⁯]+"
 
@@ -48,7 +60,7 @@ def tokens(text: Column) -> Column:
 
 
 def templates(found: Column) -> Column:
-    """The canonical form of each token.
+    """The canonical form of each token; a name is its word behind ``NAMED``.
 
     A capital starts a name unless it starts a sentence, that is, unless the
     token before ends with a full stop or there is none. Words in capitals are
@@ -62,7 +74,7 @@ def templates(found: Column) -> Column:
             opens = (i == 0) | F.endswith(F.get(found, i - 1), F.lit("."))
             return (
                 F.when(head.between(48, 57), NUMBER)
-                .when(capital, F.when(opens | (bare == F.upper(bare)), F.lower(bare)).otherwise(NAME))
+                .when(capital, F.when(opens | (bare == F.upper(bare)), F.lower(bare)).otherwise(F.concat(F.lit(NAMED), F.lower(bare))))
                 .when(bare.isin(UNITS), UNIT)
                 .otherwise(bare)
             )
@@ -72,30 +84,61 @@ def templates(found: Column) -> Column:
     return F.transform(found, canonical)
 
 
+def _word(form: Column) -> Column:
+    """The plain word of a form that may be a name."""
+    return F.ltrim(form, F.lit(NAMED))
+
+
+def _named(form: Column) -> Column:
+    return F.startswith(form, F.lit(NAMED))
+
+
+def _spellings(window: Column, choices: Callable[[Column], Column]) -> Column:
+    """Hashes of all the ways to write a window, given the choices for each form."""
+    start = F.array(F.array().cast("array<string>"))
+    each = lambda ways, form: F.flatten(F.transform(choices(form), lambda c: F.transform(ways, lambda w: F.concat(w, F.array(c)))))
+    return F.transform(F.aggregate(window, start, each), lambda way: F.xxhash64(way))
+
+
+def _of_item(window: Column) -> Column:
+    """Hashes of an item's window: each name as a placeholder and as a plain word."""
+    return _spellings(window, lambda form: F.when(_named(form), F.array(F.lit(NAME), _word(form))).otherwise(F.array(form)))
+
+
+def _of_document(window: Column) -> Column:
+    """Hashes of a document's window: as it stands, and with all names as plain words."""
+    stands = F.xxhash64(F.transform(window, lambda form: F.when(_named(form), NAME).otherwise(form)))
+    plain = F.xxhash64(F.transform(window, _word))
+    return F.when(F.exists(window, _named), F.array(stands, plain)).otherwise(F.array(stands))
+
+
 def _index(benchmark: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(items with their tokens, windows (hash, item, at)), both saved."""
     items = benchmark.select(F.col(item_id).alias("item_id"), rows.text_of(text).alias("text")).distinct()
     items = items.withColumn("item", F.xxhash64("item_id", "text")).withColumn("raw", tokens(F.col("text")))
-    items = items.withColumn("form", templates(F.col("raw"))).filter(F.size("raw") >= 2 * TILE - 1)
+    items = items.withColumn("form", templates(F.col("raw"))).filter(F.size("raw") >= MIN_ITEM)
     items = workdir.saved(items.select("item", "item_id", "raw", "form"), "items")
-    starts = F.sequence(F.lit(0), F.size("form") - TILE)
-    slots = F.size(F.filter("window", lambda x: x.isin(NUMBER, NAME, UNIT)))
+    short = F.size("form") < 2 * TILE - 1
+    starts = F.when(short, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.greatest(F.size("form") - TILE, F.lit(0))))
     windows = (
-        items.select("item", "form", F.explode(starts).alias("at"))
-        .select("item", "at", F.slice("form", F.col("at") + 1, TILE).alias("window"))
-        .filter(slots <= MAX_SLOTS)
-        .select(F.xxhash64("window").alias("hash"), "item", "at")
+        items.select("item", "form", F.when(short, F.size("form")).otherwise(TILE).alias("width"), F.explode(starts).alias("at"))
+        .select("item", "at", F.explode(_of_item(F.slice("form", F.col("at") + 1, F.col("width")))).alias("hash"))
+        .distinct()
     )
     return items, workdir.saved(windows, "windows")
 
 
-def _tiles(form: Column) -> Column:
-    """Hash of each whole tile of a template."""
-    count = F.floor(F.size(form) / TILE).cast("int")
-    return F.when(
-        count > 0,
-        F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.xxhash64(F.slice(form, k * TILE + 1, TILE))),
-    )
+def _keys(form: Column, widths: list[int]) -> Column:
+    """(hash, place) of each whole tile of a template, and of every window of the widths."""
+    empty = F.array().cast("array<struct<hash:bigint,place:int>>")
+
+    def at(places: Column, width: int) -> Column:
+        found = lambda p: F.transform(_of_document(F.slice(form, p + 1, width)), lambda h: F.struct(h.alias("hash"), p.cast("int").alias("place")))
+        return F.when(F.size(form) >= width, F.flatten(F.transform(places, found))).otherwise(empty)
+
+    last = lambda width: F.greatest(F.size(form) - width, F.lit(0))
+    tiles = at(F.sequence(F.lit(0), last(TILE), F.lit(TILE)), TILE)
+    return F.concat(tiles, *[at(F.sequence(F.lit(0), last(width)), width) for width in widths])
 
 
 def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at: Column) -> Column:
@@ -106,8 +149,11 @@ def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at:
     pairs = F.transform(
         item_form,
         lambda x, j: F.struct(
-            F.coalesce((there(form, j) == x) | (bare(there(raw, j)) == bare(F.get(item_raw, j))), F.lit(False)).alias("same"),
-            F.when(x.isin(NUMBER, NAME, UNIT), x).alias("slot"),
+            F.coalesce(
+                (there(form, j) == x) | (_named(there(form, j)) & _named(x)) | (bare(there(raw, j)) == bare(F.get(item_raw, j))),
+                F.lit(False),
+            ).alias("same"),
+            F.when(_named(x), NAME).when(x.isin(NUMBER, UNIT), x).alias("slot"),
             bare(F.get(item_raw, j)).alias("mine"),
             bare(there(raw, j)).alias("theirs"),
         ),
@@ -121,18 +167,22 @@ def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at:
                 slots,
                 lambda o: (o["slot"] == p["slot"]) & ((o["mine"] == p["mine"]) != (o["theirs"] == p["theirs"])),
             )
-            return F.transform(all_pairs, lambda p: p["same"] & (p["slot"].isNull() | ~clash(p)))
+            agrees = lambda p: p["same"] & (p["slot"].isNull() | ~clash(p))
+            return F.transform(all_pairs, lambda p: F.struct(agrees(p).alias("yes"), (p["mine"] == p["theirs"]).alias("equal")))
 
         def runs(agree: Column) -> Column:
-            start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"))
+            start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("equal"), F.lit(0).alias("best"))
+            enough = F.least(F.lit(MIN_EQUAL), F.ceil(F.size(item_form) / 2).cast("int"))
 
-            def step(acc: Column, yes: Column) -> Column:
-                now = F.when(yes, acc["now"] + 1).otherwise(0)
-                return F.struct(now.alias("now"), F.greatest(acc["best"], now).alias("best"))
+            def step(acc: Column, p: Column) -> Column:
+                now = F.when(p["yes"], acc["now"] + 1).otherwise(0)
+                equal = F.when(p["yes"], acc["equal"] + F.coalesce(p["equal"], F.lit(False)).cast("int")).otherwise(0)
+                best = F.greatest(acc["best"], F.when(equal >= enough, now).otherwise(0))
+                return F.struct(now.alias("now"), equal.alias("equal"), best.alias("best"))
 
             return F.struct(
                 F.aggregate(agree, start, step, lambda acc: acc["best"]).alias("run"),
-                F.size(F.filter(agree, lambda yes: yes)).alias("agreed"),
+                F.size(F.filter(agree, lambda p: p["yes"])).alias("agreed"),
                 F.size(filled).alias("slots"),
             )
 
@@ -147,25 +197,27 @@ def leaks(
     """(doc_id, text_hash, item_id, run, agreed, n_slots, n_tokens): one row per document and leaked item."""
     items, windows = _index(benchmark, item_id, item_text)
     entries = windows.count()
+    widths = [r[0] for r in items.select(F.size("form")).filter(F.size("form") < 2 * TILE - 1).distinct().collect()]  # one row per width
     whole = rows.text_of(text)
     key = [F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("text_hash")]
-    tiles = docs.select(*key, F.posexplode(rows.let(tokens(whole), lambda x: rows.let(templates(x), _tiles))).alias("tile", "hash"))
+    keys = rows.let(tokens(whole), lambda x: rows.let(templates(x), lambda form: _keys(form, sorted(widths))))
+    tiles = docs.select(*key, F.explode(keys).alias("k")).select("doc_id", "text_hash", "k.hash", "k.place")
     small = F.broadcast(windows) if entries <= BROADCAST_ENTRIES else windows
-    found = tiles.join(small, "hash").select("doc_id", "text_hash", "item", (F.col("tile") * TILE - F.col("at")).alias("at"))
+    found = tiles.join(small, "hash").select("doc_id", "text_hash", "item", (F.col("place") - F.col("at")).alias("at"))
     found = workdir.saved(found.distinct(), "candidates")
-    texts = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(whole).alias("_hash"), whole.alias("_text"))
+    # The texts with a candidate are cut once, not once for each.
+    asked = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    texts = docs.select(*key, whole.alias("text")).join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    texts = texts.groupBy("_id", "_hash").agg(F.any_value("text").alias("text"))
+    cut = rows.let(tokens(F.col("text")), lambda x: F.struct(x.alias("raw"), templates(x).alias("form")))
+    texts = workdir.saved(texts.select("_id", "_hash", cut.alias("cut")), "texts")
     met = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).join(items, "item")
     laid = met.select(
         "doc_id",
         "text_hash",
         "item_id",
         F.size("form").alias("n_tokens"),
-        rows.let(
-            F.struct(tokens(F.col("_text")).alias("raw"), F.col("form").alias("item_form"), F.col("raw").alias("item_raw"), F.col("at").alias("at")),
-            lambda x: rows.let(
-                templates(x["raw"]), lambda form: _aligned(x["item_form"], x["item_raw"], form, x["raw"], x["at"])
-            ),
-        ).alias("a"),
+        _aligned(F.col("form"), F.col("raw"), F.col("cut.form"), F.col("cut.raw"), F.col("at")).alias("a"),
     )
     held = laid.filter(F.col("a.run") >= F.least(F.lit(MIN_RUN), F.col("n_tokens")))
     best = held.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct("a.run", "a.agreed", "a.slots", "n_tokens")).alias("b"))
