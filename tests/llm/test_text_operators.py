@@ -248,3 +248,12 @@ def test_decontamination_of_slot_rich_and_short_items(spark):
             continue
         every += texts
     assert leaked(spark, every, benchmark) == {(7 * s + d, i) for s in range(decontaminate.TILE) for d, i in want}
+
+
+def test_decontamination_of_names_that_open_sentences(spark):
+    item = "Tom has 5 apples. Ann gives Tom 3 more. How many apples does Tom have now"
+    changed = item.replace("Tom", "Bob").replace("Ann", "Eve")
+    # Tom is Bob in one place and Carl in the others.
+    clash = item.replace("Tom", "Carl").replace("Carl has", "Bob has").replace("gives Carl", "gives Bob")
+    texts = [f"{'x ' * k}x. {changed}" for k in range(decontaminate.TILE)] + [clash, f"so {item[0].lower()}{item[1:]}"]
+    assert leaked(spark, texts, ((1, item),)) == {(k, 1) for k in range(decontaminate.TILE)} | {(7, 1)}

@@ -14,7 +14,9 @@ item's, must agree in their tokens.
 
 A name may stand in small or capital letters in a copy. So the index holds every
 window with each of its names as a placeholder and as a plain word, and a tile
-is looked up as it stands and with all its names as plain words. Items of fewer
+is looked up as it stands and with all its names as plain words. The capital that
+opens a sentence may be a name or not: both are looked up, and two that differ
+agree as long as they contradict no other name of the stretch. Items of fewer
 than 2 * TILE - 1 tokens may hold no tile; they are found by their whole
 template, which is looked up at every place of a document.
 
@@ -48,8 +50,8 @@ UNITS = (
     "dollar dollars cent cents euro euros percent"
 ).split()
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
-# Before a word that is a name; no token has this sign.
-NAMED = "+"
+# Before a word that is a name, or that opens a sentence and may be one; no token has these signs.
+NAMED, OPENER = "+", "^"
 # Everything between tokens: ASCII signs but full stop and comma, and the general punctuation block.
 _BETWEEN = r"[\x00-\x2B\x2D\x2F\x3A-\x40\x5B-\x60\x7B-\x7F -⁯]+"
 
@@ -60,10 +62,10 @@ def tokens(text: Column) -> Column:
 
 
 def templates(found: Column) -> Column:
-    """The canonical form of each token; a name is its word behind ``NAMED``.
+    """The canonical form of each token; a name is its word behind ``NAMED`` or ``OPENER``.
 
-    A capital starts a name unless it starts a sentence, that is, unless the
-    token before ends with a full stop or there is none. Words in capitals are
+    A capital starts a name. It opens a sentence when the token before ends
+    with a full stop or there is none. Words in capitals are
     plain words, so that shouted copies keep their template.
     """
 
@@ -74,7 +76,7 @@ def templates(found: Column) -> Column:
             opens = (i == 0) | F.endswith(F.get(found, i - 1), F.lit("."))
             return (
                 F.when(head.between(48, 57), NUMBER)
-                .when(capital, F.when(opens | (bare == F.upper(bare)), F.lower(bare)).otherwise(F.concat(F.lit(NAMED), F.lower(bare))))
+                .when(capital, F.when(bare == F.upper(bare), F.lower(bare)).otherwise(F.concat(F.when(opens, OPENER).otherwise(NAMED), F.lower(bare))))
                 .when(bare.isin(UNITS), UNIT)
                 .otherwise(bare)
             )
@@ -86,13 +88,17 @@ def templates(found: Column) -> Column:
 
 def _word(form: Column) -> Column:
     """The plain word of a form that may be a name."""
-    return F.ltrim(form, F.lit(NAMED))
+    return F.ltrim(form, F.lit(NAMED + OPENER))
 
 
 def _named(form: Column) -> Column:
     return F.startswith(form, F.lit(NAMED))
 
 
+def _opener(form: Column) -> Column:
+    return F.startswith(form, F.lit(OPENER))
+
+
 def _spellings(window: Column, choices: Callable[[Column], Column]) -> Column:
     """Hashes of all the ways to write a window, given the choices for each form."""
     start = F.array(F.array().cast("array<string>"))
@@ -101,15 +107,17 @@ def _spellings(window: Column, choices: Callable[[Column], Column]) -> Column:
 
 
 def _of_item(window: Column) -> Column:
-    """Hashes of an item's window: each name as a placeholder and as a plain word."""
-    return _spellings(window, lambda form: F.when(_named(form), F.array(F.lit(NAME), _word(form))).otherwise(F.array(form)))
+    """Hashes of an item's window: each name, sure or not, as a placeholder and as a plain word."""
+    return _spellings(window, lambda form: F.when(_named(form) | _opener(form), F.array(F.lit(NAME), _word(form))).otherwise(F.array(form)))
 
 
 def _of_document(window: Column) -> Column:
-    """Hashes of a document's window: as it stands, and with all names as plain words."""
-    stands = F.xxhash64(F.transform(window, lambda form: F.when(_named(form), NAME).otherwise(form)))
-    plain = F.xxhash64(F.transform(window, _word))
-    return F.when(F.exists(window, _named), F.array(stands, plain)).otherwise(F.array(stands))
+    """Hashes of a document's window: openers as either, names as placeholders; and with all names as plain words."""
+    masked = F.transform(window, lambda form: F.when(_named(form), NAME).otherwise(form))
+    either = lambda form: F.when(_opener(form), F.array(F.lit(NAME), _word(form))).otherwise(F.array(form))
+    stands = F.when(F.exists(window, _opener), _spellings(masked, either)).otherwise(F.array(F.xxhash64(masked)))
+    plain = F.array(F.xxhash64(F.transform(window, _word)))
+    return F.when(F.exists(window, _named), F.array_union(stands, plain)).otherwise(stands)
 
 
 def _index(benchmark: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -146,18 +154,20 @@ def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at:
     bare = lambda token: F.lower(F.rtrim(token, F.lit(".,")))
     # A place before the document's first token is no place.
     there = lambda array, j: F.when(at + j >= 0, F.get(array, at + j))
-    pairs = F.transform(
-        item_form,
-        lambda x, j: F.struct(
-            F.coalesce(
-                (there(form, j) == x) | (_named(there(form, j)) & _named(x)) | (bare(there(raw, j)) == bare(F.get(item_raw, j))),
-                F.lit(False),
-            ).alias("same"),
-            F.when(_named(x), NAME).when(x.isin(NUMBER, UNIT), x).alias("slot"),
-            bare(F.get(item_raw, j)).alias("mine"),
-            bare(there(raw, j)).alias("theirs"),
-        ),
-    )
+    name = lambda form: _named(form) | _opener(form)
+
+    def pair(x: Column, j: Column) -> Column:
+        mine, theirs, y = bare(F.get(item_raw, j)), bare(there(raw, j)), there(form, j)
+        return F.struct(
+            F.coalesce((y == x) | (name(y) & name(x)) | (theirs == mine), F.lit(False)).alias("same"),
+            F.when(name(x), NAME).when(x.isin(NUMBER, UNIT), x).alias("slot"),
+            # Nothing but its place says that an opener is a name: sure ones don't yield to it.
+            F.coalesce(_opener(x) | (_opener(y) & (theirs != mine)), F.lit(False)).alias("unsure"),
+            mine.alias("mine"),
+            theirs.alias("theirs"),
+        )
+
+    pairs = F.transform(item_form, pair)
 
     def judged(all_pairs: Column) -> Column:
         filled = F.filter(all_pairs, lambda p: p["same"] & p["slot"].isNotNull())
@@ -165,9 +175,12 @@ def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at:
         def agreeing(slots: Column) -> Column:
             clash = lambda p: F.exists(
                 slots,
-                lambda o: (o["slot"] == p["slot"]) & ((o["mine"] == p["mine"]) != (o["theirs"] == p["theirs"])),
+                lambda o: (o["slot"] == p["slot"])
+                & (p["unsure"] | ~o["unsure"])
+                & ((o["mine"] == p["mine"]) != (o["theirs"] == p["theirs"])),
             )
-            agrees = lambda p: p["same"] & (p["slot"].isNull() | ~clash(p))
+            plain = lambda p: p["slot"].isNull() | (p["unsure"] & (p["mine"] == p["theirs"]))
+            agrees = lambda p: p["same"] & (plain(p) | ~clash(p))
             return F.transform(all_pairs, lambda p: F.struct(agrees(p).alias("yes"), (p["mine"] == p["theirs"]).alias("equal")))
 
         def runs(agree: Column) -> Column:
