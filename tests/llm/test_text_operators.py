@@ -257,3 +257,10 @@ def test_decontamination_of_names_that_open_sentences(spark):
     clash = item.replace("Tom", "Carl").replace("Carl has", "Bob has").replace("gives Carl", "gives Bob")
     texts = [f"{'x ' * k}x. {changed}" for k in range(decontaminate.TILE)] + [clash, f"so {item[0].lower()}{item[1:]}"]
     assert leaked(spark, texts, ((1, item),)) == {(k, 1) for k in range(decontaminate.TILE)} | {(7, 1)}
+
+
+def test_slots_outside_a_quoted_stretch_do_not_contradict_it(spark):
+    item = "Maria counts 14 small boats in the old harbour and tells Maria that 14 of them are for sale. Then Maria buys one of the boats."
+    quoted = "counts 14 small boats in the old harbour and tells Maria that 14 of them"
+    texts = [f"Here {quoted} should be red. Then Peter sold it for a coin", f"so Paula {quoted.replace('Maria', 'Paula')} were gone. Later Peter had 14"]
+    assert leaked(spark, texts, ((1, item),)) == {(0, 1), (1, 1)}

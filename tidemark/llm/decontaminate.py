@@ -7,7 +7,7 @@ into adjoining tiles of that size. A copied stretch of 2 * TILE - 1 tokens holds
 a whole tile wherever it starts, and the hash join finds it. What the join
 finds is laid out along the item: a position agrees when the literal tokens are
 equal, or when both are placeholders of one type and the values correspond one
-to one throughout the stretch. An item has leaked into a document when
+to one throughout the stretch; stretches apart from each other don't matter to it. An item has leaked into a document when
 ``MIN_RUN`` positions in a row agree, or all of a shorter item's. Placeholders
 alone say too little: ``MIN_EQUAL`` of these positions, or half of a shorter
 item's, must agree in their tokens.
@@ -169,8 +169,8 @@ def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at:
 
     pairs = F.transform(item_form, pair)
 
-    def judged(all_pairs: Column) -> Column:
-        filled = F.filter(all_pairs, lambda p: p["same"] & p["slot"].isNotNull())
+    def judged(stretch: Column) -> Column:
+        filled = F.filter(stretch, lambda p: p["slot"].isNotNull())
 
         def agreeing(slots: Column) -> Column:
             clash = lambda p: F.exists(
@@ -180,28 +180,41 @@ def _aligned(item_form: Column, item_raw: Column, form: Column, raw: Column, at:
                 & ((o["mine"] == p["mine"]) != (o["theirs"] == p["theirs"])),
             )
             plain = lambda p: p["slot"].isNull() | (p["unsure"] & (p["mine"] == p["theirs"]))
-            agrees = lambda p: p["same"] & (plain(p) | ~clash(p))
-            return F.transform(all_pairs, lambda p: F.struct(agrees(p).alias("yes"), (p["mine"] == p["theirs"]).alias("equal")))
+            return F.transform(stretch, lambda p: F.struct((plain(p) | ~clash(p)).alias("yes"), (p["mine"] == p["theirs"]).alias("equal")))
 
         def runs(agree: Column) -> Column:
-            start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("equal"), F.lit(0).alias("best"))
+            start = F.struct(*[F.lit(0).alias(x) for x in ("now", "equal", "verbatim", "best")])
             enough = F.least(F.lit(MIN_EQUAL), F.ceil(F.size(item_form) / 2).cast("int"))
 
             def step(acc: Column, p: Column) -> Column:
                 now = F.when(p["yes"], acc["now"] + 1).otherwise(0)
-                equal = F.when(p["yes"], acc["equal"] + F.coalesce(p["equal"], F.lit(False)).cast("int")).otherwise(0)
-                best = F.greatest(acc["best"], F.when(equal >= enough, now).otherwise(0))
-                return F.struct(now.alias("now"), equal.alias("equal"), best.alias("best"))
+                equal = F.when(p["yes"], acc["equal"] + p["equal"].cast("int")).otherwise(0)
+                # Equal tokens in a row agree, whatever the slots around them say.
+                verbatim = F.when(p["equal"], acc["verbatim"] + 1).otherwise(0)
+                best = F.greatest(acc["best"], F.when(equal >= enough, now).otherwise(0), verbatim)
+                return F.struct(now.alias("now"), equal.alias("equal"), verbatim.alias("verbatim"), best.alias("best"))
 
             return F.struct(
                 F.aggregate(agree, start, step, lambda acc: acc["best"]).alias("run"),
-                F.size(F.filter(agree, lambda p: p["yes"])).alias("agreed"),
+                F.size(F.filter(agree, lambda p: p["yes"] | p["equal"])).alias("agreed"),
                 F.size(filled).alias("slots"),
             )
 
         return rows.let(rows.let(filled, agreeing), runs)
 
-    return rows.let(pairs, judged)
+    def stretches(all_pairs: Column) -> Column:
+        """The stretches of positions in a row that can agree: from behind one that cannot up to the next."""
+        places = F.sequence(F.lit(0), F.size(all_pairs))
+        breaks = F.filter(places, lambda j: ~F.coalesce(F.get(all_pairs, j)["same"], F.lit(False)))
+        behind = lambda ends, k: F.coalesce(F.get(ends, k - 1), F.lit(-1)) + 1
+        cut = lambda ends: F.transform(ends, lambda end, k: F.slice(all_pairs, behind(ends, k) + 1, end - behind(ends, k)))
+        return F.transform(rows.let(breaks, cut), judged)
+
+    def together(found: Column) -> Column:
+        total = lambda name: F.aggregate(found, F.lit(0), lambda n, x: n + x[name]).alias(name)
+        return F.struct(F.array_max(F.transform(found, lambda x: x["run"])).alias("run"), total("agreed"), total("slots"))
+
+    return rows.let(rows.let(pairs, stretches), together)
 
 
 def leaks(
