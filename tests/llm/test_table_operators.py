@@ -209,6 +209,24 @@ def test_shards_are_even_and_in_order(spark, part_bytes):
             assert [r.doc_id for r in mine] == sorted(r.doc_id for r in mine)
 
 
+def test_parts_follow_each_other_in_key_order(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.randrange(10**6), "x" * rnd.randrange(1, 80)) for _ in range(2000)]
+    got = placed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, part_bytes=4000)
+    ordered = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.doc_id for r in ordered] == sorted(r[0] for r in rows)
+
+
+def test_rows_equal_in_key_and_text_are_split(spark):
+    rows = [(None, None)] * 3000 + [(k, "x" * 12) for k in range(3000)]
+    got = placed(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), 8)
+    sizes = Counter()
+    for r in got:
+        sizes[r.shard] += r.size
+    total = sum(sizes.values())
+    assert len(got) == 6000 and len(sizes) == 8 and all(abs(n - total / 8) <= 40 for n in sizes.values())
+
+
 # --- lengths ----------------------------------------------------------------
 
 
