@@ -92,6 +92,16 @@ def test_quality_thresholds_follow_the_source(spark):
     assert all(got.values())
 
 
+def test_quality_of_long_words_and_many_symbols(spark):
+    # Sources whose middle half lies beyond the even grid: words of 60 to 90 characters, 3 symbols a word.
+    long = lambda k, n: " ".join("字" * n + chr(0x4E00 + 12 * (k % 900) + j) for j in range(12))
+    marks = lambda k, n: " ".join(f"word{(k * 31 + j) % 997}{'#' * n}" for j in range(12))
+    rows = [(k, long(k, 60 + k % 3 * 10), "zh", "a") for k in range(150)] + [(1000, long(0, 5000), "zh", "a"), (1001, long(1, 43), "zh", "a")]
+    rows += [(2000 + k, marks(k, 3), "en", "b") for k in range(150)] + [(3000, marks(0, 40), "en", "b")]
+    got = {r.doc_id: r.kept for r in quality.judged(quality.measure(spark.createDataFrame(rows, brute.SCHEMA))).select("doc.doc_id", "kept").collect()}
+    assert {k for k, kept in got.items() if not kept} == {1000, 3000}
+
+
 def test_fingerprints_and_components(docs, none):
     marked = docs.select("doc_id", "text", simhash.fingerprint(F.col("text")).alias("fp"))
     got = simhash.clusters(marked).collect()

@@ -5,6 +5,8 @@ an integer on a fixed grid, and the documents of a (language, source) are
 summarised by how many of them fall on each grid point. Such a summary is a
 quantile sketch that merges by addition, in any order and with the same
 result, has a bounded number of points, and errs by less than one grid step.
+The steps are even up to a last even point and grow by ``GROWTH`` beyond it, so
+that no measure is cut off.
 The thresholds are read off the sketches and joined back to the documents.
 
 Defined results: a missing text is an empty one; an empty text has no words
@@ -16,6 +18,8 @@ languages of fewer by that of all documents.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +31,7 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_DOCS = 100
-# Measure -> (last grid point, least distance of the fence from the middle half).
+# Measure -> (last even grid point, least distance of the fence from the middle half).
 GRID = {
     "symbols": (2000, 100),  # symbols per 1000 words
     "lines": (1000, 300),  # repeated lines per 1000 lines
@@ -35,6 +39,7 @@ GRID = {
     "length": (5000, 400),  # hundredths of a character per word
 }
 FENCE = 4
+GROWTH = 1.02
 
 
 def repeated_words(words: Column, size: int = WINDOW) -> Column:
@@ -108,7 +113,12 @@ def base_failed(min_words: int = MIN_WORDS, max_percent: int = MAX_REPEAT_PERCEN
 
 def _grid() -> dict[str, Column]:
     """Each measure on its grid; only for documents with words."""
-    per = lambda n, of, unit: F.least(F.expr(f"({n} * {unit}) div greatest({of}, 1)"), F.lit(GRID[name][0]))
+
+    def per(n: str, of: str, unit: int, last: int) -> Column:
+        value = F.expr(f"({n} * {unit}) div greatest({of}, 1)")
+        steps = F.floor(F.log(value / last) / math.log(GROWTH))
+        return F.when(value <= last, value).otherwise(F.floor(last * F.pow(F.lit(GROWTH), steps)))
+
     out = {}
     for name, n, of, unit in (
         ("symbols", "n_symbols", "n_words", 1000),
@@ -116,7 +126,7 @@ def _grid() -> dict[str, Column]:
         ("repeats", "n_repeat_words", "n_words", 1000),
         ("length", "word_chars", "n_words", 100),
     ):
-        out[name] = per(n, of, unit)
+        out[name] = per(n, of, unit, GRID[name][0])
     return out
 
 
