@@ -116,9 +116,30 @@ select page_id, payload_bytes, digest as payload_digest,
 from b
 """
 
+OP11 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text, length(coalesce(text, ''))::bigint as n,
+         sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+h as (
+  select *, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+         ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4 from d),
+c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when text = '' or regexp_matches(text, '<[PSM]>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form from h),
+p as (select *, substring(text, 1, a) as x, substring(text, a + 1, b - a) as y, substring(text, b + 1, n - b) as z from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y
+                        when 'spm' then '<S>' || z || '<P>' || x || '<M>' || y else text end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
+"""
+
 ORACLES = {
     "op2_line_dedup": OP2,
     "op3_repeats": OP3,
     "op8_warc": OP8,
     "op9_quality_rules": OP9,
+    "op11_fim": OP11,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, substrings, warc
+from tidemark.llm import decontaminate, fim, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, substrings, warc
 from tidemark.sources import workdir
 
 
@@ -127,6 +127,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    made = fim.transformed(docs.select("doc_id", "text"))
+    return made.select(
+        "doc.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_interpolation": op1_interpolation,
     "op2_line_dedup": op2_line_dedup,
@@ -138,4 +152,5 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_fim": op11_fim,
 }
