@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fim, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, substrings, warc
+from tidemark.llm import decontaminate, fim, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, substrings, token_files, warc
 from tidemark.sources import workdir
 
 
@@ -89,6 +89,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the byte-level vocabulary splits a text before merging.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHARDS = 24
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+END_ID = 2
 
 
 def op1_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +143,13 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.table(spark, sf_dir, "documents")
+    folder = workdir.new_dir(spark, "tokens")
+    token_files.write(docs, folder, TOKENIZER, END_ID)
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", token_files.crc32(F.col("ids")).alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_interpolation": op1_interpolation,
     "op2_line_dedup": op2_line_dedup,
@@ -153,4 +162,5 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
     "op11_fim": op11_fim,
+    "op13_token_files": op13_token_files,
 }

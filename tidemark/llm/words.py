@@ -22,7 +22,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def slices(texts: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, lower: bool = False, size: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, bounds of the rows in the bytes); null is empty."""
     texts = pc.fill_null(texts, "") if texts.null_count else texts
     wide = pa.types.is_large_string(texts.type)
@@ -31,7 +31,7 @@ def slices(texts: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.
     whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(at, at[first] + SLICE, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
         piece = whole[at[first] : at[last]]
         yield first, last, LOWER[piece] if lower else piece, at[first : last + 1] - at[first]
         first = last
