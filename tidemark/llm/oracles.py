@@ -136,10 +136,35 @@ select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
 from p
 """
 
+OP12 = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as id,
+         list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 50 = 0),
+p as (
+  select anchor_id, id as positive_id, score as positive_score
+  from (select *, row_number() over (partition by anchor_id order by score desc, id) as k
+        from s where same and id <> anchor_id)
+  where k <= 5),
+n as (
+  select anchor_id, positive_id, id as negative_id, positive_score, score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by score desc, id) as k
+  from p join s using (anchor_id)
+  where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, k::int as rank, negative_id, positive_score, negative_score from n where k <= 3
+"""
+
 ORACLES = {
     "op2_line_dedup": OP2,
     "op3_repeats": OP3,
     "op8_warc": OP8,
     "op9_quality_rules": OP9,
     "op11_fim": OP11,
+    "op12_hard_negatives": OP12,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fim, interpolation, lengths, line_dedup, pieces, quality, rows, shards, simhash, substrings, token_files, warc
+from tidemark.llm import decontaminate, fim, interpolation, lengths, line_dedup, negatives, pieces, quality, rows, shards, simhash, substrings, token_files, warc
 from tidemark.sources import workdir
 
 
@@ -143,6 +143,12 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = rows.table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 50 == 0)
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.table(spark, sf_dir, "documents")
     folder = workdir.new_dir(spark, "tokens")
@@ -162,5 +168,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
     "op11_fim": op11_fim,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_files": op13_token_files,
 }
