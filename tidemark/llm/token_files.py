@@ -13,7 +13,8 @@ from.
 Encoding: a byte-level vocabulary splits a text into words with their leading
 space, runs of digits, signs and spaces, and encodes each alone. Texts are cut
 at places where that splitting always cuts, so the encoding of the whole is
-that of the pieces in a row, and each distinct piece is encoded once.
+that of the pieces in a row, and each distinct piece is encoded once. The
+strings of added tokens in a text are those tokens, as the library has it.
 
 Defined results: a missing or empty text holds the end id only. Rows of one id
 are in the order of their text's hash, equal ones in that of the input; every row
@@ -64,6 +65,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_buffer(content)
         # Each piece is asked for once; the library's own memory would only cost.
         self.tokenizer.model._resize_cache(0)
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -96,7 +98,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text); ``bounds`` cuts the bytes into texts."""
-        starts = pieces(data, bounds)
+        starts = self._whole(pieces(data, bounds), data, bounds)
         index, distinct = self._distinct(data, starts)
         if len(self.known) > KNOWN or sum(map(len, self.ids)) > 8 * KNOWN:
             self._forget()
@@ -113,6 +115,19 @@ class Encoder:
         before = np.concatenate([[0], upto])[np.searchsorted(starts, bounds)]
         return ids, np.diff(before)
 
+    def _whole(self, starts: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The pieces, but a text that holds one of the added tokens is one piece: the library takes those out first."""
+        text, at = data.tobytes(), []
+        for token in self.added:
+            place = text.find(token) if token else -1
+            while place >= 0:
+                row = int(np.searchsorted(bounds, place, "right")) - 1
+                at.append(row)
+                place = text.find(token, int(bounds[row + 1]))
+        for row in set(at):
+            starts = starts[(starts <= bounds[row]) | (starts >= bounds[row + 1])]
+        return starts
+
     @staticmethod
     def _distinct(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
         offsets = np.append(starts, len(data)).astype(np.int64)
