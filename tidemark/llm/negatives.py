@@ -285,7 +285,9 @@ def _met(anchors: DataFrame, others: DataFrame, cells: DataFrame, left: list[str
     keys = [*left, *[name for name in right if name not in left]]
     # Named anew, so that two sides of one origin can be told apart.
     a, b = (side.join(cells, on) for side, on in ((anchors, left), (others, right)))
-    a, b = (side.toDF(*side.columns).groupBy(*keys) for side in (a, b))
+    # A number of partitions of their own: groups are few rows but much work, not to be gathered in few tasks.
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = (side.toDF(*side.columns).repartition(tasks, *keys).groupBy(*keys) for side in (a, b))
     return a.cogroup(b).applyInArrow(task, schema)
 
 
