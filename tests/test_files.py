@@ -95,12 +95,13 @@ def test_work_folder_follows_the_setting(spark):
 
 @pytest.mark.parametrize("master, allowed", [("local[4]", True), ("yarn", False)])
 def test_work_folder_without_the_setting(master, allowed):
+    held = {}
     session = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default),
-        sparkContext=SimpleNamespace(master=master),
+        conf=SimpleNamespace(get=held.get, set=held.__setitem__), sparkContext=SimpleNamespace(master=master)
     )
     if allowed:
-        assert os.path.isdir(workdir.shared_dir(session))
+        folder = workdir.shared_dir(session)
+        assert os.path.isdir(folder) and workdir.shared_dir(session) == folder
     else:
         with pytest.raises(RuntimeError):
             workdir.shared_dir(session)

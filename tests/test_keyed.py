@@ -63,7 +63,7 @@ def test_only_notes_are_deleted(spark):
     assert tuple(outcome.first()) == (3, True, None)
     assert rows(left, "source_id") == [(1,), (2,)] and rows(left_chunks, "source_id") == [(1,), (1,)]
     outcome, left, left_chunks = tools.delete_note(spark, sources(spark), chunks(spark), 1)
-    assert tuple(outcome.first()) == (1, False, "refuse: kind=plan cannot be deleted")
+    assert tuple(outcome.first()) == (1, False, "refuse: kind=plan cannot be deleted via MCP")
     assert left.count() == 3 and left_chunks.count() == 3
     assert tools.delete_note(spark, sources(spark), chunks(spark), 77)[0].first().reason == "not_found"
 

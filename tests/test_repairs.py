@@ -1,6 +1,8 @@
 """Faults that once hid behind equal SQL: each with data that shows the difference."""
 
 import json
+import shutil
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidemark.operators import listings as ls
 from tidemark.plans import inputs
 from tidemark.sources import files, workdir
 from tidemark.streaming import backfill as stream_vectors
+from tidemark.streaming import changes
 
 KEY = "AKIA" + "A1B2C3D4E5F6G7H8"
 
@@ -125,3 +128,54 @@ def test_only_plain_local_masters_get_a_folder_of_their_own():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workdir.shared_dir(Fake)
+
+
+def test_vectors_outlive_checkpoints_replays_and_failures(spark, tmp_path):
+    path, out = str(tmp_path / "chunks"), str(tmp_path / "vectors")
+    schema = "chunk_id bigint, text string, embedding array<float>"
+    land = lambda *ids: spark.createDataFrame([(i, f"t{i}", None) for i in ids], schema).coalesce(1).write.mode("append").parquet(path)
+    read = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def embed(texts, mode, bad=()):
+        if any(t in bad for t in texts):
+            return None
+        for t in texts:
+            (asked / f"{t}-{uuid.uuid4().hex}").touch()
+        return [[float(t[1:])] for t in texts]
+
+    def run(state, bad=(), **more):
+        one = lambda texts, mode: [v for t in texts for v in (embed([t], mode, bad) or [None])]
+        stream_vectors.append_vectors(read(), one, out, str(tmp_path / state), **more).awaitTermination()
+
+    def made():
+        return {r.chunk_id: r.embedding[0] for r in stream_vectors.read_vectors(spark, out).collect()}
+
+    assert made() == {} and stream_vectors.waiting(spark, out).count() == 0
+    for i in (1, 2, 3):
+        land(i)
+    run("one", bad=("t3",))
+    assert made() == {1: 1.0, 2: 2.0} and [r.chunk_id for r in stream_vectors.waiting(spark, out).collect()] == [3]
+    # A new checkpoint goes through all files again: nothing is lost, nothing embedded twice.
+    land(4)
+    run("two")
+    assert made() == {1: 1.0, 2: 2.0, 3: 3.0, 4: 4.0}
+    assert sorted(p.name.split("-")[0] for p in asked.iterdir()) == ["t1", "t2", "t3", "t4"]
+    # The last micro-batch again, as after a crash before it was committed.
+    commits = sorted((tmp_path / "two" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    run("two")
+    assert made() == {1: 1.0, 2: 2.0, 3: 3.0, 4: 4.0}
+    # A checkpoint that is deleted and made again at the same place is a run of its own.
+    shutil.rmtree(tmp_path / "one")
+    land(5)
+    run("one", fold_after=2)
+    assert made() == {i: float(i) for i in range(1, 6)}
+    stream_vectors.compact_vectors(spark, out)
+    land(6)
+    run("one")
+    assert made() == {i: float(i) for i in range(1, 7)}
+    newest = changes.current(spark, f"{out}/tried", stream_vectors._TRIED)
+    assert newest.select("version").distinct().count() <= 2

@@ -48,8 +48,12 @@ def embed_chunks(
     id_col: str = "chunk_id",
     mode: str = "document",
     batch: int = fixed.EMBED_BATCH,
+    failed_text: bool = False,
 ) -> DataFrame:
-    """(id, embedding) for every row; a failed call leaves its texts without vectors."""
+    """(id, embedding) for every row; a failed call leaves its texts without vectors.
+
+    With ``failed_text`` also ``text``, but only where the call failed.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -58,10 +62,14 @@ def embed_chunks(
                 texts = rows["text"].iloc[start : start + batch].tolist()
                 vectors = embedder(texts, mode)
                 found.extend([None] * len(texts) if vectors is None else vectors)
-            yield pd.DataFrame({id_col: rows[id_col].to_numpy(), "embedding": found})
+            out = {id_col: rows[id_col].to_numpy(), "embedding": found}
+            if failed_text:
+                out["text"] = [text if vector is None else None for text, vector in zip(rows["text"], found)]
+            yield pd.DataFrame(out)
 
     id_type = dict(chunks.dtypes)[id_col]
-    return chunks.select(id_col, "text").mapInPandas(run, f"{id_col} {id_type}, embedding array<float>")
+    schema = f"{id_col} {id_type}, embedding array<float>" + ", text string" * failed_text
+    return chunks.select(id_col, "text").mapInPandas(run, schema)
 
 
 def pending(chunks: DataFrame) -> DataFrame:

@@ -370,14 +370,20 @@ def embed_writeback(spark, sf_dir):
 
 
 def stream_backfill(spark, sf_dir):
-    """The same by a stream over a stored chunk table."""
+    """The same by a stream over a stored chunk table, in several micro-batches and two runs.
+
+    A first run sees a part of the chunks; a second one, with a checkpoint of
+    its own, sees all of them and embeds the rest.
+    """
     path = new_dir(spark, "backfill")
-    inputs.embedded_chunks(spark, sf_dir).write.parquet(f"{path}/chunks")
+    inputs.embedded_chunks(spark, sf_dir).repartition(6, "source_id").write.parquet(f"{path}/chunks")
     chunks = spark.read.parquet(f"{path}/chunks")
-    landed = spark.readStream.schema(chunks.schema).parquet(f"{path}/chunks")
-    stream_vectors.append_vectors(
-        landed, backfill.hashing_embedder(), f"{path}/vectors", f"{path}/state"
-    ).awaitTermination()
+    landed = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/chunks")
+    early = landed.filter(F.col("source_id") % 2 == 0)
+    for run, rows in (("early", early), ("all", landed)):
+        stream_vectors.append_vectors(
+            rows, backfill.hashing_embedder(), f"{path}/vectors", f"{path}/state-{run}", fold_after=4
+        ).awaitTermination()
     return _vector_facts(backfill.write_back(chunks, stream_vectors.read_vectors(spark, f"{path}/vectors")))
 
 

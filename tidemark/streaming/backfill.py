@@ -5,54 +5,53 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import backfill
-from tidemark.sources.workdir import saved
+from tidemark.streaming import changes
 
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
-_VECTORS = "chunk_id bigint, embedding array<float>"
-_WAITING = "chunk_id bigint, text string"
+# A chunk that was tried: its vector, or its text where the call failed.
+_TRIED = "chunk_id bigint, embedding array<float>, text string"
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        rows = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], schema)
-    return rows.select(*[part.split()[0] for part in schema.split(", ")])
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    return changes.current(spark, f"{path}/tried", _TRIED)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """All vectors made so far: (chunk_id, embedding), one row per chunk."""
-    rows = _stored(spark, f"{path}/made", _VECTORS)
-    return rows.groupBy("chunk_id").agg(F.any_value("embedding").alias("embedding"))
+    """All vectors made so far: (chunk_id, embedding), the newest of each chunk."""
+    made = _current(spark, path).filter(F.col("embedding").isNotNull())
+    return made.groupBy("chunk_id").agg(F.max_by("embedding", "version").alias("embedding"))
 
 
 def waiting(spark: SparkSession, path: str) -> DataFrame:
     """Chunks whose embedding call failed and that have no vector yet: (chunk_id, text)."""
-    failed = _stored(spark, f"{path}/failed", _WAITING).dropDuplicates(["chunk_id"])
-    return failed.join(read_vectors(spark, path).select("chunk_id"), "chunk_id", "left_anti")
+    rows = _current(spark, path)
+    failed = rows.filter(F.col("embedding").isNull()).groupBy("chunk_id").agg(F.max_by("text", "version").alias("text"))
+    made = rows.filter(F.col("embedding").isNotNull()).select("chunk_id")
+    return failed.join(made, "chunk_id", "left_anti")
 
 
-def _embed(rows: DataFrame, embedder: backfill.Embedder, path: str, part: str) -> None:
-    """Keep the vectors of the rows under a name of their own, and what failed under the same."""
-    rows = saved(rows.select("chunk_id", "text"), "pending")
-    tried = saved(backfill.embed_chunks(rows, embedder), "tried")
-    fine = F.col("embedding").isNotNull()
-    tried.filter(fine).select("chunk_id", "embedding").write.mode("overwrite").parquet(f"{path}/made/part={part}")
-    failed = rows.join(tried.filter(~fine).select("chunk_id"), "chunk_id", "left_semi")
-    failed.write.mode("overwrite").parquet(f"{path}/failed/part={part}")
+def compact_vectors(spark: SparkSession, path: str) -> None:
+    """Fold all vectors and waiting chunks so far into one set, which readers start from."""
+    rows = read_vectors(spark, path).withColumn("text", F.lit(None).cast("string"))
+    rows = rows.unionByName(waiting(spark, path), allowMissingColumns=True)
+    changes.fold(rows.select("chunk_id", "embedding", "text"), f"{path}/tried", _TRIED)
+
+
+def _embed(rows: DataFrame, embedder: backfill.Embedder, path: str, run: str, batch: int) -> int:
+    tried = backfill.embed_chunks(rows.select("chunk_id", "text"), embedder, failed_text=True)
+    return changes.write(tried, f"{path}/tried", _TRIED, run, batch)
 
 
 def retry(spark: SparkSession, embedder: backfill.Embedder, path: str) -> None:
     """Try all chunks again whose call failed before."""
-    _embed(waiting(spark, path), embedder, path, f"retry-{uuid.uuid4().hex}")
+    again = waiting(spark, path)
+    if not again.isEmpty():
+        _embed(again, embedder, path, f"retry-{uuid.uuid4().hex}", 0)
 
 
 def append_vectors(
@@ -61,20 +60,29 @@ def append_vectors(
     path: str,
     checkpoint: str,
     trigger: Mapping = AVAILABLE_NOW,
+    fold_after: int = changes.FOLD_AFTER,
 ) -> StreamingQuery:
     """Vectors of all pending chunks of a stream, appended below ``path``; see ``read_vectors``.
 
     The chunk table itself is not rewritten per micro-batch: readers merge
-    the appended vectors with ``backfill.write_back``. A failed call leaves its
+    the appended vectors with ``backfill.write_back``. A micro-batch writes one
+    set of ``streaming.changes``, named by run and batch: a replayed one
+    overwrites its own set, and a restart with another checkpoint adds to what is
+    there and embeds only what has no vector yet. A failed call leaves its
     chunks waiting; they are tried again when the stream starts and with every
-    micro-batch. A replayed micro-batch overwrites its own files.
+    micro-batch. After ``fold_after`` sets the stream folds them into one.
     """
     retry(chunks.sparkSession, embedder, path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, changes.run_of(batch)
         todo = backfill.pending(batch).select("chunk_id", "text")
-        todo = todo.unionByName(waiting(batch.sparkSession, path)).dropDuplicates(["chunk_id"])
-        _embed(todo, embedder, path, f"batch-{batch_id}")
+        if changes.other_runs(spark, f"{path}/tried", _TRIED, run):
+            # Another checkpoint may have been through the same chunks.
+            todo = todo.join(read_vectors(spark, path).select("chunk_id"), "chunk_id", "left_anti")
+        todo = todo.unionByName(waiting(spark, path)).dropDuplicates(["chunk_id"])
+        if _embed(todo, embedder, path, run, batch_id) >= fold_after:
+            compact_vectors(spark, path)
 
     return (
         chunks.writeStream.foreachBatch(apply)

@@ -7,16 +7,15 @@ input; start it again, or pass another trigger, for continuous work.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import times
 from tidemark.operators import events as ev
+from tidemark.streaming import changes
 
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
 
@@ -52,48 +51,19 @@ def append_alerts(
 
 
 IDENTITY_SCHEMA = "app string, distinct_id string, user_id string, first_seen timestamp"
-# Where a set of changes comes from; folder names, so that looking them up reads no rows.
-_STORED_SCHEMA = f"{IDENTITY_SCHEMA}, version bigint, run string, batch bigint"
-_COMPACTED = "compacted"
-
-
-def _stored(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(_STORED_SCHEMA).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _STORED_SCHEMA)
-
-
-def _folder(root: str, version: int, run: str, batch: int) -> str:
-    return f"{root}/version={version}/run={run}/batch={batch}"
-
-
-def _write_changes(changes: DataFrame, root: str, run: str, batch: int) -> None:
-    """Keep changes above all stored versions; the same batch of the same run overwrites itself."""
-    sets = _stored(changes.sparkSession, root).select("version", "run", "batch")
-    mine = F.max(F.when((F.col("run") == run) & (F.col("batch") == batch), F.col("version")))
-    found = sets.agg(mine.alias("mine"), F.max("version").alias("last")).first()
-    version = found.mine if found.mine is not None else (found.last or 0) + 1
-    changes.write.mode("overwrite").parquet(_folder(root, version, run, batch))
 
 
 def read_identities(spark: SparkSession, root: str) -> DataFrame:
     """The identity table: the user of the newest change, and the first arrival."""
-    stored = _stored(spark, root)
-    base = stored.agg(F.max(F.when(F.col("run") == _COMPACTED, F.col("version")))).scalar()
-    rows = stored.filter(F.col("version") >= F.coalesce(base, F.lit(0)))
+    rows = changes.current(spark, root, IDENTITY_SCHEMA)
     return rows.groupBy("app", "distinct_id").agg(
         F.max_by("user_id", "version").alias("user_id"), F.min_by("first_seen", "version").alias("first_seen")
     )
 
 
 def compact_identities(spark: SparkSession, root: str) -> None:
-    """Fold all changes so far into one set, which readers start from; run it between streams."""
-    last = _stored(spark, root).agg(F.max("version").alias("last")).first().last
-    if last is not None:
-        read_identities(spark, root).write.parquet(_folder(root, last + 1, _COMPACTED, 0))
+    """Fold all changes so far into one set, which readers start from."""
+    changes.fold(read_identities(spark, root), root, IDENTITY_SCHEMA)
 
 
 def maintain_identities(
@@ -104,20 +74,22 @@ def maintain_identities(
     keep=(),
     trigger: Mapping = AVAILABLE_NOW,
     identify: str = ev.fixed.IDENTIFY,
+    fold_after: int = changes.FOLD_AFTER,
 ) -> StreamingQuery:
     """Identity changes appended by micro-batches; ``read_identities`` folds them.
 
-    A batch writes its own changes only, never the table. Its version is one
-    above all stored ones, also after a restart with another checkpoint, and a
-    replayed batch finds and overwrites what it wrote: a lost executor or a
-    restart can neither apply it twice nor drop earlier identities.
+    A batch writes its own changes only, never the table, as a set of
+    ``streaming.changes``: a lost executor or a restart, also with another
+    checkpoint, can neither apply it twice nor drop earlier identities. After
+    ``fold_after`` sets the stream folds them, so readers fold no more than that.
     """
     rows = ev.normalise(envelopes, keep)
-    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        changes = ev.identity_batch(batch, order, identify)
-        _write_changes(changes, root, run, batch_id)
+        found = ev.identity_batch(batch, order, identify)
+        sets = changes.write(found, root, IDENTITY_SCHEMA, changes.run_of(batch), batch_id)
+        if sets >= fold_after:
+            compact_identities(batch.sparkSession, root)
 
     return (
         rows.writeStream.foreachBatch(apply)
