@@ -17,24 +17,31 @@ AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
 _TRIED = "chunk_id bigint, embedding array<float>, text string"
 
 
-def _current(spark: SparkSession, path: str) -> DataFrame:
-    return changes.current(spark, f"{path}/tried", _TRIED)
+def _tried(spark: SparkSession, path: str, but: tuple[str, int] | None = None) -> DataFrame:
+    return changes.current(spark, f"{path}/tried", _TRIED, but)
 
 
-def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """All vectors made so far: (chunk_id, embedding), the newest of each chunk."""
-    made = _current(spark, path).filter(F.col("embedding").isNotNull())
+def _vectors(rows: DataFrame) -> DataFrame:
+    made = rows.filter(F.col("embedding").isNotNull())
     return made.groupBy("chunk_id").agg(F.max_by("embedding", "version").alias("embedding"))
 
 
-def waiting(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks whose embedding call failed and that have no vector yet: (chunk_id, text)."""
-    rows = _current(spark, path)
+def _waiting(rows: DataFrame) -> DataFrame:
     failed = rows.filter(F.col("embedding").isNull()).groupBy("chunk_id").agg(F.max_by("text", "version").alias("text"))
     made = rows.filter(F.col("embedding").isNotNull()).select("chunk_id")
     return failed.join(made, "chunk_id", "left_anti")
 
 
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """All vectors made so far: (chunk_id, embedding), the newest of each chunk."""
+    return _vectors(_tried(spark, path))
+
+
+def waiting(spark: SparkSession, path: str) -> DataFrame:
+    """Chunks whose embedding call failed and that have no vector yet: (chunk_id, text)."""
+    return _waiting(_tried(spark, path))
+
+
 def compact_vectors(spark: SparkSession, path: str) -> None:
     """Fold all vectors and waiting chunks so far into one set, which readers start from."""
     rows = read_vectors(spark, path).withColumn("text", F.lit(None).cast("string"))
@@ -77,10 +84,12 @@ def append_vectors(
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark, run = batch.sparkSession, changes.run_of(batch)
         todo = backfill.pending(batch).select("chunk_id", "text")
+        # What this batch wrote before a crash is made anew, not taken for done.
+        before = _tried(spark, path, but=(run, batch_id))
         if changes.other_runs(spark, f"{path}/tried", _TRIED, run):
             # Another checkpoint may have been through the same chunks.
-            todo = todo.join(read_vectors(spark, path).select("chunk_id"), "chunk_id", "left_anti")
-        todo = todo.unionByName(waiting(spark, path)).dropDuplicates(["chunk_id"])
+            todo = todo.join(_vectors(before).select("chunk_id"), "chunk_id", "left_anti")
+        todo = todo.unionByName(_waiting(before)).dropDuplicates(["chunk_id"])
         if _embed(todo, embedder, path, run, batch_id) >= fold_after:
             compact_vectors(spark, path)
 

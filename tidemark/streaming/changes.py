@@ -31,9 +31,14 @@ def stored(spark: SparkSession, root: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def current(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Rows of the newest folded set and of all sets after it, with their version."""
+def current(spark: SparkSession, root: str, schema: str, but: tuple[str, int] | None = None) -> DataFrame:
+    """Rows of the newest folded set and of all sets after it, with their version.
+
+    ``but`` leaves out the set of a run and batch, which a replay is about to overwrite.
+    """
     rows = stored(spark, root, schema)
+    if but:
+        rows = rows.filter(~((F.col("run") == but[0]) & (F.col("batch") == but[1])))
     base = rows.agg(F.max(F.when(F.col("run") == FOLDED, F.col("version")))).scalar()
     return rows.filter(F.col("version") >= F.coalesce(base, F.lit(0))).drop("run", "batch")
 
