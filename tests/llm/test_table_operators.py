@@ -159,6 +159,35 @@ def test_nbest(tables):
         assert np.allclose(e.scores[k], plain_nbest(tables, text, 4), atol=1e-3)
 
 
+def test_ties_and_long_chunks_cost_no_more_than_their_length(tables):
+    import time
+
+    texts = ["-" * 10_000, "=-" * 6_000, "a-b" * 400, "你好" * 40_000, "x" * 400_000, "ab" * 300]
+    began = time.process_time()
+    e = pieces.encode_slice(tables, pa.array(texts), 4)
+    took = time.process_time() - began
+    for k, text in enumerate(texts):
+        best = e.ids[e.bounds[k] : e.bounds[k + 1]].tolist()
+        every = [pieces._changed(best, c) for c in e.changes[k]]
+        assert len({tuple(x) for x in every}) == len(every) == len(e.scores[k]) == (1 if "你" in text else 4)
+        assert all(pieces.decoded(tables, x) == text for x in every)
+        if len(text) < 2000:
+            assert np.allclose(e.scores[k], plain_nbest(tables, text, 4), atol=1e-3)
+    assert took < 60
+    began = time.process_time()
+    pieces.encode_slice(tables, pa.array(texts[:1]), 4)
+    assert time.process_time() - began < 2
+
+
+def test_long_chunks_score_as_short_ones(tables, monkeypatch):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcé你-") for _ in range(rnd.randint(1, 90))) for _ in range(60)]
+    whole = pieces.encode_slice(tables, pa.array(texts), 4)
+    monkeypatch.setattr(pieces, "LONG", 8)
+    alone = pieces.encode_slice(tables, pa.array(texts), 4)
+    assert whole.scores == alone.scores and whole.changes == alone.changes and (whole.ids == alone.ids).all()
+
+
 def test_encode(spark, docs, tables):
     got = pieces.encode(docs, queries.PIECE_MODEL).select("doc.doc_id", "doc.text", "ids", "scores", "restored").collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in brute.ROWS)

@@ -199,7 +199,7 @@ def test_suffix_automaton():
                     seen[tuple(t[a:b])] += n
         for t, path in zip(texts, paths):
             want = [max((b - a for a in range(b) if seen[tuple(t[a:b])] > 1), default=0) for b in range(1, len(t) + 1)]
-            assert automaton.statistics(path) == want
+            assert automaton.statistics(path).tolist() == want
 
 
 ITEM = "A train leaves Boston at 7 with 120 riders on board and Alice counts 7 bags of 5 kg each before it stops again."

@@ -25,7 +25,7 @@ comes first. A text with fewer than n segmentations returns all.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import rows, words
 
 SLICE = 1 << 21
+# Chunks of more bytes are scored edge by edge; the others all together.
+LONG = 512
 _LOW = -1e30
 _UNKNOWN_BELOW = 10.0
 
@@ -158,6 +160,9 @@ class Lattices:
         self.f = np.full(len(self.data) + len(self.starts), _LOW)
         self.last = np.zeros(len(self.f), np.int32)
         self.f[self.starts + self.shift] = 0.0
+        for chunk in np.flatnonzero(count > LONG):
+            self._forward_alone(chunk)
+        count = np.where(count > LONG, 0, count)
         order = np.argsort(-count, kind="stable")
         sorted_counts = -count[order]
         for p in range(1, int(count.max(initial=0)) + 1):
@@ -177,6 +182,9 @@ class Lattices:
         count = self.ends - self.starts
         self.b = np.full(len(self.f), _LOW)
         self.b[self.ends + self.shift] = 0.0
+        for chunk in np.flatnonzero(count > LONG):
+            self._backward_alone(chunk)
+        count = np.where(count > LONG, 0, count)
         order = np.argsort(-count, kind="stable")
         sorted_counts = -count[order]
         for p in range(1, int(count.max(initial=0)) + 1):
@@ -189,6 +197,40 @@ class Lattices:
                 best = np.maximum(best, self.b[place + length] + self.score[length][start])
             self.b[place] = best
 
+    def _edges(self, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, length, score) of all edges of a chunk, shorter ones first; places from its start."""
+        start, end = int(self.starts[chunk]), int(self.ends[chunk])
+        found = []
+        for length in self.lengths:
+            at = np.flatnonzero(self.edge[length][start:end] != -1)
+            found.append((at, np.full(len(at), length), self.score[length][start + at]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _forward_alone(self, chunk: int) -> None:
+        """The same for one long chunk, edge by edge."""
+        at, length, score = self._edges(chunk)
+        order = np.argsort(at + length, kind="stable")
+        size = int(self.ends[chunk] - self.starts[chunk])
+        best, last = [0.0] + [_LOW] * size, [0] * (size + 1)
+        for a, n, s in zip(at[order].tolist(), length[order].tolist(), score[order].tolist()):
+            value = best[a] + s
+            if value >= best[a + n]:
+                best[a + n], last[a + n] = value, n
+        first = int(self.starts[chunk] + self.shift[chunk])
+        self.f[first : first + size + 1], self.last[first : first + size + 1] = best, last
+
+    def _backward_alone(self, chunk: int) -> None:
+        at, length, score = self._edges(chunk)
+        order = np.argsort(-at, kind="stable")
+        size = int(self.ends[chunk] - self.starts[chunk])
+        best = [_LOW] * size + [0.0]
+        for a, n, s in zip(at[order].tolist(), length[order].tolist(), score[order].tolist()):
+            value = best[a + n] + s
+            if value > best[a]:
+                best[a] = value
+        first = int(self.starts[chunk] + self.shift[chunk])
+        self.b[first : first + size + 1] = best
+
     def _best(self) -> None:
         """The best path's edges in order, and what the second-best way of each chunk loses."""
         place = self.ends + self.shift
@@ -230,23 +272,52 @@ class Lattices:
         first = np.searchsorted(self.path_at, self.starts)
         return out, np.concatenate([offsets[first], offsets[-1:]])
 
+    def _into(self, chunk: int) -> Callable[[int], list[tuple[int, float]]]:
+        """What tells (length, score) of the edges that end at a place, shorter ones first."""
+        start, size = int(self.starts[chunk]), int(self.ends[chunk] - self.starts[chunk])
+        if size <= LONG:
+            return lambda at: [
+                (n, float(self.score[n][at - n])) for n in self.lengths if at - n >= start and self.edge[n][at - n] != -1
+            ]
+        at, length, score = self._edges(chunk)
+        order = np.argsort(at + length, kind="stable")
+        first = np.searchsorted((at + length)[order], np.arange(size + 2)).tolist()
+        length, score = length[order].tolist(), score[order].tolist()
+
+        def of(at: int) -> list[tuple[int, float]]:
+            here = slice(first[at - start], first[at - start + 1])
+            return list(zip(length[here], score[here]))
+
+        return of
+
     def nbest(self, chunk: int, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations of a chunk, by A* from its end to its start; of equals, the path of ``path_ids`` first."""
+        """The n best segmentations of a chunk, by A* from its end to its start; of equals, the path of ``path_ids`` first.
+
+        The heuristic is exact, so a place is reached by its best suffixes first,
+        and no more than n of them can lie on the n best ways: it is expanded n
+        times at most. Of equal sums the newest entry, which is nearest to the
+        start, goes first. So ties cost no more than n ways through the chunk.
+        """
         start, end, shift = int(self.starts[chunk]), int(self.ends[chunk]), int(self.shift[chunk])
+        into = self._into(chunk)
         heap: list = [(-float(self.f[end + shift]), 0, end, 0.0, None)]
-        serial, found = 0, []
+        serial, found, expanded = 0, [], {}
         while heap and len(found) < n:
             _, _, at, suffix, path = heapq.heappop(heap)
             if at == start:
                 found.append((suffix, self._spelt(path)))
                 continue
-            for length in reversed(self.lengths):
+            expanded[at] = expanded.get(at, 0) + 1
+            if expanded[at] > n:
+                continue
+            for length, edge_score in into(at):
                 before = at - length
-                if before < start or self.edge[length][before] == -1 or self.f[before + shift] <= _LOW / 2:
+                value = float(self.f[before + shift])
+                if value <= _LOW / 2:
                     continue
-                score = suffix + float(self.score[length][before])
-                serial += 1
-                heapq.heappush(heap, (-(score + float(self.f[before + shift])), serial, before, score, (before, length, path)))
+                score = suffix + edge_score
+                serial -= 1
+                heapq.heappush(heap, (-(score + value), serial, before, score, (before, length, path)))
         best = self._viterbi(start, end, shift)
         others = [x for x in found if x[1] != best]
         return [(float(self.f[end + shift]), best), *others][:n]

@@ -24,6 +24,7 @@ by 64-bit hashes.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from tidemark.sources import workdir
 
 WINDOW = 35
 ANCHOR = 8
-SHARD_WORDS = 500_000
+SHARD_WORDS = 200_000
 HOT_RUNS = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -179,48 +180,79 @@ def _references(docs: DataFrame, found: DataFrame, doc_id: str, text: str, windo
 
 
 class Automaton:
-    """Suffix automaton of several sequences, with how often its substrings occur, up to twice."""
+    """Suffix automaton of several sequences, with how often its substrings occur, up to twice.
 
-    def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.count = [-1], [0], [0]
+    Nearly all states have one move, which lies in two flat arrays; the further
+    moves of the others are in a dictionary for each.
+    """
 
-    def _state(self, length: int, link: int, moves: dict[int, int]) -> int:
-        self.next.append(moves)
-        self.link.append(link)
-        self.length.append(length)
-        self.count.append(0)
-        return len(self.link) - 1
+    def __init__(self) -> None:
+        self.symbol, self.target = array("i", [-1]), array("i", [0])
+        self.more: dict[int, dict[int, int]] = {}
+        self.link, self.length, self.count = array("i", [-1]), array("i", [0]), array("q", [0])
+
+    def _move(self, state: int, symbol: int) -> int:
+        if self.symbol[state] == symbol:
+            return self.target[state]
+        more = self.more.get(state)
+        return more.get(symbol, -1) if more else -1
+
+    def _set(self, state: int, symbol: int, target: int) -> None:
+        if self.symbol[state] in (-1, symbol):
+            self.symbol[state], self.target[state] = symbol, target
+        else:
+            self.more.setdefault(state, {})[symbol] = target
 
     def _split(self, p: int, symbol: int, q: int) -> int:
         """The part of state ``q`` that ends the paths from ``p``, as a state of its own."""
-        clone = self._state(self.length[p] + 1, self.link[q], self.next[q].copy())
+        clone = len(self.link)
+        self.symbol.append(self.symbol[q])
+        self.target.append(self.target[q])
+        if q in self.more:
+            self.more[clone] = self.more[q].copy()
+        self.link.append(self.link[q])
+        self.length.append(self.length[p] + 1)
+        self.count.append(0)
         self.link[q] = clone
-        while p >= 0 and self.next[p].get(symbol) == q:
-            self.next[p][symbol] = clone
+        while p >= 0 and self._move(p, symbol) == q:
+            self._set(p, symbol, clone)
             p = self.link[p]
         return clone
 
-    def add(self, sequence: list[int], times: int) -> list[int]:
+    def add(self, sequence: list[int], times: int) -> array:
         """Add a sequence that occurs ``times`` times; the states of its prefixes, which no later one changes."""
-        moves, link, length, count = self.next, self.link, self.length, self.count
-        last, states = 0, []
+        link, length, count, first, target, more = self.link, self.length, self.count, self.symbol, self.target, self.more
+        last, states = 0, array("i")
         for symbol in sequence:
-            q = moves[last].get(symbol)
-            if q is not None:  # the prefix is known
+            q = self._move(last, symbol)
+            if q >= 0:  # the prefix is known
                 last = q if length[q] == length[last] + 1 else self._split(last, symbol, q)
                 count[last] += times
             else:
                 new, p = len(link), last
-                moves.append({})
+                first.append(-1)
+                target.append(0)
                 length.append(length[last] + 1)
                 count.append(times)
                 link.append(0)
-                while p >= 0 and symbol not in moves[p]:
-                    moves[p][symbol] = new
+                q = -1
+                while p >= 0:
+                    if first[p] == -1:
+                        first[p], target[p] = symbol, new
+                    elif first[p] == symbol:
+                        q = target[p]
+                        break
+                    else:
+                        further = more.get(p)
+                        if further is None:
+                            more[p] = {symbol: new}
+                        elif symbol in further:
+                            q = further[symbol]
+                            break
+                        else:
+                            further[symbol] = new
                     p = link[p]
                 if p >= 0:
-                    q = moves[p][symbol]
                     link[new] = q if length[q] == length[p] + 1 else self._split(p, symbol, q)
                 last = new
             states.append(last)
@@ -228,18 +260,19 @@ class Automaton:
 
     def finish(self) -> None:
         """Let every state count what its longer ones do, and know its longest suffix that occurs twice."""
-        order = np.argsort(np.array(self.length), kind="stable").tolist()
+        link, count = self.link, self.count
+        order = np.argsort(np.frombuffer(self.length, np.int32), kind="stable").tolist()
         for state in reversed(order):
-            if self.link[state] >= 0:
-                self.count[self.link[state]] += self.count[state]
-        self.twice = [0] * len(order)
+            if link[state] >= 0:
+                count[link[state]] += count[state]
+        self.twice = array("i", bytes(4 * len(order)))
         for state in order:
-            self.twice[state] = state if state and self.count[state] > 1 else self.twice[self.link[state]] if state else 0
+            self.twice[state] = state if state and count[state] > 1 else self.twice[link[state]] if state else 0
 
-    def statistics(self, states: list[int]) -> list[int]:
+    def statistics(self, states: array) -> np.ndarray:
         """For each prefix of an added sequence, the length of its longest suffix that occurs twice."""
-        twice, length = self.twice, self.length
-        return [length[twice[state]] for state in states]
+        twice, length = np.frombuffer(self.twice, np.int32), np.frombuffer(self.length, np.int32)
+        return length[twice[np.frombuffer(states, np.int32)]] if len(states) else np.zeros(0, np.int32)
 
 
 def _ranges(flags: np.ndarray) -> list[dict[str, int]]:
@@ -263,16 +296,22 @@ def repeated_runs(references: DataFrame, window: int = WINDOW, shard_words: int
             stretches = [np.frombuffer(x.as_py(), np.uint64) for x in table["words"]]
             _, symbols = np.unique(np.concatenate(stretches), return_inverse=True)
             cuts = np.cumsum([len(x) for x in stretches])[:-1]
-            sequences = [x.tolist() for x in np.split(symbols, cuts)]
+            del stretches
             automaton = Automaton()
-            paths = [automaton.add(x, 1 + twice) for x, twice in zip(sequences, table["twice"].to_pylist())]
+            # Sequences become lists one at a time; what is kept of each is flat.
+            paths = [
+                automaton.add(x.tolist(), 1 + twice)[window - 1 :]
+                for x, twice in zip(np.split(symbols.astype(np.int32), cuts), table["twice"].to_pylist())
+            ]
+            del symbols
             automaton.finish()
             runs, spans = [], []
             for run, path in zip(table["run"].to_pylist(), paths):
-                hit = np.array(automaton.statistics(path[window - 1 :])) >= window
+                hit = automaton.statistics(path) >= window
                 if hit.any():
                     runs.append(run)
                     spans.append(_ranges(hit))
+            del automaton, paths
             yield pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(spans, _SPAN_TYPE)], names=["run", "spans"])
 
     in_shards = dealt.repartition(F.col("shard")).sortWithinPartitions("shard").mapInArrow(match, f"run long, spans {_SPANS}")
