@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import tools
-from tidemark.operators import backfill, corpus, fusion, ivf, lexical, vector
+from tidemark.operators import backfill, batches, corpus, fusion, ivf, lexical, vector
 
 DIM = 8
 
@@ -74,7 +74,7 @@ def test_batch_search_equals_single_searches(spark, chunks, vectors, block_rows)
 
 def test_batch_search_in_small_slices(spark, chunks, vectors, monkeypatch):
     monkeypatch.setattr(vector, "SCORES_IN_MEMORY", 10)
-    monkeypatch.setattr(lexical, "SCORES_IN_MEMORY", 10)
+    monkeypatch.setattr(batches, "ROW_BLOCK_ROWS", 3)
     queries = spark.createDataFrame(
         [(q, [float(x) for x in vectors[q]]) for q in (1, 5)], "query_id long, embedding array<float>"
     )
@@ -84,10 +84,10 @@ def test_batch_search_in_small_slices(spark, chunks, vectors, monkeypatch):
 
 @pytest.mark.parametrize("block_rows", [4096, 2])
 def test_batch_of_word_queries_equals_single_ones(spark, chunks, monkeypatch, block_rows):
-    monkeypatch.setattr(lexical, "SCORES_IN_MEMORY", 100)
+    monkeypatch.setattr(lexical, "POSTING_BLOCK_ROWS", 100 if block_rows == 2 else 1 << 20)
     texts = {1: "word3 text", 2: "common common text 17", 3: "absent", 4: "? a", 5: "word0 word1 word2 99"}
     queries = spark.createDataFrame(list(texts.items()), "query_id long, query string")
-    got = lexical.lexical_topk_batch(chunks, queries, 7, block_rows=block_rows).collect()
+    got = lexical.lexical_topk_batch(lexical.postings(chunks), queries, 7, block_rows=block_rows).collect()
     for q, text in texts.items():
         mine = sorted((r["rank"], r.chunk_id, r.score) for r in got if r.query_id == q)
         terms = lexical.query_terms(spark, text)
@@ -101,7 +101,8 @@ def test_lists_are_exact_when_all_are_probed(spark, chunks, vectors, tmp_path):
     assert ids(ivf.ivf_topk(lists, query, 10, n_probe=6)) == plain_topk(vectors, query, 10)
     path = str(tmp_path / "lists")
     ivf.write_lists(lists, path)
-    stored = ivf.Lists(spark.read.parquet(path), lists.centroids)
+    stored = ivf.open_lists(spark, path)
+    assert (stored.centroids == lists.centroids).all()
     near = ivf.ivf_topk(stored, query, 10, n_probe=1)
     probed = ivf.nearest_lists(lists.centroids, query, 1)
     members = {r.chunk_id for r in stored.chunks.filter(F.col("list_id").isin(probed)).collect()}
@@ -110,6 +111,51 @@ def test_lists_are_exact_when_all_are_probed(spark, chunks, vectors, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*list_id", plan)
 
 
+def clustered(n, seed=3, dim=8, centers=12):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centers, dim))
+    return np.array([middle[i % centers] + 0.25 * rng.normal(size=dim) for i in range(n)], np.float32)
+
+
+def test_few_lists_find_most(spark, tmp_path):
+    vectors = clustered(600)
+    rows = [(i, i, None if i % 9 == 8 else [float(x) for x in v]) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame([*rows, (900, 900, None), (901, 901, [0.0] * 8)], "chunk_id long, source_id long, embedding array<float>")
+    path = str(tmp_path / "lists")
+    ivf.write_lists(ivf.build_lists(frame.filter("chunk_id < 300"), n_lists=12), path)
+    trained = {r.chunk_id: r.list_id for r in ivf.open_lists(spark, path).chunks.collect()}
+    ivf.add_to_lists(frame.filter("chunk_id >= 300"), path)
+    lists = ivf.open_lists(spark, path)
+    every = {r.chunk_id: r.list_id for r in lists.chunks.collect()}
+    assert set(every) == {i for i in range(600) if i % 9 != 8} and {i: every[i] for i in trained} == trained
+    # New chunks go where training would have put them.
+    again = {r.chunk_id: r.list_id for r in ivf.assigned(frame, lists.centroids).collect()}
+    assert again == every
+    queries = frame.filter("chunk_id % 50 = 0").withColumnRenamed("chunk_id", "query_id").select("query_id", "embedding")
+    asked = [i for i in range(0, 600, 50) if i % 9 != 8]
+    n_probe = ivf.probes_for(lists, queries, 10, 0.9)
+    assert 1 <= n_probe <= 4
+    got = ivf.ivf_topk_batch(lists, queries, 10, n_probe).collect()
+    found = sum(r.chunk_id in plain_topk(vectors, vectors[r.query_id], 10) for r in got)
+    share = {r.n_probe: r.recall for r in ivf.recall(lists, queries, 10).collect()}
+    assert found / (10 * len(asked)) == share[n_probe] >= 0.9 and share[max(share)] == 1.0
+    assert sorted(share.values()) == [share[n] for n in sorted(share)]
+    # All lists probed is the exact search.
+    full = ivf.ivf_topk_batch(lists, queries, 10, 12).collect()
+    for q in asked:
+        mine = [r.chunk_id for r in sorted(full, key=lambda r: r["rank"]) if r.query_id == q]
+        assert mine == plain_topk(vectors, vectors[q], 10)
+
+
+def test_batch_search_reads_once_and_collects_nothing(spark, chunks, tmp_path, monkeypatch):
+    lexical.postings(chunks).write.parquet(str(tmp_path / "p"))
+    index = spark.read.parquet(str(tmp_path / "p"))
+    queries = spark.createDataFrame([(1, "word3 text")], "query_id long, query string")
+    monkeypatch.setattr(type(index), "collect", lambda self: pytest.fail("collected"))
+    plan = lexical.lexical_topk_batch(index, queries, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Cartesian" not in plan
+
+
 def hits(spark, scores):
     return spark.createDataFrame(scores, "chunk_id long, score double, rank int")
 

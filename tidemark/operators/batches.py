@@ -1,18 +1,24 @@
-"""Many queries against one table: bounded blocks of queries, k best rows per task."""
+"""Many queries against one table: a grid of query blocks and row blocks, k best rows per cell.
+
+A cell holds a block of queries and a block of rows, both of bounded size, and
+leaves the k best rows per query; these are ranked again over all cells of a
+query. Every row is sent to each query block and every query to each row block
+that it may meet: the rows are read once, nothing passes the driver, and a
+(query, row) pair is never a row of a table.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.sources import workdir
-
-# Queries that one scan may carry to the tasks.
+# Queries and rows of a cell, some.
 QUERY_BLOCK_ROWS = 4096
+ROW_BLOCK_ROWS = 65_536
 # (query, row) scores that one task holds at a time.
 SCORES_IN_MEMORY = 4_000_000
 
@@ -59,28 +65,55 @@ def best_per_group(
     return rows.withColumn(name, place).filter(F.col(name) <= k).withColumn(name, F.col(name) - 1)
 
 
-def best_of_blocks(
+def grid(
     rows: DataFrame,
     queries: DataFrame,
-    blocks: int,
-    key: str,
     id_col: str,
-    k: int,
+    key: str,
+    task: Callable[[pa.Table, pa.Table], pa.Table],
     schema: str,
-    scorer: Callable[[list[Row]], Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]],
+    shared: Sequence[str] = (),
+    query_rows: int = QUERY_BLOCK_ROWS,
+    row_rows: int = ROW_BLOCK_ROWS,
 ) -> DataFrame:
-    """Scan the rows once per block of queries and rank what the tasks keep, from 0.
+    """``task`` on every cell of queries and rows that agree in the ``shared`` columns (all, where there are none).
 
-    Each block is scored and written before the next one is fetched: the driver
-    holds the queries of one block, of bounded size, and the plan does not grow.
+    Rows of one ``id_col`` are in one block, queries of one ``key`` as well. The
+    shared columns have few values, as lists of an index do: the sizes per
+    value, one row each, are sent to all tasks.
     """
     spark = rows.sparkSession
-    in_block = F.pmod(F.xxhash64(key), F.lit(blocks))
-    path = workdir.new_dir(spark, "scored")
-    spark.createDataFrame([], schema).write.parquet(path)
-    for block in range(blocks):
-        mine = queries.filter(in_block == block).collect()
-        if mine:
-            rows.mapInPandas(scorer(mine), schema).write.mode("append").parquet(path)
-    found = spark.read.schema(schema).parquet(path)
-    return best_per_group(found, [key], [F.desc("score"), F.asc(id_col)], k, "rank")
+    shared = list(shared) or ["_all"]
+    if shared == ["_all"]:
+        rows, queries = rows.withColumn("_all", F.lit(0)), queries.withColumn("_all", F.lit(0))
+        # One value for all: cells for every task, not only as many as the sizes ask for.
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    else:
+        least = 1
+    blocks = lambda df, size, column, least: df.groupBy(*shared).agg(
+        F.greatest(F.ceil(F.count("*") / size), F.lit(least)).cast("int").alias(f"_{column}_blocks")
+    )
+    sizes = blocks(rows, row_rows, id_col, least).join(blocks(queries, query_rows, key, 1), shared)
+    mine, other = F.broadcast(sizes), lambda column: F.explode(F.sequence(F.lit(0), F.col(f"_{column}_blocks") - 1))
+    dealt = lambda column: F.pmod(F.xxhash64(column), F.col(f"_{column}_blocks")).cast("int")
+    both = ["_q", "_r"]
+    left = queries.join(mine, shared).select(*queries.columns, dealt(key).alias("_q"), other(id_col).alias("_r"))
+    right = rows.join(mine, shared).select(*rows.columns, dealt(id_col).alias("_r"), other(key).alias("_q"))
+    # Cells are few rows but much work: as many partitions as the session's, not merged.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (df.toDF(*df.columns).repartition(tasks, *shared, *both).groupBy(*shared, *both) for df in (left, right))
+    return left.cogroup(right).applyInArrow(task, schema)
+
+
+def best_table(best: BestRows, keys: pa.Array, key: str, id_col: str) -> pa.Table:
+    """What a cell leaves: (key, id, score)."""
+    found = [best.rows(number) for number in range(len(best.kept))]
+    who = np.repeat(np.arange(len(found)), [len(ids) for _, ids in found])
+    columns = [np.concatenate([x[place] for x in found] or [np.array([])]) for place in (1, 0)]
+    ids = pa.array(columns[0], pa.int64())
+    return pa.table({key: keys.take(pa.array(who)), id_col: ids, "score": pa.array(columns[1], pa.float64())})
+
+
+def best_of_cells(cells: DataFrame, key: str, id_col: str, k: int) -> DataFrame:
+    """Rank what the cells keep, from 0."""
+    return best_per_group(cells, [key], [F.desc("score"), F.asc(id_col)], k, "rank")

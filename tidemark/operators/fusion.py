@@ -88,16 +88,18 @@ def search(
 
 
 def search_batch(
-    chunks: DataFrame, queries: DataFrame, k: int = 3, key: str = "query_id"
+    chunks: DataFrame, queries: DataFrame, k: int = 3, key: str = "query_id", index: DataFrame | None = None
 ) -> DataFrame:
     """Hybrid top-k for every row of ``queries`` (``key, query, embedding``).
 
-    One pass over the texts and one over the vectors serve all queries; both
-    leave at most ``2 * k`` rows per query and task for the shuffle.
+    ``index`` holds stored postings; without it they are made from the texts.
+    The postings and the vectors are each read once for all queries; a cell
+    leaves at most ``2 * k`` rows per query.
     """
+    index = lexical.postings(chunks) if index is None else index
     fetch = k * fixed.OVERFETCH
     by_vector = vector.vector_topk_batch(chunks, queries, fetch, key)
-    by_word = lexical.lexical_topk_batch(chunks, queries, fetch, key)
+    by_word = lexical.lexical_topk_batch(index, queries, fetch, key)
     fused = rrf([by_vector, by_word], group=[key])
     return best_per_group(fused, [key], _fused_order(), k, "position")
 

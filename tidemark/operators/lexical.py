@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import text as tx
-from tidemark.operators.batches import QUERY_BLOCK_ROWS, SCORES_IN_MEMORY, BestRows, best_of_blocks
+from tidemark.operators.batches import QUERY_BLOCK_ROWS, BestRows, best_of_cells, best_table, grid
 
-# Query words that one pass over the texts may carry to the tasks.
-QUERY_BLOCK_TERMS = 500_000
 RANK_SCALE = fixed.RANK_WEIGHT / fixed.RANK_NORM
 _QUERY_WORD_MIN = 2
+# Postings of a cell, some.
+POSTING_BLOCK_ROWS = 1 << 20
 
 
 def postings(chunks: DataFrame, keep: Sequence[str] = ("chunk_id",), text: str = "text") -> DataFrame:
@@ -191,65 +190,53 @@ def lexical_topk(
     return top(lexical_scores(index, terms, keep), k)
 
 
-def _term_scorer(queries: list[tuple[object, list[str]]], k: int, key: str, id_col: str):
-    """Score batches of word lists against a block of queries, k rows per query and task."""
-    asked: dict[str, list[int]] = {}
-    for number, (_, terms) in enumerate(queries):
-        for term in terms:
-            asked.setdefault(term, []).append(number)
-    term_queries = {t: np.array(numbers) for t, numbers in asked.items()}
-    n_terms = np.array([max(len(terms), 1) for _, terms in queries], dtype=np.float64)
-    slice_rows = max(1, SCORES_IN_MEMORY // len(queries))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = BestRows(len(queries), k)
-        harmonic = np.array([0.0])
-        for batch in batches:
-            for start in range(0, len(batch), slice_rows):
-                part = batch.iloc[start : start + slice_rows]
-                scores = np.zeros((len(part), len(queries)))
-                for row, words in enumerate(part["words"]):
-                    for term, tf in Counter(w for w in words if w in term_queries).items():
-                        if tf >= len(harmonic):
-                            steps = np.arange(1, 2 * tf + 1, dtype=np.float64)
-                            harmonic = np.concatenate([[0.0], np.cumsum(1.0 / steps**2)])
-                        scores[row, term_queries[term]] += RANK_SCALE * harmonic[tf]
-                found = np.round(scores / n_terms, 12).T
-                ids = part[id_col].to_numpy()
-                for number in range(len(queries)):
-                    hit = found[number] > 0
-                    best.add(number, found[number][hit], ids[hit])
-        for number, (name, _) in enumerate(queries):
-            scores, ids = best.rows(number)
-            if len(ids):
-                yield pd.DataFrame({key: name, id_col: ids, "score": scores})
-
-    return score
+def _ranked_terms(k: int, key: str, id_col: str):
+    """Cell task: the k best chunks by text-search rank of every query."""
+
+    def task(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        best, keys = BestRows(asked.num_rows, k), asked.column(key).combine_chunks()
+        if asked.num_rows and rows.num_rows:
+            tf = rows.column("tf").to_numpy()
+            harmonic = np.concatenate([[0.0], np.cumsum(1.0 / np.arange(1, int(tf.max()) + 1, dtype=np.float64) ** 2)])
+            terms = rows.column("term").combine_chunks().dictionary_encode()
+            order = np.argsort(terms.indices.to_numpy(), kind="stable")
+            ids, chunk = np.unique(rows.column(id_col).to_numpy(), return_inverse=True)
+            chunk, weight = chunk[order], (RANK_SCALE * harmonic[tf])[order]
+            bounds = np.searchsorted(terms.indices.to_numpy()[order], np.arange(len(terms.dictionary) + 1))
+            lists = asked.column("terms").combine_chunks()
+            found = pc.index_in(lists.flatten(), terms.dictionary).fill_null(-1).to_numpy()
+            sizes = pc.list_value_length(lists).to_numpy()
+            for number, own in enumerate(np.split(found, np.cumsum(sizes)[:-1])):
+                runs = [slice(bounds[t], bounds[t + 1]) for t in own if t >= 0]
+                if runs:
+                    at = np.concatenate([chunk[r] for r in runs])
+                    score = np.bincount(at, np.concatenate([weight[r] for r in runs]), len(ids))
+                    hit = np.flatnonzero(score > 0)
+                    best.add(number, np.round(score[hit] / sizes[number], 12), ids[hit])
+        return best_table(best, keys, key, id_col)
+
+    return task
 
 
 def lexical_topk_batch(
-    chunks: DataFrame,
+    index: DataFrame,
     queries: DataFrame,
     k: int,
     key: str = "query_id",
     id_col: str = "chunk_id",
     block_rows: int = QUERY_BLOCK_ROWS,
-    block_terms: int = QUERY_BLOCK_TERMS,
 ) -> DataFrame:
-    """Best k chunks by text-search rank for each of many queries, in one pass over the texts.
+    """Best k chunks by text-search rank for each of many queries, over postings.
 
     A common word is asked for by many queries and stands in most chunks, so
-    a join on words would shuffle a row per query and chunk. All words of a
-    chunk are in one row: every task scores its own chunks and keeps the k
-    best per query. Queries go along in blocks of bounded size, one pass each.
+    a join on words would make a row per query and chunk. Instead the postings
+    of the asked words meet the queries in a grid of query blocks and chunk
+    blocks; see ``batches``.
     """
     kept = F.filter(tx.words(F.col("query")), lambda w: F.length(w) >= _QUERY_WORD_MIN)
     asked = queries.select(key, F.array_distinct(kept).alias("terms")).filter(F.size("terms") > 0)
-    n = asked.agg(F.count("*").alias("rows"), F.sum(F.size("terms")).alias("terms")).first()
-    blocks = max(1, math.ceil(n.rows / block_rows), math.ceil((n.terms or 0) / block_terms))
-    words = chunks.select(id_col, tx.words(F.col("text")).alias("words"))
-    schema = f"{key} {dict(queries.dtypes)[key]}, {id_col} {dict(chunks.dtypes)[id_col]}, score double"
-    return best_of_blocks(
-        words, asked, blocks, key, id_col, k, schema,
-        lambda rows: _term_scorer([(r[key], r.terms) for r in rows], k, key, id_col),
-    )
+    wanted = asked.select(F.explode("terms").alias("term")).distinct()
+    matched = index.select(id_col, "term", "tf").join(wanted, "term", "left_semi")
+    schema = f"{key} {dict(queries.dtypes)[key]}, {id_col} long, score double"
+    cells = grid(matched, asked, id_col, key, _ranked_terms(k, key, id_col), schema, (), block_rows, POSTING_BLOCK_ROWS)
+    return best_of_cells(cells, key, id_col, k)

@@ -1,23 +1,19 @@
-"""Exact vector search: one query as an expression, many queries as one scan."""
+"""Exact vector search: one query as an expression, many queries as a grid of blocks."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as vx
 from tidemark.functions.once import computed_once
-from tidemark.operators.batches import QUERY_BLOCK_ROWS, SCORES_IN_MEMORY, BestRows, best_of_blocks
+from tidemark.operators.batches import QUERY_BLOCK_ROWS, SCORES_IN_MEMORY, BestRows, best_of_cells, best_table, grid
 from tidemark.operators.lexical import top
 
-# Bytes of query vectors that one scan may carry to the tasks.
-QUERY_BLOCK_BYTES = 32 * 1024 * 1024
-
 
 def with_norm(chunks: DataFrame, vector: str = "embedding") -> DataFrame:
     """Store the norm beside the vector, so that no search computes it again."""
@@ -54,28 +50,32 @@ def vector_topk(
     return top(vector_scores(chunks, query, keep), k)
 
 
-def _vector_scorer(keys: list, matrix: np.ndarray, k: int, key: str, id_col: str):
-    """Score batches of vectors against a block of queries, k rows per query and task."""
-    slice_rows = max(1, SCORES_IN_MEMORY // len(keys))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = BestRows(len(keys), k)
-        for batch in batches:
-            for start in range(0, len(batch), slice_rows):
-                part = batch.iloc[start : start + slice_rows]
-                rows = np.stack(part["embedding"].to_numpy()).astype(np.float64)
-                lengths = np.linalg.norm(rows, axis=1)
-                usable = lengths > 0
-                ids = part[id_col].to_numpy()[usable]
-                cosines = np.round(matrix @ (rows[usable] / lengths[usable, None]).T, 12)
+def _unit(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of one length as rows of length one, and their lengths."""
+    values = column.combine_chunks()
+    matrix = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
+    lengths = np.linalg.norm(matrix, axis=1)
+    return matrix / np.where(lengths > 0, lengths, 1.0)[:, None], lengths
+
+
+def _nearest(k: int, key: str, id_col: str):
+    """Cell task: the k best rows by cosine of every query."""
+
+    def task(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        best, keys = BestRows(asked.num_rows, k), asked.column(key).combine_chunks()
+        if asked.num_rows and rows.num_rows:
+            queries, _ = _unit(asked.column("embedding"))
+            matrix, lengths = _unit(rows.column("embedding"))
+            usable = lengths > 0
+            matrix, ids = matrix[usable], rows.column(id_col).to_numpy()[usable]
+            step = max(1, SCORES_IN_MEMORY // len(queries))
+            for start in range(0, len(ids), step):
+                cosines = np.round(queries @ matrix[start : start + step].T, 12)
                 for number, found in enumerate(cosines):
-                    best.add(number, found, ids)
-        for number, name in enumerate(keys):
-            scores, ids = best.rows(number)
-            if len(ids):
-                yield pd.DataFrame({key: name, id_col: ids, "score": scores})
+                    best.add(number, found, ids[start : start + step])
+        return best_table(best, keys, key, id_col)
 
-    return score
+    return task
 
 
 def vector_topk_batch(
@@ -84,28 +84,17 @@ def vector_topk_batch(
     k: int,
     key: str = "query_id",
     id_col: str = "chunk_id",
-    block_bytes: int = QUERY_BLOCK_BYTES,
     block_rows: int = QUERY_BLOCK_ROWS,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Best k chunks for each of many queries: (key, id, score, rank from 0).
 
-    A block of query vectors of bounded size rides along with one scan of the
-    chunks. Every task keeps its own k best per query, so only k rows per
-    query and task are shuffled, never a (query, chunk) pair each. A query
-    table beyond the bound takes one scan per block.
+    A grid of query blocks and chunk blocks; see ``batches``. With ``shared``
+    columns a query meets only the chunks that agree in them.
     """
-    usable = queries.select(key, F.col("embedding").cast("array<double>").alias("v")).filter(
-        vx.norm(F.col("v")) > 0
-    )
-    counted = usable.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    n_bytes = counted.n * (counted.dim or 0) * 8
-    blocks = max(1, math.ceil(n_bytes / block_bytes), math.ceil(counted.n / block_rows))
-    schema = f"{key} {dict(queries.dtypes)[key]}, {id_col} {dict(chunks.dtypes)[id_col]}, score double"
-    embedded = chunks.filter(F.col("embedding").isNotNull()).select(id_col, "embedding")
-
-    def scorer(rows):
-        matrix = np.array([r.v for r in rows], dtype=np.float64)
-        matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        return _vector_scorer([r[key] for r in rows], matrix, k, key, id_col)
-
-    return best_of_blocks(embedded, usable, blocks, key, id_col, k, schema, scorer)
+    embedding = F.col("embedding").cast("array<double>").alias("embedding")
+    usable = queries.select(key, *shared, embedding).filter(vx.norm(F.col("embedding")) > 0)
+    embedded = chunks.filter(F.col("embedding").isNotNull()).select(id_col, *shared, "embedding")
+    schema = f"{key} {dict(queries.dtypes)[key]}, {id_col} long, score double"
+    cells = grid(embedded, usable, id_col, key, _nearest(k, key, id_col), schema, shared, query_rows=block_rows)
+    return best_of_cells(cells, key, id_col, k)

@@ -15,6 +15,7 @@ from tidemark.sources.workdir import new_dir, saved
 from tidemark.streaming import backfill as stream_vectors
 
 TOP = 10
+IVF_LISTS, IVF_RECALL = 16, 0.95
 
 
 # --- text preparation -------------------------------------------------------
@@ -88,11 +89,30 @@ def vector_ivf_full_probe(spark, sf_dir):
     built = ivf.build_lists(vectors, n_lists=16)
     path = new_dir(spark, "lists")
     ivf.write_lists(built, path)
-    lists = ivf.read_lists(spark, path, built.centroids)
+    lists = ivf.open_lists(spark, path)
     hits = ivf.ivf_topk(lists, inputs.query_vector(spark, sf_dir), TOP, n_probe=16)
     return hits.select("chunk_id", F.round("score", 6).alias("score"))
 
 
+def vector_ivf_probe(spark, sf_dir):
+    """Approximate search: the vectors whose id 100 divides, in the fewest lists that reach the wanted recall.
+
+    Lists are trained on even ids; the others are added to the stored lists as new
+    chunks are. The number of lists to probe is measured on a tenth of the queries.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("chunk_id"), F.col("vec_id").alias("source_id"), "embedding"
+    )
+    path = new_dir(spark, "lists")
+    ivf.write_lists(ivf.build_lists(vectors.filter("chunk_id % 2 = 0"), n_lists=IVF_LISTS), path)
+    ivf.add_to_lists(vectors.filter("chunk_id % 2 <> 0"), path)
+    lists = ivf.open_lists(spark, path)
+    queries = vectors.filter("chunk_id % 100 = 0").select(F.col("chunk_id").alias("query_id"), "embedding")
+    n_probe = ivf.probes_for(lists, queries.filter("query_id % 1000 = 0"), TOP, IVF_RECALL)
+    hits = ivf.ivf_topk_batch(lists, queries, TOP, n_probe)
+    return hits.select("query_id", "rank", "chunk_id", F.round("score", 6).alias("score"))
+
+
 def lexical_topk(spark, sf_dir):
     terms = lexical.query_terms(spark, inputs.query_text(spark, sf_dir))
     index = lexical.read_index(spark, inputs.corpus(spark, sf_dir).postings, terms)
@@ -135,10 +155,8 @@ def hybrid_search_json(spark, sf_dir):
 
 
 def hybrid_batch(spark, sf_dir):
-    hits = fusion.search_batch(
-        inputs.corpus(spark, sf_dir).chunks,
-        inputs.queries(spark, sf_dir),
-    )
+    corpus = inputs.corpus(spark, sf_dir)
+    hits = fusion.search_batch(corpus.chunks, inputs.queries(spark, sf_dir), index=spark.read.parquet(corpus.postings))
     return hits.select(
         "query_id", "position", "chunk_id", F.round("fusion_score", 6).alias("fusion_score")
     )
@@ -504,7 +522,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hybrid_search, hybrid_search_json, hybrid_batch, vector_topk, vector_topk_kind,
-        vector_ivf_full_probe, lexical_topk, lexical_bm25, postings, chunk_documents,
+        vector_ivf_full_probe, vector_ivf_probe, lexical_topk, lexical_bm25, postings, chunk_documents,
         redact_documents, doc_titles, doc_previews, pair_turns, chunk_turns, session_titles,
         get_document, list_sources, source_chunk_counts, corpus_stats, kind_counts,
         upsert_sources, upsert_chunks, replace_chunks, guarded_delete, guarded_delete_chunks,
