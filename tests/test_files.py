@@ -62,6 +62,36 @@ def test_documents_with_bad_bytes_and_missing_files(spark, tmp_path):
     assert "Title" in sources and len(sources) == 2
 
 
+def test_bad_huge_and_missing_files_do_not_touch_the_others(spark, tmp_path):
+    folder = tmp_path / "a b+c%20d"
+    make(folder / "ok.md", b"fine")
+    spark.range(1).selectExpr("'some text that is long enough for a checksum' AS value").coalesce(1).write.text(str(folder / "sub"))
+    bad = next((folder / "sub").glob("part-*.txt"))
+    bad.write_bytes(b"x" * bad.stat().st_size)  # no longer what its checksum says
+    lines = [f"line {k} é" for k in range(400)]
+    make(folder / "huge.md", "\n".join(lines).encode() + b"\n\xff")
+    listing = files.discover(spark, globs=[str(folder)])
+    listing = listing.unionByName(listing.filter("path like '%ok.md'").withColumn("path", F.concat("path", F.lit(".gone"))))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1500)
+    try:
+        read = workdir.saved(files.read_documents(spark, listing, [str(folder)], max_bytes=1000, part_bytes=700), "read")
+        got = {}
+        for r in read.orderBy("path", "part").collect():
+            got.setdefault(os.path.basename(r.path), []).append((r.part, r.text, r.error))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got["ok.md"] == [(0, "fine", None)]
+    assert got["ok.md.gone"] == [(0, None, "unreadable")] and got[bad.name] == [(0, None, "unreadable")]
+    huge = got["huge.md"]
+    assert len(huge) > 4 and [p for p, _, _ in huge] == list(range(len(huge))) and all(len(t) < 1500 for _, t, _ in huge)
+    assert "\n".join(t for _, t, _ in huge) == "\n".join([*lines, "\ufffd"])
+    sources = files.file_sources(read, "doc").select("origin", "path", "hits").collect()
+    assert len({r.origin for r in sources}) == len(sources) == len(huge) + 1
+    counted = files.file_sources(read, "doc").select("path", F.lit(1).alias("chunks"), "hits")
+    total = files.ingest_totals(files.file_results(read, counted, counted.filter("path like '%huge.md'").select("path"))).first()
+    assert (total.files, total.chunks, total.embedded_files, total.failed) == (4, len(huge) + 1, 1, 2)
+
+
 def test_ingest_totals(spark):
     rows = [("a", 3, 1, True, None), ("b", 2, 0, False, None), ("c", 9, 9, False, "unreadable")]
     df = spark.createDataFrame(rows, "path string, chunks int, hits int, embedded boolean, error string")

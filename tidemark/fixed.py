@@ -143,3 +143,7 @@ TAG = r"<[^>]+>"
 
 # --- Fixed values: snapshots ------------------------------------------------
 RETENTION_DAYS = 7
+
+# Largest file that is read as one value, and the size of the parts of larger ones.
+DOCUMENT_BYTES = 1 << 30
+DOCUMENT_PART_BYTES = 16 << 20

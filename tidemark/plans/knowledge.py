@@ -512,10 +512,13 @@ def ingest_files(spark, sf_dir):
     # A file that is listed and gone when it is read.
     gone = listing.orderBy("path").limit(1).withColumn("path", F.concat("path", F.lit(".gone")))
     read = saved(files.read_documents(spark, listing.unionByName(gone), [path]), "documents")
-    counted = chunking.with_pieces(files.file_sources(read, "project_doc"), "text").select(
-        F.col("origin").alias("path"), F.size("pieces").cast("bigint").alias("chunks"), "hits"
-    )
-    return files.ingest_totals(files.file_results(read, counted))
+    pieces = saved(chunking.with_pieces(files.file_sources(read, "project_doc"), "text").select("path", "hits", "pieces"), "pieces")
+    counted = pieces.select("path", F.size("pieces").cast("bigint").alias("chunks"), "hits")
+    # The ids of the run's chunks are places in the saved table; its rows do not change.
+    chunks = pieces.select("path", F.explode("pieces").alias("text")).withColumn("chunk_id", F.monotonically_increasing_id())
+    vectors = backfill.embed_chunks(chunks, backfill.hashing_embedder()).filter(F.col("embedding").isNotNull())
+    embedded = chunks.select("chunk_id", "path").join(vectors.select("chunk_id"), "chunk_id").select("path")
+    return files.ingest_totals(files.file_results(read, counted, embedded))
 
 
 QUERIES = {

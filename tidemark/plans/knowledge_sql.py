@@ -297,7 +297,8 @@ ORACLES = {
         turn_id, text FROM turn_chunks""",
     "discover_files": "SELECT DISTINCT conv_id FROM conversations",
     "ingest_files": f"""SELECT count(*) + 1 AS files, sum(length({windows(f"trim(clean, {_TRIM})")}))::BIGINT AS chunks,
-        sum(hits)::BIGINT AS hits, 0::BIGINT AS embedded_files, 1::BIGINT AS failed
+        sum(hits)::BIGINT AS hits,
+        count(*) FILTER (length({windows(f"trim(clean, {_TRIM})")}) > 0)::BIGINT AS embedded_files, 1::BIGINT AS failed
         FROM (SELECT {_clean('text')} AS clean, len(regexp_extract_all(text, '{SECRETS}')) AS hits
               FROM (SELECT string_agg(text, chr(10) || chr(10) ORDER BY doc_id) AS text
                     FROM documents GROUP BY doc_id // 100))""",

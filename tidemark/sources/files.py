@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
@@ -130,25 +131,68 @@ def session_sources(
     )
 
 
-def read_documents(spark: SparkSession, listing: DataFrame, roots: Sequence[str]) -> DataFrame:
-    """Whole text of every listed file: (path, modified, text, error).
+def _joined(part_bytes: int):
+    """Lines of one file and split put together to parts of some ``part_bytes``."""
 
-    Bad bytes become replacement characters. A file that is gone when it is
-    read keeps its row, with an error instead of text.
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, number, origin = [], 0, 0, None
+
+        def part() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {"path": [origin[0]], "block": [origin[1]], "number": [number], "text": ["\n".join(held)]}
+            )
+
+        for batch in batches:
+            for path, block, line in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if held and ((path, block) != origin or size >= part_bytes):
+                    yield part()
+                    held, size, number = [], 0, number + 1
+                origin = path, block
+                held.append(line)
+                size += len(line)
+        if held:
+            yield part()
+
+    return join
+
+
+def read_documents(
+    spark: SparkSession,
+    listing: DataFrame,
+    roots: Sequence[str],
+    max_bytes: int = fixed.DOCUMENT_BYTES,
+    part_bytes: int = fixed.DOCUMENT_PART_BYTES,
+) -> DataFrame:
+    """Text of every listed file: (path, modified, part, text, error).
+
+    Bad bytes become replacement characters. A file that is gone or fails when
+    it is read keeps its row, with an error instead of text; the others do not
+    notice. A file of more than ``max_bytes``, which no one value may hold, is
+    streamed by its splits and comes in parts of some ``part_bytes`` that end with
+    a line, numbered from 0; every other file is part 0. How a file falls into
+    parts follows the session's split size: save the result to go over it twice.
     """
-    contents = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("ignoreMissingFiles", "true")
-        .load(list(roots))
-        .select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
-    )
+    isolated = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true", "ignoreCorruptFiles": "true"}
+    small = spark.read.format("binaryFile").options(**isolated).load(list(roots)).filter(F.col("length") <= max_bytes)
+    valid = lambda value: F.make_valid_utf8(value.cast("string"))
+    whole = small.select("path", F.lit(0).alias("part"), valid(F.col("content")).alias("text"))
+    # The files' sizes are known from their listing: only large ones are opened.
+    lines = spark.read.options(**isolated, lineSep="\n").text(list(roots)).filter(F.col("_metadata.file_size") > max_bytes)
+    # This path is written as a URL, the listing's is not.
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = lines.select(plain.alias("path"), F.col("_metadata.file_block_start").alias("block"), valid(F.col("value")).alias("line"))
+    parts = lines.mapInArrow(_joined(part_bytes), "path string, block long, number long, text string")
+    at = Window.partitionBy("path").orderBy("block", "number")  # one row per part
+    parts = parts.select("path", (F.row_number().over(at) - 1).alias("part"), "text")
+    key = lambda: F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("_key")
+    contents = whole.unionByName(parts).select(key(), "part", "text")
     error = F.when(F.col("text").isNull(), F.lit("unreadable"))
-    return listing.join(contents, "path", "left").withColumn("error", error)
+    found = listing.select("*", key()).join(contents, "_key", "left").drop("_key")
+    return found.withColumns({"part": F.coalesce("part", F.lit(0)), "error": error})
 
 
 def file_sources(documents: DataFrame, kind: str) -> DataFrame:
-    """Documents to source rows with redacted text; the path is the origin."""
+    """Documents to source rows with redacted text; the path is the origin, for later parts with their number."""
     name = F.element_at(F.split("path", "/"), -1)
     return (
         documents.filter(F.col("error").isNull())
@@ -157,8 +201,9 @@ def file_sources(documents: DataFrame, kind: str) -> DataFrame:
         .withColumn("hits", tx.redaction_hits(F.col("raw"), F.col("text")))
         .select(
             F.lit(kind).alias("kind"),
-            F.col("path").alias("origin"),
+            F.when(F.col("part") > 0, F.concat_ws("#", "path", F.col("part").cast("string"))).otherwise(F.col("path")).alias("origin"),
             tx.document_title(F.col("text"), name).alias("title"),
+            "path",
             "text",
             "hits",
             F.to_json(
@@ -174,7 +219,9 @@ def file_results(documents: DataFrame, counted: DataFrame, embedded: DataFrame |
     ``counted`` has the chunks and hits of the files that were stored, and
     ``embedded`` the paths whose chunks got vectors in the same run.
     """
-    rows = documents.select("path", "error").join(counted, "path", "left")
+    rows = documents.groupBy("path").agg(F.max("error").alias("error"))
+    sums = counted.groupBy("path").agg(F.sum("chunks").alias("chunks"), F.sum("hits").alias("hits"))
+    rows = rows.join(sums, "path", "left")
     if embedded is None:
         return rows.withColumn("embedded", F.lit(False))
     done = embedded.select("path", F.lit(True).alias("embedded")).distinct()
