@@ -45,17 +45,24 @@ def sources(spark, sf_dir) -> DataFrame:
 
 def chunks(spark, sf_dir) -> DataFrame:
     """Chunks of every document with their surrogate ids."""
-    docs = redacted(spark, sf_dir).withColumnRenamed("doc_id", "source_id")
+    return _chunks_of(redacted(spark, sf_dir).withColumnRenamed("doc_id", "source_id"))
+
+
+def _chunks_of(docs: DataFrame) -> DataFrame:
     rows = chunking.chunk_documents(docs)
     return rows.withColumn("chunk_id", chunking.chunk_id(F.col("source_id"), F.col("chunk_index")))
 
 
 def embedded_chunks(spark, sf_dir) -> DataFrame:
     """Chunks with the given vectors on each document's first chunk; others are pending."""
+    return _with_vectors(spark, sf_dir, chunks(spark, sf_dir))
+
+
+def _with_vectors(spark, sf_dir, rows: DataFrame) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("source_id"), F.lit(0).alias("chunk_index"), "embedding"
     )
-    return chunks(spark, sf_dir).join(vectors, ["source_id", "chunk_index"], "left")
+    return rows.join(vectors, ["source_id", "chunk_index"], "left")
 
 
 def chunk_vectors(spark, sf_dir) -> DataFrame:
@@ -69,24 +76,39 @@ def chunk_postings(spark, sf_dir) -> DataFrame:
 
 @dataclass(frozen=True)
 class Corpus:
-    """Stored chunks, postings, corpus sizes and where the postings lie."""
+    """Stored source rows, chunks, corpus sizes and where the postings lie."""
 
+    sources: DataFrame
     chunks: DataFrame
     sizes: DataFrame
     postings: str
 
 
-_CORPORA: dict[tuple[str, str], Corpus] = {}
+_CORPORA: dict[tuple, Corpus] = {}
+
+
+def _state(spark, sf_dir) -> tuple:
+    """What the files of documents and vectors are now: their number, bytes and a hash of names and times. No file is opened."""
+    root = sf_dir.rstrip("/")
+    paths = [f"{root}/{name}.parquet" for name in ("documents", "embeddings")]
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    name = F.xxhash64("path", "modificationTime", "length")
+    return tuple(listing.agg(F.count("*"), F.sum("length"), F.bit_xor(name)).first())
 
 
 def corpus(spark, sf_dir) -> Corpus:
-    """Chunks and postings of the documents, made once per session and folder and searched from then on."""
-    key = spark.sparkContext.applicationId, sf_dir
+    """Sources, chunks and postings of the documents: made once per session and state of the files, searched from then on.
+
+    A text is read and redacted once; everything else comes from what is stored.
+    """
+    key = spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir)
     if key not in _CORPORA:
-        stored = saved(embedded_chunks(spark, sf_dir), "chunks")
+        docs = saved(documents(spark, sf_dir), "sources")
+        chunks_ = _with_vectors(spark, sf_dir, _chunks_of(docs.select("source_id", "text")))
+        stored = saved(chunks_, "chunks")
         path = new_dir(spark, "postings")
         lexical.write_index(lexical.postings(stored, ["chunk_id", "source_id"]), path)
-        _CORPORA[key] = Corpus(stored, saved(lexical.corpus_sizes(stored), "sizes"), path)
+        _CORPORA[key] = Corpus(docs.drop("text"), stored, saved(lexical.corpus_sizes(stored), "sizes"), path)
     return _CORPORA[key]
 
 

@@ -132,7 +132,7 @@ def hybrid_search(spark, sf_dir):
     hits = fusion.search(
         spark,
         corpus.chunks,
-        inputs.sources(spark, sf_dir),
+        corpus.sources,
         query,
         inputs.query_vector(spark, sf_dir),
         limit=TOP,
