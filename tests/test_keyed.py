@@ -126,3 +126,22 @@ def test_numbers_are_dense(spark):
     for buckets in (1, 16, 4096):
         numbered = ordered.with_numbers(df, ["a", "b"], "n", buckets)
         assert sorted(r.n for r in numbered.collect()) == list(range(1, 501))
+
+
+def test_answers_of_the_tools(spark):
+    args = (spark, sources(spark), chunks(spark))
+    saved_note = tools.note_reply(spark, tools.add_note(*args, "Remember this")[0], "Remember this").first().json
+    assert saved_note.startswith('{"source_id":') and '"title":"Remember this"' in saved_note
+    for content in (" \n", "", None):
+        receipt = tools.add_note(*args, content or "")[0]
+        assert [r.json for r in tools.note_reply(spark, receipt, content).collect()] == ['{"error":"empty_content"}']
+    replies = lambda i: keyed.delete_replies(tools.delete_note(*args, i)[0]).first().reply
+    assert replies(3) == '{"deleted":true,"source_id":3}'
+    assert replies(77) == '{"deleted":false,"reason":"not_found"}'
+    gone = tools.get_document_head(*args, 77).first()
+    assert (gone.source_id, gone.error) == (77, "not_found")
+    there = tools.get_document_head(*args, 3).first()
+    assert there.error is None and there.chunk_count == chunks(spark).filter("source_id = 3").count()
+    rows = spark.createDataFrame([(2, "b"), (1, 'a"')], "id int, name string")
+    assert tools.as_json_list(rows, [F.asc("id")]).first().json == '[{"id":1,"name":"a\\""},{"id":2,"name":"b"}]'
+    assert tools.as_json_list(rows.limit(0), [F.asc("id")]).first().json == "[]"

@@ -18,6 +18,8 @@ PREVIEW_TEXT_CHARS = 120
 # --- Fixed values: sources --------------------------------------------------
 SESSION_KIND = "claude_session"
 NOTE_KIND = "manual_note"
+EMPTY_CONTENT = "empty_content"
+NOT_FOUND = "not_found"
 NOTE_STATUS = "saved; embedding queued (rag-worker will backfill within ~2s)"
 
 # --- Fixed values: secret shapes (published key formats) --------------------

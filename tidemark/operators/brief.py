@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.text import escape_markup
-from tidemark.operators import keyed
+from tidemark.operators import keyed, ordered
 from tidemark.sources.workdir import saved, shared_dir
 
 # --- rankings ---------------------------------------------------------------
@@ -107,8 +107,7 @@ def momentum(
 
 def ranked_names(changes: DataFrame) -> DataFrame:
     """Names by percent, largest first, inside each segment."""
-    order = Window.partitionBy("segment").orderBy(F.desc("pct"), "name")
-    return changes.withColumn("rank", F.row_number().over(order))
+    return ordered.with_ranks(changes, ["segment"], [F.desc("pct"), F.asc("name")], "rank")
 
 
 def movers(

@@ -28,7 +28,19 @@ def get_document(sources: DataFrame, chunks: DataFrame, source_id: int) -> DataF
     one = F.col("source_id") == source_id
     parts = chunks.filter(one).select("source_id", "chunk_index", "text")
     head = with_chunk_counts(sources.filter(one), parts)
-    return head.join(parts, "source_id", "left").orderBy("chunk_index")
+    # The head is one row: the chunks of a long document stay where they are.
+    return parts.join(F.broadcast(head), "source_id", "right").select(*head.columns, "chunk_index", "text").orderBy("chunk_index")
+
+
+def document_heads(sources: DataFrame, chunks: DataFrame, requests: DataFrame) -> DataFrame:
+    """Per requested source its row with the chunk count; ``error`` is set where there is none."""
+    asked = requests.select("source_id").distinct()
+    found = with_chunk_counts(
+        sources.join(asked, "source_id", "left_semi").withColumn("_found", F.lit(True)),
+        chunks.join(asked, "source_id", "left_semi"),
+    )
+    error = F.when(F.col("_found").isNull(), F.lit(fixed.NOT_FOUND))
+    return asked.join(found, "source_id", "left").withColumn("error", error).drop("_found")
 
 
 def list_sources(

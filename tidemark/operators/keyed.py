@@ -53,19 +53,24 @@ def upsert(
     )
 
 
-def _with_new_ids(sources: DataFrame, batch: DataFrame) -> DataFrame:
+def _with_new_ids(sources: DataFrame, batch: DataFrame, last: Column | None = None) -> DataFrame:
     """Batch rows with ids above all ids in use; only rows that turn out new keep them."""
-    last = sources.agg(F.coalesce(F.max("source_id"), F.lit(-1))).scalar()
+    last = sources.agg(F.coalesce(F.max("source_id"), F.lit(-1))).scalar() if last is None else last
     numbered = ordered.with_numbers(batch, ["kind", "origin"], "_number")
     return numbered.withColumn("source_id", last + F.col("_number")).drop("_number")
 
 
-def upsert_sources(sources: DataFrame, batch: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Sources by (kind, origin): title, metadata and updated_at change; id and created_at stay."""
+def upsert_sources(
+    sources: DataFrame, batch: DataFrame, order: Sequence[str], last: Column | None = None
+) -> DataFrame:
+    """Sources by (kind, origin): title, metadata and updated_at change; id and created_at stay.
+
+    ``last`` is the largest id in use, for callers whose ``sources`` are a part of the table.
+    """
     keys = ["kind", "origin"]
     rows = last_per_key(batch, keys, order)
     if "source_id" in sources.columns:
-        rows = _with_new_ids(sources, rows)
+        rows = _with_new_ids(sources, rows, last)
     return upsert(sources, rows, keys, ["title", "metadata", "updated_at"])
 
 
@@ -88,7 +93,7 @@ def delete_outcomes(
 ) -> DataFrame:
     """Per requested source: ``deleted`` and the reason when it was not."""
     kind = F.col("kind")
-    reason = F.when(kind.isNull(), F.lit("not_found")).when(
+    reason = F.when(kind.isNull(), F.lit(fixed.NOT_FOUND)).when(
         kind != deletable, F.concat(F.lit("refuse: kind="), kind, F.lit(" cannot be deleted via MCP"))
     )
     asked = requests.select("source_id").distinct()
@@ -97,6 +102,12 @@ def delete_outcomes(
     )
 
 
+def delete_replies(outcomes: DataFrame) -> DataFrame:
+    """Per request the JSON answer: deleted with the id, or not deleted with the reason."""
+    named = F.when(F.col("deleted"), F.col("source_id")).alias("source_id")
+    return outcomes.select("source_id", F.to_json(F.struct("deleted", "reason", named)).alias("reply"))
+
+
 def guarded_delete(
     sources: DataFrame, chunks: DataFrame, requests: DataFrame, deletable: str = fixed.NOTE_KIND
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -131,6 +142,12 @@ def prepare_notes(requests: DataFrame) -> DataFrame:
     )
 
 
+def rejected_notes(requests: DataFrame) -> DataFrame:
+    """The requests without content, with all their columns and the ``error`` they are answered with."""
+    blank = F.coalesce(tx.strip(F.col("content")), F.lit("")) == ""
+    return requests.filter(blank).withColumn("error", F.lit(fixed.EMPTY_CONTENT))
+
+
 def add_notes(
     requests: DataFrame,
     sources: DataFrame,

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.workdir import saved
+
 ROWS_PER_BUCKET = 10_000
 
 
@@ -97,3 +99,26 @@ def with_numbers(df: DataFrame, keys: Sequence[str], name: str, buckets: int = 1
         .withColumn(name, F.col(name) + F.col("_base"))
         .drop("_bucket", "_base")
     )
+
+
+def with_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Add ``name``: 1, 2, … inside each key, in ``order``; a key may hold most rows.
+
+    The rows are cut into ranges of (key, order), so a hot key spans many
+    tasks. A rank is the place in the range, shifted by the sizes of the key's
+    ranges before; only one row per key and range goes through a window.
+    """
+    ranges = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    placed = saved(ranges.withColumn("_place", F.monotonically_increasing_id()), "ranks")
+    placed = placed.withColumn("_range", F.shiftright("_place", 33))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(*keys, "_range").agg(F.min("_place").alias("_first"), F.count("*").alias("_size"))
+    shifts = sizes.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
+        F.col("_range").alias("_of_range"),
+        (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    )
+    same = F.col("_range") == F.col("_of_range")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return placed.join(shifts, same).select(*df.columns, (F.col("_place") + F.col("_shift")).cast("int").alias(name))

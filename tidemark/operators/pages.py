@@ -41,6 +41,8 @@ _TOPIC = mk.with_class("div", "topic_row")
 _TOPIC_LINK = rf"(?is){mk.with_class('[a-z0-9]+', 'topictitle')}.*?<a\b([^>]*)>"
 _TOPIC_HEADING = rf"(?is){mk.with_class('h2', 'topic-title-heading')}(.*?)</h2>"
 _TOPIC_TEXT = rf"(?is){mk.with_class('[a-z0-9]+', 'topicdesc')}.*?<a\b[^>]*>(.*?)</a>"
+# The body is looked at, not consumed: counters may be nested.
+_TOPIC_POINTS = r"""(?is)\bid\s*=\s*["']tp([^"']*)["'](?=[^>]*>(.*?)</)"""
 _TOPIC_COMMENTS = r"""(?is)<a\b[^>]*\bdata-topic-comment-count\s*=\s*["']([^"']*)["']"""
 
 
@@ -56,12 +58,12 @@ def topic_rows(pages: DataFrame, topic_url: str, keep: Sequence[str] = ("page_id
         "id", mk.attribute(F.regexp_extract("part", r"(?is)\A<div\b([^>]*)>", 1), "data-topic-state-id")
     )
     row = F.col("row")
-    points = F.call_function(
-        "regexp_extract",
-        row,
-        F.concat(F.lit(r"""(?is)\bid\s*=\s*["']tp\Q"""), F.col("id"), F.lit(r"""\E["'][^>]*>(.*?)</""")),
-        F.lit(1),
+    counters = F.arrays_zip(
+        F.regexp_extract_all("row", F.lit(_TOPIC_POINTS), 1).alias("of"),
+        F.regexp_extract_all("row", F.lit(_TOPIC_POINTS), 2).alias("body"),
     )
+    mine = F.filter(counters, lambda c: F.lower(c["of"]) == F.lower(F.col("id")))
+    points = F.coalesce(F.get(mine, F.lit(0))["body"], F.lit(""))
     complete = F.col("id").isNotNull() & mk.found(row, _TOPIC_LINK) & mk.found(row, _TOPIC_HEADING)
     return rows.filter(complete).select(
         *keep,

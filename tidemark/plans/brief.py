@@ -17,6 +17,11 @@ N_DAYS = 20
 TOPICS_PER_DAY = 55
 TOPIC_URL = "https://topics.example/topic?id=%s"
 PER_PAGE = 20
+PROMPT_INTRO = "Signals of the day:"
+PROMPT_OUTRO = "Five insights, one per line."
+PROMPT_LABELS = {
+    "reads": "Headlines", "searches": "Search trends", "segments": "Interest by segment", "products": "New products",
+}
 _NAV = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 
 
@@ -360,6 +365,12 @@ def brief_prompt(spark, sf_dir):
     return rows.select(F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), "reads", "searches", "segments", "products")
 
 
+def brief_prompt_text(spark, sf_dir):
+    """The assembled prompt of every day."""
+    rows = br.prompt_text(br.prompt_sections(_days(spark, sf_dir)), PROMPT_LABELS, PROMPT_INTRO, PROMPT_OUTRO)
+    return rows.select(F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), "prompt")
+
+
 def _blocks(spark, sf_dir):
     return br.with_blocks(_days(spark, sf_dir), "Daily brief")
 
@@ -392,7 +403,7 @@ QUERIES = {
         page_topics, topics_of_day, top_topics, top_topics_overall, page_repos, top_repos,
         repo_content, clean_markup, page_body, feed_items, first_reads, search_items,
         product_items, trend_momentum, trend_ranking, trend_movers, daily_brief, latest_brief,
-        recent_brief_dates, brief_upsert, brief_schema_change, brief_prompt, brief_blocks,
+        recent_brief_dates, brief_upsert, brief_schema_change, brief_prompt, brief_prompt_text, brief_blocks,
         brief_messages, document_messages,
     )
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.plans.brief import PROMPT_INTRO, PROMPT_LABELS, PROMPT_OUTRO
 from tidemark.plans.knowledge_sql import SOURCES
 
 
@@ -176,6 +177,11 @@ ORACLES = {
                THEN (SELECT string_agg('- [' || segment || '] ' || first_five || chr(10), '' ORDER BY segment) FROM per_segment)
                ELSE '(없음)' END AS segments, products FROM lines""",
 }
+_LABELLED = " || ".join(
+    f"coalesce(chr(10) || chr(10) || '[{label}]' || chr(10) || {name}, '')" for name, label in PROMPT_LABELS.items()
+)
+ORACLES["brief_prompt_text"] = f"""SELECT run_date, '{PROMPT_INTRO}' || {_LABELLED}
+    || chr(10) || chr(10) || '{PROMPT_OUTRO}' AS prompt FROM ({ORACLES['brief_prompt']})"""
 
 
 def message_texts(start: str, key: str) -> str:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark import fixed
+from tidemark import fixed, tools
 from tidemark.functions import text as tx
 from tidemark.functions import vectors as vx
 from tidemark.operators import backfill, chunking, corpus, fusion, ivf, keyed, lexical, vector
 from tidemark.plans import inputs
 from tidemark.plans.inputs import table
-from tidemark.sources import files, snapshots
+from tidemark.sources import files, keyed_store, snapshots
 from tidemark.sources.workdir import new_dir, saved
 from tidemark.streaming import backfill as stream_vectors
 
 TOP = 10
 IVF_LISTS, IVF_RECALL = 16, 0.95
+STORE_BUCKETS = 16
 
 
 # --- text preparation -------------------------------------------------------
@@ -149,7 +151,8 @@ def hybrid_search_json(spark, sf_dir):
     hits = hybrid_search(spark, sf_dir)
     fields = [
         F.col("chunk_id").alias("id"), "source_id", F.col("kind").alias("source_kind"),
-        F.col("origin").alias("source_origin"), "chunk_index",
+        F.col("origin").alias("source_origin"), F.col("title").alias("source_title"), "chunk_index",
+        "text", "fusion_score",
     ]
     return hits.select(F.to_json(F.struct(*fields)).alias("hit"))
 
@@ -181,6 +184,21 @@ def list_sources(spark, sf_dir):
     )
 
 
+def list_sources_reply(spark, sf_dir):
+    """The inventory as the JSON array that the tool returns."""
+    rows = list_sources(spark, sf_dir).withColumnRenamed("source_id", "id")
+    fields = rows.select("id", "kind", "origin", "title", "created_at", "chunk_count")
+    return tools.as_json_list(fields, [F.desc("created_at"), F.asc("id")])
+
+
+def document_heads(spark, sf_dir):
+    """Every labelled document asked for, and as many ids that do not exist."""
+    heads = corpus.document_heads(
+        inputs.sources(spark, sf_dir), inputs.chunks(spark, sf_dir), _delete_requests(spark, sf_dir)
+    )
+    return heads.select("source_id", "kind", "origin", "title", "chunk_count", "error")
+
+
 def source_chunk_counts(spark, sf_dir):
     rows = corpus.with_chunk_counts(inputs.sources(spark, sf_dir), inputs.chunks(spark, sf_dir))
     return rows.select("source_id", "kind", "chunk_count")
@@ -232,9 +250,48 @@ def upsert_sources(spark, sf_dir):
     return keyed.upsert_sources(current, _source_batch(spark, sf_dir), ["pass"])
 
 
-def replace_chunks(spark, sf_dir):
-    """Labelled documents come back in upper case and replace their old chunks."""
-    current = inputs.chunks(spark, sf_dir)
+def stored_sources(spark, sf_dir):
+    """The same upsert on a table stored in buckets, in three batches that each rewrite the buckets of their keys.
+
+    Known sources keep their ids; ids of new ones lie above all that were ever given.
+    """
+    path = new_dir(spark, "stored")
+    day = F.date_format("created_at", "yyyy-MM-dd")
+    current = inputs.sources(spark, sf_dir).select(
+        "source_id", "kind", "origin", "title", F.lit("").alias("metadata"),
+        day.alias("created_at"), day.alias("updated_at"),
+    )
+    first = keyed_store.create(current, path, ["kind", "origin"], STORE_BUCKETS, counter="source_id")
+    batch = saved(_source_batch(spark, sf_dir), "batch")
+    for n in range(3):
+        part = batch.filter(F.col("pass") == n)
+        keyed_store.change(
+            spark, path, part,
+            lambda rows, version, part=part: keyed.upsert_sources(rows, part, ["pass"], F.lit(version.last)),
+        )
+    rows = keyed_store.read(spark, path)
+    owners = F.count("*").over(Window.partitionBy("source_id"))  # ids are unique: no large group
+    return rows.select(
+        F.when(F.col("source_id") <= first.last, F.col("source_id")).alias("source_id"), owners.alias("owners"),
+        "kind", "origin", "title", "metadata", "created_at", "updated_at",
+    )
+
+
+def stored_chunks(spark, sf_dir):
+    """Chunks stored by source: labelled documents are read again, then the sources of one language go."""
+    path = new_dir(spark, "stored")
+    columns = ["source_id", "chunk_index", "text", "token_count"]
+    keyed_store.create(inputs.chunks(spark, sf_dir).select(*columns), path, ["source_id"], STORE_BUCKETS)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("source_id"))
+    again = saved(_second_reading(spark, sf_dir).select(*columns), "again")
+    keyed_store.change(spark, path, again, lambda rows, _: keyed.replace_children(rows, again))
+    gone = keyed.delete_outcomes(inputs.sources(spark, sf_dir), labels, deletable="es").filter("deleted")
+    gone = saved(gone.select("source_id"), "gone")
+    keyed_store.change(spark, path, gone, lambda rows, _: rows.join(gone, "source_id", "left_anti"))
+    return keyed_store.read(spark, path)
+
+
+def _second_reading(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("source_id"))
     again = (
         inputs.redacted(spark, sf_dir)
@@ -242,8 +299,13 @@ def replace_chunks(spark, sf_dir):
         .join(labels, "source_id", "left_semi")
         .withColumn("text", F.concat(F.lit("second reading: "), "text"))
     )
-    batch = chunking.chunk_documents(again)
-    rows = keyed.replace_children(current.drop("chunk_id"), batch)
+    return chunking.chunk_documents(again)
+
+
+def replace_chunks(spark, sf_dir):
+    """Labelled documents come back in upper case and replace their old chunks."""
+    current = inputs.chunks(spark, sf_dir)
+    rows = keyed.replace_children(current.drop("chunk_id"), _second_reading(spark, sf_dir))
     return rows.select("source_id", "chunk_index", "text", "token_count")
 
 
@@ -275,6 +337,11 @@ def guarded_delete(spark, sf_dir):
     return outcomes
 
 
+def delete_replies(spark, sf_dir):
+    """The JSON answer to every delete request."""
+    return keyed.delete_replies(guarded_delete(spark, sf_dir))
+
+
 def guarded_delete_chunks(spark, sf_dir):
     _, _, chunks = keyed.guarded_delete(
         inputs.sources(spark, sf_dir),
@@ -307,6 +374,13 @@ def add_notes(spark, sf_dir):
     return receipts.select("title", "chunk_count", "redacted_hits", "status")
 
 
+def note_rejections(spark, sf_dir):
+    """Notes of which every third has blank content: the ones refused and why."""
+    notes = _notes(spark, sf_dir)
+    blank = F.when(F.col("doc_id") % 3 == 0, F.lit(" \n\t ")).otherwise(F.col("content"))
+    return keyed.rejected_notes(notes.withColumn("content", blank)).select("doc_id", "error")
+
+
 def add_notes_chunks(spark, sf_dir):
     """All chunks after the notes were added, by kind, with how many wait for a vector."""
     _, sources, chunks = _add_notes(spark, sf_dir)
@@ -527,9 +601,9 @@ QUERIES = {
         hybrid_search, hybrid_search_json, hybrid_batch, vector_topk, vector_topk_kind,
         vector_ivf_full_probe, vector_ivf_probe, lexical_topk, lexical_bm25, postings, chunk_documents,
         redact_documents, doc_titles, doc_previews, pair_turns, chunk_turns, session_titles,
-        get_document, list_sources, source_chunk_counts, corpus_stats, kind_counts,
-        upsert_sources, upsert_chunks, replace_chunks, guarded_delete, guarded_delete_chunks,
-        add_notes, add_notes_chunks, embed_pending_count, embed_backlog_fifo,
+        get_document, document_heads, list_sources, list_sources_reply, source_chunk_counts, corpus_stats, kind_counts,
+        upsert_sources, stored_sources, upsert_chunks, replace_chunks, stored_chunks, guarded_delete, delete_replies,
+        guarded_delete_chunks, add_notes, note_rejections, add_notes_chunks, embed_pending_count, embed_backlog_fifo,
         embed_backlog_priority, embed_backlog_notes, embed_batch_kinds, embed_progress,
         embed_writeback, embed_sources, stream_backfill, snapshot_retention, read_sessions, ingest_sessions, ingest_session_sources, discover_files, ingest_files,
     )

@@ -207,8 +207,8 @@ ORACLES = {
           SELECT * FROM scored ORDER BY score DESC, chunk_id LIMIT 10)""",
     "hybrid_search": f"{_HYBRID} SELECT * REPLACE (chunk_index::INT AS chunk_index) FROM hits",
     "hybrid_search_json": f"""{_HYBRID} SELECT '{{"id":' || chunk_id || ',"source_id":' || source_id
-        || ',"source_kind":"' || kind || '","source_origin":"' || origin || '","chunk_index":'
-        || chunk_index || '}}' AS hit FROM hits""",
+        || ',"source_kind":"' || kind || '","source_origin":"' || origin || '","source_title":' || to_json(title)
+        || ',"chunk_index":' || chunk_index || ',"text":' || to_json(text) || ',"fusion_score":' || fusion_score || '}}' AS hit FROM hits""",
     "hybrid_batch": f"""WITH {EMBEDDED}, {POSTINGS}, {TERMS}, {LEXICAL}, {fused(
         'SELECT b.item_id AS query_id, v.embedding FROM benchmark b LEFT JOIN embeddings v ON v.vec_id = b.item_id', 6)}
         SELECT query_id, position::INT AS position, chunk_id, round(fusion_score, 6) AS fusion_score
@@ -316,3 +316,25 @@ ORACLES["ingest_session_sources"] = f"""WITH {turns(_BLOCKS)} SELECT 'claude_ses
       FILTER (user_text <> ''), '(untitled session)') AS title,
     count(*) AS turn_count, true AS has_time
     FROM turns GROUP BY session"""
+ORACLES["stored_sources"] = f"""WITH {SOURCES}, {_BATCH}
+    SELECT s.source_id, 1::BIGINT AS owners,
+           coalesce(s.kind, b.kind) AS kind, coalesce(s.origin, b.origin) AS origin,
+           coalesce(b.title, s.title) AS title, coalesce(b.metadata, '') AS metadata,
+           coalesce(strftime(s.created_at, '%Y-%m-%d'), '2024-06-01') AS created_at,
+           CASE WHEN b.origin IS NULL THEN strftime(s.created_at, '%Y-%m-%d') ELSE '2024-06-01' END AS updated_at
+    FROM sources s FULL JOIN latest b ON s.kind = b.kind AND s.origin = b.origin"""
+ORACLES["stored_chunks"] = f"""SELECT * FROM ({ORACLES['replace_chunks']})
+    WHERE source_id NOT IN (SELECT doc_id FROM labels JOIN documents USING (doc_id) WHERE lang = 'es')"""
+ORACLES["list_sources_reply"] = f"""SELECT '[' || string_agg('{{"id":' || source_id || ',"kind":"' || kind
+    || '","origin":"' || origin || '","title":' || to_json(title) || ',"created_at":"' || created_at
+    || '","chunk_count":' || chunk_count || '}}', ',' ORDER BY created_at DESC, source_id) || ']' AS json
+    FROM ({ORACLES['list_sources']})"""
+ORACLES["document_heads"] = f"""WITH {CHUNKS}, {SOURCES}, {_REQUESTS},
+    counted AS (SELECT source_id, count(*) AS n FROM chunks GROUP BY source_id)
+    SELECT r.source_id, kind, origin, title, CASE WHEN kind IS NOT NULL THEN coalesce(n, 0) END AS chunk_count,
+           CASE WHEN kind IS NULL THEN 'not_found' END AS error
+    FROM requests r LEFT JOIN sources s ON s.source_id = r.source_id LEFT JOIN counted c ON c.source_id = r.source_id"""
+ORACLES["delete_replies"] = f"""SELECT source_id, CASE WHEN deleted THEN '{{"deleted":true,"source_id":' || source_id || '}}'
+    ELSE '{{"deleted":false,"reason":"' || reason || '"}}' END AS reply FROM ({ORACLES['guarded_delete']})"""
+ORACLES["note_rejections"] = f"""SELECT doc_id, 'empty_content' AS error FROM documents
+    WHERE doc_id % 3 = 0 OR coalesce(trim(text, {_TRIM}), '') = ''"""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed
@@ -43,6 +43,14 @@ def get_document(sources: DataFrame, chunks: DataFrame, source_id: int) -> DataF
     return corpus.get_document(sources, chunks, source_id)
 
 
+def get_document_head(
+    spark: SparkSession, sources: DataFrame, chunks: DataFrame, source_id: int
+) -> DataFrame:
+    """One row in any case: the source with its chunk count, or the error."""
+    request = spark.createDataFrame([(source_id,)], "source_id bigint")
+    return corpus.document_heads(sources, chunks, request)
+
+
 def add_note(
     spark: SparkSession,
     sources: DataFrame,
@@ -59,6 +67,12 @@ def add_note(
     return keyed.add_notes(request, sources, chunks, ["at"], at)
 
 
+def note_reply(spark: SparkSession, receipt: DataFrame, content: str | None) -> DataFrame:
+    """The JSON answer to ``add_note``: its receipt, or the error of blank content."""
+    request = spark.createDataFrame([(content,)], "content string")
+    return as_json(receipt).unionByName(as_json(keyed.rejected_notes(request).select("error")))
+
+
 def list_sources(
     sources: DataFrame, chunks: DataFrame, kind: str | None = None, limit: int = 20
 ) -> DataFrame:
@@ -80,3 +94,11 @@ def delete_note(
 def as_json(rows: DataFrame) -> DataFrame:
     """One JSON object per row, in the order of the rows."""
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("json"))
+
+
+def as_json_list(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows of one answer as one JSON array, ``[]`` without rows. For answers with a limit."""
+    place = F.row_number().over(Window.orderBy(*order))
+    numbered = rows.select(place.alias("at"), F.struct(*rows.columns).alias("row"))
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("at", "row"))), lambda e: e["row"])
+    return numbered.agg(F.to_json(entries).alias("json"))
