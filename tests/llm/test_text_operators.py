@@ -82,7 +82,9 @@ def test_quality(docs, none):
     assert set(quality.quality_filter(docs).columns) == set(docs.columns)
 
 
-def test_quality_thresholds_follow_the_source(spark):
+@pytest.mark.parametrize("hot", [1000, 2, 0])
+def test_quality_thresholds_follow_the_source(spark, monkeypatch, hot):
+    monkeypatch.setattr(quality, "HOT", hot)  # all groups are hot, some, or none
     plain = lambda k, mark: " ".join(f"word{(k * 31 + j) % 997}{mark if j % 2 else ''}" for j in range(60))
     # Half of all words end with a symbol in one source, as its style; in the other that is junk.
     rows = [(k, plain(k, "#"), "en", "code") for k in range(150)] + [(1000 + k, plain(k, ""), "en", "news") for k in range(150)]

@@ -40,6 +40,7 @@ GRID = {
 }
 FENCE = 4
 GROWTH = 1.02
+HOT = 1000  # groups with over one in this many of all documents are broadcast: fewer than this
 
 
 def repeated_words(words: Column, size: int = WINDOW) -> Column:
@@ -199,16 +200,32 @@ def thresholds(sketches: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def judged(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The measured documents with ``base_failed`` and ``kept``.
 
-    ``measured`` is read twice and should be a saved table. A group without
-    thresholds has no document that passes the base rules.
+    ``measured`` is read several times and should be a saved table. A group
+    without thresholds has no document that passes the base rules.
+
+    Groups with more than one in ``HOT`` of all documents are fewer than
+    ``HOT``: their thresholds go to the documents. The other groups are small,
+    and their documents meet their thresholds by the key.
     """
-    limits = thresholds(sketch(measured), min_docs)
+    keys = ["lang", "source"]
+    sizes = measured.groupBy(*keys).agg(F.count("*").alias("docs"))
+    total = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0))).scalar()
+    found = sizes.join(thresholds(sketch(measured), min_docs), keys, "left")
+    limits = workdir.saved(found.withColumn("hot", F.col("docs") * HOT > total).drop("docs"), "limits")
+    hot, cold = F.broadcast(limits.filter("hot")), limits.filter(~F.col("hot"))
+    few = measured.join(hot.select(*keys), keys, "left_anti")
+    return _verdicts(measured.join(hot, keys), measured.columns).unionByName(
+        _verdicts(few.join(cold, keys), measured.columns)
+    )
+
+
+def _verdicts(with_limits: DataFrame, columns: list[str]) -> DataFrame:
     inside = F.lit(True)
     for name, at in _grid().items():
         inside = inside & (at <= F.col(f"{name}_high"))
     inside = inside & (_grid()["length"] >= F.col("length_low"))
-    return measured.join(limits, ["lang", "source"], "left").select(
-        *[measured[name] for name in measured.columns],
+    return with_limits.select(
+        *columns,
         base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"),
     )
