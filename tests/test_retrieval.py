@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import tools
 from tidemark.operators import backfill, batches, corpus, fusion, ivf, lexical, vector
+from tidemark.plans import inputs
 
 DIM = 8
 
@@ -252,3 +253,37 @@ def test_progress_without_batches(spark, chunks):
     schema = "n_chunks long, started_at timestamp, finished_at timestamp"
     row = backfill.progress(spark.createDataFrame([], schema), chunks).first()
     assert row.remaining == 33 and row.per_minute is None and row.minutes_left is None
+
+
+def test_index_is_written_where_the_postings_are(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(i % 60))) for i in range(300)]
+    index = lexical.postings(spark.createDataFrame(rows, "chunk_id long, text string").repartition(3))
+    path = str(tmp_path / "index")
+    lexical.write_index(index, path, buckets=8)
+    stored = spark.read.parquet(path)
+    files = {}
+    for r in stored.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "term").collect():
+        files.setdefault(r.file, []).append((r.at, r.term))
+    # A file for each task, not one for each task and bucket; sorted inside.
+    assert 1 <= len(files) <= 3
+    for found in files.values():
+        order = [term for _, term in sorted(found)]
+        assert order == sorted(order)
+    assert sorted(stored.collect()) == sorted(index.select(stored.columns).collect())
+
+
+def test_stored_corpus_keeps_vectors_apart_from_texts(spark, tmp_path):
+    text = lambda k: f"# title {k}\n" + " ".join(f"w{(k * 31 + j) % 211}" for j in range(k * 40))
+    docs = [(k % 9, text(k), "en", "a") for k in range(12)] + [(None, text(5), "de", "b"), (20, None, "de", "b"), (21, "", "de", "b")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    vectors = [(k % 7, [float(k), 1.0]) for k in range(10)] + [(1, None), (None, [1.0, 2.0]), (None, [1.0, 3.0]), (21, [0.0, 1.0])]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    corpus = inputs.corpus(spark, str(tmp_path))
+    joined = inputs.embedded_chunks(spark, str(tmp_path))
+    bag = lambda df, *columns: sorted(map(repr, df.select(*columns).collect()))
+    columns = ["chunk_id", "source_id", "chunk_index", "text", "token_count"]
+    assert bag(corpus.chunks, *columns) == bag(joined, *columns)
+    assert "text" not in corpus.vectors.columns and "embedding" not in corpus.chunks.columns
+    columns = ["chunk_id", "source_id", "embedding"]
+    assert bag(corpus.vectors, *columns) == bag(joined.filter("embedding IS NOT NULL"), *columns)
+    assert bag(spark.read.parquet(corpus.postings), "chunk_id", "term", "tf") == bag(lexical.postings(joined), "chunk_id", "term", "tf")

@@ -66,7 +66,11 @@ def chunk_documents(
     sources: DataFrame, text: str = "text", keep: Sequence[str] = ("source_id",), **sizes: int
 ) -> DataFrame:
     """One row per chunk: the kept columns, ``chunk_index``, ``text``, ``token_count``."""
-    pieces = with_pieces(sources.select(*dict.fromkeys([*keep, text])), text, **sizes)
+    return chunks_of_pieces(with_pieces(sources.select(*dict.fromkeys([*keep, text])), text, **sizes), keep)
+
+
+def chunks_of_pieces(pieces: DataFrame, keep: Sequence[str] = ("source_id",)) -> DataFrame:
+    """The chunks of rows that have ``pieces``."""
     # The outer form, because Spark would turn the inner one into a filter on
     # the size of the array and compute all windows a second time for it.
     rows = pieces.select(*keep, F.posexplode_outer("pieces").alias("chunk_index", "piece"))

@@ -66,10 +66,12 @@ def search(
     limit: int = 10,
     kind: str | None = None,
     index: DataFrame | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Hybrid top-``limit`` chunks; lexical only when there is no query vector.
 
     ``index`` holds stored postings; without it the texts are scanned.
+    ``vectors`` holds the embedded chunks where ``chunks`` has no vectors.
 
     The lists are cut to twice the limit before fusion, so everything after
     the two top-k steps handles at most 200 rows. Texts join in at the end.
@@ -81,24 +83,30 @@ def search(
         index = lexical.scan(chunks, terms, ["chunk_id", "source_id"])
     lists = []
     if query_vector is not None:
-        lists.append(ranked(vector.vector_topk(chunks, query_vector, fetch, sources, kind)))
+        lists.append(ranked(vector.vector_topk(chunks if vectors is None else vectors, query_vector, fetch, sources, kind)))
     lists.append(ranked(lexical.lexical_topk(index, terms, fetch, sources, kind)))
     best = rrf(lists).orderBy(*_fused_order()).limit(limit)
     return with_sources(best, chunks, sources).orderBy(*_fused_order())
 
 
 def search_batch(
-    chunks: DataFrame, queries: DataFrame, k: int = 3, key: str = "query_id", index: DataFrame | None = None
+    chunks: DataFrame,
+    queries: DataFrame,
+    k: int = 3,
+    key: str = "query_id",
+    index: DataFrame | None = None,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Hybrid top-k for every row of ``queries`` (``key, query, embedding``).
 
     ``index`` holds stored postings; without it they are made from the texts.
+    ``vectors`` holds the embedded chunks where ``chunks`` has no vectors.
     The postings and the vectors are each read once for all queries; a cell
     leaves at most ``2 * k`` rows per query.
     """
     index = lexical.postings(chunks) if index is None else index
     fetch = k * fixed.OVERFETCH
-    by_vector = vector.vector_topk_batch(chunks, queries, fetch, key)
+    by_vector = vector.vector_topk_batch(chunks if vectors is None else vectors, queries, fetch, key)
     by_word = lexical.lexical_topk_batch(index, queries, fetch, key)
     fused = rrf([by_vector, by_word], group=[key])
     return best_per_group(fused, [key], _fused_order(), k, "position")

@@ -139,6 +139,7 @@ def hybrid_search(spark, sf_dir):
         inputs.query_vector(spark, sf_dir),
         limit=TOP,
         index=lexical.read_index(spark, corpus.postings, lexical.query_terms(spark, query)),
+        vectors=corpus.vectors,
     )
     return hits.select(
         "chunk_id", "source_id", "kind", "origin", "title", "chunk_index", "text",
@@ -159,7 +160,8 @@ def hybrid_search_json(spark, sf_dir):
 
 def hybrid_batch(spark, sf_dir):
     corpus = inputs.corpus(spark, sf_dir)
-    hits = fusion.search_batch(corpus.chunks, inputs.queries(spark, sf_dir), index=spark.read.parquet(corpus.postings))
+    index = spark.read.parquet(corpus.postings)
+    hits = fusion.search_batch(corpus.chunks, inputs.queries(spark, sf_dir), index=index, vectors=corpus.vectors)
     return hits.select(
         "query_id", "position", "chunk_id", F.round("fusion_score", 6).alias("fusion_score")
     )
