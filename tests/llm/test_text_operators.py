@@ -194,6 +194,47 @@ def test_near_copies_are_proposed_by_fingerprints(spark):
     assert {(0, 1), (0, 3)} <= got and not any(2 in pair for pair in got)
 
 
+def test_values_that_nodes_share(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_VALUES", 12_000)
+    monkeypatch.setattr(simhash, "TASK_VALUES", 3_000)
+    rnd = random.Random(9)
+    parts = [(list(range(22)), 0), (list(range(22, 43)), 0), (list(range(43, 64)), 1)]
+    drawn = lambda: [rnd.getrandbits(64) for _ in range(simhash.FINGERPRINTS)]
+    hub, prints = drawn(), [drawn() for _ in range(25)]
+    # A large group that differs in few bits: its values stand several times in every block.
+    prints += [[x ^ (1 << rnd.randrange(64)) for x in hub] for _ in range(15)]
+    want = {}
+    for row, own in enumerate(prints):
+        for number, x in enumerate(own):
+            for k, (group, t) in enumerate(parts):
+                key = x & sum(1 << b for b in group)
+                for flip in [0, *(1 << b for b in group if t)]:
+                    want.setdefault((number, k, key ^ flip), set()).add(7 * row << 33)
+    signed = [(7 * row << 33, [x - (1 << 64) if x >> 63 else x for x in own]) for row, own in enumerate(prints)]
+    nodes = spark.createDataFrame(signed, "row long, prints array<long>").repartition(3)
+    got = simhash.shared_values(nodes, parts).groupBy("at").agg(F.sort_array(F.collect_list("row")).alias("rows")).collect()
+    assert Counter(tuple(r.rows) for r in got) == Counter(tuple(sorted(x)) for x in want.values() if len(x) > 1)
+    assert max(len(r.rows) for r in got) == 15
+    assert simhash.shared_values(nodes.filter("false"), parts).count() == 0
+
+
+def test_one_of_each_shuffles_little(spark):
+    rnd = random.Random(10)
+    rows = [(k, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(500)), "en", "a") for k in range(1500)]
+    rows += [(2000 + k, rows[k][1] + " tail", "en", "a") for k in range(100)]
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {found.apply(i).getPath(): found.apply(i).length() for i in range(found.size())}
+
+    before = files()
+    assert {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, brute.SCHEMA)).collect()} == set(range(1500))
+    shuffled = sum(n for path, n in files().items() if path not in before and "shuffle_" in path)
+    # Neither a row for each of 192 values of a text nor the texts themselves are shuffled.
+    assert 0 < shuffled < 10 * 192 * len(rows)
+
+
 @pytest.mark.parametrize(("window", "hot"), [(35, 4096), (10, 4096), (10, 0)])
 def test_substrings(docs, none, monkeypatch, window, hot):
     monkeypatch.setattr(substrings, "HOT_RUNS", hot)

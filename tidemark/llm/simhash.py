@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import components, rows, words
+from tidemark.llm.interpolation import _pack, _pack_sorted, _unpack, _unpack_sorted
 from tidemark.sources import workdir
 
 BITS = 64
@@ -47,6 +48,9 @@ HASH_WORDS, SHARING = 1024, 8
 CHECKED, DEVIATIONS = 2, 6
 # Part values of three nodes or more are broadcast up to this number.
 BROADCAST_VALUES = 200_000
+# Part values that a block of nodes sends at once, and that a task brings together; of their hashes the lower half travels.
+BLOCK_VALUES, TASK_VALUES = 800_000, 1_000_000
+LOW = np.uint64((1 << 32) - 1)
 
 
 def _shingle_hashes(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,15 +317,64 @@ def _far(percent: int) -> int:
     return math.ceil(bits * p + DEVIATIONS * math.sqrt(bits * p * (1 - p)))
 
 
-def _part_values(parts: list[tuple[list[int], int]]) -> Column:
-    """The values of all parts of all fingerprints ``prints``, with the enumerated differences."""
+def _part_values(prints: np.ndarray, parts: list[tuple[list[int], int]]) -> np.ndarray:
+    """Hashes of the values of all parts of all fingerprints, with the enumerated differences: a row per text."""
+    out = []
+    for k, (group, t) in enumerate(parts):
+        flips = np.array(_all_flips(group, t), np.int64).view(np.uint64)
+        mask = np.array(_mask(group), np.int64).view(np.uint64)
+        for number in range(prints.shape[1]):
+            salt = words.mixed(np.array([number * len(parts) + k]))
+            out.append(words.mixed((prints[:, number, None] & mask) ^ flips ^ salt))
+    return np.hstack(out)
 
-    def values(number: int, k: int, group: list[int], t: int) -> Column:
-        own = F.get("prints", F.lit(number)).bitwiseAND(F.lit(_mask(group)))
-        of = lambda key: F.xxhash64(F.lit(number * len(parts) + k), key)
-        return F.transform(F.lit(_all_flips(group, t)).cast("array<bigint>"), lambda x: of(own.bitwiseXOR(x))) if t else F.array(of(own))
 
-    return F.flatten(F.array(*[values(number, k, *part) for number in range(FINGERPRINTS) for k, part in enumerate(parts)]))
+def shared_values(nodes: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
+    """(at, row): the nodes ``(row, prints)`` at each part's value that more than one of them has; a saved table.
+
+    Most values stand alone, so they travel packed: a block of nodes sends each
+    task that brings values together its values in order, as 32 bits of their
+    hash and the numbers of their rows. Values of equal hash count as one value.
+    A task unpacks one block's rows at a time, so a value may have any number.
+    """
+    width = FINGERPRINTS * sum(len(_all_flips(*part)) for part in parts)
+    tasks = max(1, math.ceil(nodes.count() * width / TASK_VALUES))
+    size = max(1, BLOCK_VALUES // width)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(0).to_numpy().view(np.uint64)
+            prints = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, FINGERPRINTS)
+            for first in range(0, len(numbers), size):
+                found = _part_values(prints[first : first + size], parts).ravel()
+                at = (found >> np.uint64(32)) % np.uint64(tasks) << np.uint64(32) | found & LOW
+                order = np.argsort(at, kind="stable")
+                at, held = at[order], numbers[first + order // width]
+                cuts = np.searchsorted(at, np.arange(tasks + 1, dtype=np.uint64) << np.uint64(32)).tolist()
+                some = [k for k in range(tasks) if cuts[k] < cuts[k + 1]]
+                values = [_pack_sorted(at[cuts[k] : cuts[k + 1]] & LOW) for k in some]
+                packed = [_pack(held[cuts[k] : cuts[k + 1]]) for k in some]
+                columns = [pa.array(some, pa.int64()), pa.array(values, pa.binary()), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["task", "values", "rows"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in rows.groups(batches, 0):
+            several = []
+            for run in table["values"]:
+                values = _unpack_sorted(run.as_py())
+                # Once, or twice if the block has it more often.
+                several += [np.unique(values), np.unique(values[1:][values[1:] == values[:-1]])]
+            every = np.sort(np.concatenate(several))
+            several = np.unique(every[1:][every[1:] == every[:-1]])
+            for run, numbers in zip(table["values"], table["rows"]):
+                values = _unpack_sorted(run.as_py())
+                held = np.isin(values, several)
+                at = np.uint64(table["task"][0].as_py() << 32) | values[held]
+                row = _unpack(numbers.as_py())[held]
+                yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(row.view(np.int64))], ["at", "row"])
+
+    sent = nodes.select("row", "prints").mapInArrow(send, "task long, values binary, rows binary")
+    return workdir.saved(sent.repartition("task").sortWithinPartitions("task").mapInArrow(meet, "at long, row long"), "shared")
 
 
 def print_links(nodes: DataFrame, percent: int, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -332,36 +385,49 @@ def print_links(nodes: DataFrame, percent: int, verified: Callable[[DataFrame],
     Pairs within that distance in any fingerprint are found for certain, others
     by chance in any part of any of them. As in ``links``, the ends of a value
     are compared first, each member with both ends, and then members of other
-    components.
+    components. Until then a node is its row's number, which is short.
     """
+    nodes = workdir.saved(nodes.select(F.monotonically_increasing_id().alias("row"), "node", "prints"), "texts")
     parts = plan(*_bit_pairs(nodes.select(F.get("prints", F.lit(0)).alias("fp"))), CERTAIN)
     checks = [f"c{k}" for k in range(CHECKED)]
-    checked = nodes.select("node", *[F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(checks)])
+    checked = nodes.select("row", "node", *[F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(checks)])
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in checks), F.lit(0))
     others_of = lambda df: df.select(*[F.col(c).alias(f"other_{c}") for c in df.columns])
     near = differ <= _far(percent)
 
-    posted = nodes.select("node", F.explode(_part_values(parts)).alias("at"))
-    ends = posted.groupBy("at").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-    ends = workdir.saved(ends.filter("n > 1"), "ends")
+    posted = shared_values(nodes, parts)
+    ends = posted.groupBy("at").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("n"))
+    ends = workdir.saved(ends.filter("low < high"), "ends")
     large = ends.filter("n > 2").select("at", "low", "high")
     large = F.broadcast(large) if large.count() <= BROADCAST_VALUES else large
-    shared = workdir.saved(posted.join(large, "at"), "shared")
+    shared = workdir.saved(posted.join(large, "at"), "large")
     met = ends.select(F.col("low").alias("a"), F.col("high").alias("b"))
     for end in ("low", "high"):
-        met = met.union(shared.filter(F.col("node") != F.col(end)).select(F.least("node", end), F.greatest("node", end)))
-    left = met.distinct().join(checked.withColumnRenamed("node", "a"), "a")
-    close = left.join(others_of(checked).withColumnRenamed("other_node", "b"), "b").filter(near).select("a", "b")
-    linked = workdir.saved(verified(close), "links")
+        met = met.union(shared.filter(F.col("row") != F.col(end)).select(F.least("row", end), F.greatest("row", end)))
+    left = met.distinct().join(checked.withColumnRenamed("row", "a"), "a")
+    close = left.join(others_of(checked).withColumnRenamed("other_row", "b"), "b").filter(near)
+    ordered = lambda df: df.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+    linked = workdir.saved(verified(ordered(close)), "links")
 
     roots = components.roots(linked).withColumnRenamed("root", "part_of")
-    parted = shared.select("at", "node").join(roots, "node", "left").select("at", "node", F.coalesce("part_of", "node").alias("part_of"))
+    parted = shared.select("at", "row").join(checked, "row").join(roots, "node", "left")
+    parted = parted.select("at", "node", *checks, F.coalesce("part_of", "node").alias("part_of"))
     mixed = parted.groupBy("at").agg(F.min("part_of").alias("low"), F.max("part_of").alias("high")).filter(F.col("low") != F.col("high"))
-    asking = workdir.saved(parted.join(mixed.select("at"), "at").join(checked, "node"), "parted")
+    asking = workdir.saved(parted.join(mixed.select("at"), "at"), "parted")
     others = others_of(asking).withColumnRenamed("other_at", "at")
     rest = asking.join(others, "at").filter((F.col("part_of") != F.col("other_part_of")) & (F.col("node") < F.col("other_node")) & near)
-    rest = rest.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
-    return linked.union(workdir.saved(verified(rest), "links"))
+    return linked.union(workdir.saved(verified(ordered(rest).distinct()), "links"))
+
+
+def _chosen(marked: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``marked`` whose number ``row`` is in ``chosen``. One bit a row is broadcast, so whole rows are not shuffled."""
+    number = F.col("row") + 1  # buckets are counted from 1
+    numbers = chosen.select(F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("place"))
+    bits = numbers.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    place = F.bitmap_bit_position(number).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    has = F.getbit(byte, place % 8) == 1
+    return marked.join(F.broadcast(bits), (F.bitmap_bucket_number(number) == F.col("bucket")) & has, "left_semi")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = SIMILAR) -> DataFrame:
@@ -383,22 +449,23 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
         F.monotonically_increasing_id().alias("row"),
     )
     marked = workdir.saved(marked, "marked")
-    printed = marked.select("node", fingerprints(F.col(f"doc.`{text}`"), shingle).alias("prints"))
-    nodes = workdir.saved(printed.groupBy("node").agg(F.any_value("prints").alias("prints")), "texts")
-    texts = marked.select("node", rows.text_of(f"doc.`{text}`").alias("text"))
+    # One row of each text.
+    nodes = workdir.saved(marked.groupBy("node").agg(F.min("row").alias("row")), "nodes")
+    printed = _chosen(marked, nodes).select("node", fingerprints(F.col(f"doc.`{text}`"), shingle).alias("prints"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = workdir.saved(pairs, "pairs")
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        met = texts.join(asked, "node").groupBy("node").agg(F.any_value("text").alias("text"))
-        return similar(pairs, workdir.saved(met.select("node", shingle_set(F.col("text"), shingle).alias("shingles")), "shingles"), percent)
+        met = _chosen(marked, nodes.join(asked, "node", "left_semi"))
+        sets = met.select("node", shingle_set(rows.text_of(f"doc.`{text}`"), shingle).alias("shingles"))
+        return similar(pairs, workdir.saved(sets, "shingles"), percent)
 
-    roots = components.roots(print_links(nodes, percent, verified))
+    roots = components.roots(print_links(printed, percent, verified))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     first = marked.select("node", order.alias("o")).groupBy("node").agg(F.min("o").alias("o"))
     rooted = first.join(roots, "node", "left").select("o", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("o").alias("o")).select(F.col("o.row").alias("row"))
-    return rows.unpacked(marked.join(stays, "row", "left_semi"))
+    return rows.unpacked(_chosen(marked, stays))
 
 
 rows.shipped(__name__)
