@@ -159,6 +159,19 @@ def test_nbest(tables):
         assert np.allclose(e.scores[k], plain_nbest(tables, text, 4), atol=1e-3)
 
 
+def test_slices_take_little_memory(tables):
+    import tracemalloc
+
+    rnd = random.Random(4)
+    texts = pa.array([" ".join(f"w{rnd.randrange(10**6)}" for _ in range(400)) for _ in range(1200)])
+    tracemalloc.start()
+    for part in pieces.slices(texts):
+        pieces.encode_slice(tables, part, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
 def test_ties_and_long_chunks_cost_no_more_than_their_length(tables):
     import time
 

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import rows, words
 
-SLICE = 1 << 21
+# A task holds over 100 bytes for each byte of a slice.
+SLICE = 1 << 19
 # Chunks of more bytes are scored edge by edge; the others all together.
 LONG = 512
 _LOW = -1e30
