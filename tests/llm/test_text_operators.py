@@ -1,7 +1,11 @@
 """Operators on document texts against plain answers, with rows of every odd kind."""
 
+import contextlib
+import glob
 import math
+import os
 import random
+import threading
 from collections import Counter
 
 import brute
@@ -222,15 +226,25 @@ def test_one_of_each_shuffles_little(spark):
     rnd = random.Random(10)
     rows = [(k, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(500)), "en", "a") for k in range(1500)]
     rows += [(2000 + k, rows[k][1] + " tail", "en", "a") for k in range(100)]
-    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
-
-    def files():
-        found = disk.getAllFiles()
-        return {found.apply(i).getPath(): found.apply(i).length() for i in range(found.size())}
-
-    before = files()
-    assert {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, brute.SCHEMA)).collect()} == set(range(1500))
-    shuffled = sum(n for path, n in files().items() if path not in before and "shuffle_" in path)
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    sizes, ended = {}, threading.Event()
+
+    def look():  # Spark may delete a file before the end
+        while not ended.wait(0.05):
+            for path in (f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")):
+                with contextlib.suppress(OSError):
+                    sizes[path] = max(sizes.get(path, 0), os.path.getsize(path))
+
+    before = {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    looking = threading.Thread(target=look)
+    looking.start()
+    try:
+        got = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, brute.SCHEMA)).collect()}
+    finally:
+        ended.set()
+        looking.join()
+    assert got == set(range(1500))
+    shuffled = sum(n for path, n in sizes.items() if path not in before)
     # Neither a row for each of 192 values of a text nor the texts themselves are shuffled.
     assert 0 < shuffled < 10 * 192 * len(rows)
 
