@@ -222,6 +222,65 @@ def test_values_that_nodes_share(spark, monkeypatch):
     assert simhash.shared_values(nodes.filter("false"), parts).count() == 0
 
 
+def test_nodes_that_meet_by_chance_are_dropped_where_they_meet(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_VALUES", 4_000)
+    monkeypatch.setattr(simhash, "TASK_VALUES", 9_000)
+    monkeypatch.setattr(simhash, "MET_LAGS", 8)
+    rnd = random.Random(11)
+    parts, most = [(list(range(10)), 0), (list(range(10, 20)), 0)], 14
+    drawn = lambda: [rnd.getrandbits(64) for _ in range(simhash.FINGERPRINTS)]
+    prints = [drawn() for _ in range(200)]
+    prints += [[x ^ sum(1 << rnd.randrange(64) for _ in range(6)) % (1 << 64) for x in own] for own in prints[:40]]
+    # A value of more nodes than are compared there: all stay, though their other bits are far.
+    hub = rnd.getrandbits(10)
+    prints += [[own[0] >> 10 << 10 | hub, *own[1:]] for own in (drawn() for _ in range(15))]
+    values = {}
+    for row, own in enumerate(prints):
+        for number, x in enumerate(own):
+            for k in (0, 10):
+                values.setdefault((number, k, x >> k & 1023), []).append(row)
+    want = Counter()
+    for (number, *_), met in values.items():
+        near = [a for a in met if any(a != b and (prints[a][number] ^ prints[b][number]).bit_count() <= most for b in met)]
+        want[tuple(met if len(met) > 9 else near)] += 1
+    signed = [(row, [x - (1 << 64) if x >> 63 else x for x in own]) for row, own in enumerate(prints)]
+    nodes = spark.createDataFrame(signed, "row long, prints array<long>").repartition(3)
+    got = simhash.shared_values(nodes, parts, most).groupBy("at").agg(F.sort_array(F.collect_list("row")).alias("rows")).collect()
+    del want[()]
+    assert Counter(tuple(r.rows) for r in got) == want
+    assert max(len(r.rows) for r in got) >= 15 and sum(len(x) > 1 for x in values.values()) > 2 * len(got)
+
+
+def test_relatives_are_told_from_near_copies_before_they_are_verified(spark, monkeypatch):
+    rnd = random.Random(12)
+    base = [f"v{rnd.randrange(4000)}" for _ in range(400)]
+    rows = []
+    for k in range(150):
+        at, n = rnd.randrange(300), rnd.randrange(20, 100)
+        rows.append((k, " ".join(base[:at] + [f"n{rnd.randrange(4000)}" for _ in range(30)] + base[at + n :]), "en", "a"))
+    # The smallest sets that can be alike: their bits are often tied, so more of them differ.
+    rows += [(200 + 2 * k + j, " ".join(f"s{k}x{i}" for i in range(8 + j)), "en", "a") for k in range(40) for j in range(2)]
+    sets = [brute.shingles(t) for _, t, *_ in rows]
+    alike = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    roots = brute.components(len(rows), alike)
+    groups = {}
+    for (doc_id, *_), root in zip(rows, roots):
+        groups[root] = min(doc_id, groups.get(root, doc_id))
+    similar, asked = simhash.similar, []
+
+    def counted(pairs, *args):
+        asked.append(pairs.count())
+        return similar(pairs, *args)
+
+    monkeypatch.setattr(simhash, "similar", counted)
+    got = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, brute.SCHEMA)).collect()}
+    large = {x for x in groups.values() if x < 200}
+    assert {x for x in got if x < 200} == large
+    # A pair of four and five shingles shares no value with a chance of one in ten.
+    assert len(got) - len(large) <= 48
+    assert 0 < sum(asked) < 150 * 149 / 2 / 3
+
+
 def test_one_of_each_shuffles_little(spark):
     rnd = random.Random(10)
     rows = [(k, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(500)), "en", "a") for k in range(1500)]

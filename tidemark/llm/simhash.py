@@ -20,6 +20,7 @@ together. An empty table has no fingerprints and no links.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Callable, Iterator
@@ -44,13 +45,19 @@ SIMILAR = 80
 FINGERPRINTS, CERTAIN = 64, 2
 # Random words of their bits, of which a shingle's hash chooses one; so many fingerprints share a choice.
 HASH_WORDS, SHARING = 1024, 8
-# The first fingerprints tell candidates from chance meetings: so many, and standard deviations beyond the mean.
-CHECKED, DEVIATIONS = 2, 6
+# The first fingerprints tell candidates from chance meetings and far relatives: so many, and standard deviations beyond the mean.
+CHECKED, DEVIATIONS = 32, 5
+# An even number of shingles may be tied. The share of bits that differs between four and five, and below which
+# the bits set tell of less than some 40.
+TIED, FEW = 3 / 16, 0.44
+# Nodes that meet in a value of up to this many others are compared on its whole fingerprint there.
+MET_DEVIATIONS, MET_LAGS = 3.5, 64
+# Times that each node's nearest ends are verified before all others.
+ROUNDS = 2
 # Part values of three nodes or more are broadcast up to this number.
 BROADCAST_VALUES = 200_000
-# Part values that a block of nodes sends at once, and that a task brings together; of their hashes the lower half travels.
-BLOCK_VALUES, TASK_VALUES = 800_000, 1_000_000
-LOW = np.uint64((1 << 32) - 1)
+# Part values that a block of nodes sends at once, and that a task brings together.
+BLOCK_VALUES, TASK_VALUES = 1_600_000, 2_000_000
 
 
 def _shingle_hashes(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,71 +316,110 @@ def fingerprints(text: Column, shingle: int) -> Column:
     return of(text)
 
 
-def _far(percent: int) -> int:
-    """Bits in which the checked fingerprints of sets alike in ``percent`` of their union do not differ, but by rare chance."""
+def _chance(percent: int) -> float:
+    """The chance that a bit differs between sets alike in ``percent`` of their union."""
     share = percent / 100
-    p = math.acos(2 * share / (1 + share)) / math.pi
-    bits = BITS * CHECKED
-    return math.ceil(bits * p + DEVIATIONS * math.sqrt(bits * p * (1 - p)))
+    return math.acos(2 * share / (1 + share)) / math.pi
 
 
-def _part_values(prints: np.ndarray, parts: list[tuple[list[int], int]]) -> np.ndarray:
-    """Hashes of the values of all parts of all fingerprints, with the enumerated differences: a row per text."""
-    out = []
-    for k, (group, t) in enumerate(parts):
-        flips = np.array(_all_flips(group, t), np.int64).view(np.uint64)
-        mask = np.array(_mask(group), np.int64).view(np.uint64)
-        for number in range(prints.shape[1]):
-            salt = words.mixed(np.array([number * len(parts) + k]))
-            out.append(words.mixed((prints[:, number, None] & mask) ^ flips ^ salt))
-    return np.hstack(out)
+def _most(p: float, bits: int, deviations: float) -> int:
+    """How many bits differ at most, but by rare chance, if each does with the chance ``p``."""
+    return math.floor(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
-def shared_values(nodes: DataFrame, parts: list[tuple[list[int], int]]) -> DataFrame:
+def _columns(parts: list[tuple[list[int], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fingerprint, mask, what is flipped and the part's salt) of every value that a text has."""
+    number, mask, change = [], [], []
+    for k, (group, t) in enumerate(parts):
+        for n in range(FINGERPRINTS):
+            salt = words.mixed(np.array([n * len(parts) + k]))
+            for flip in np.array(_all_flips(group, t), np.int64).view(np.uint64):
+                number.append(n)
+                mask.append(_mask(group))
+                change.append((flip ^ salt)[0])
+    return np.array(number), np.array(mask, np.int64).view(np.uint64), np.array(change, np.uint64)
+
+
+def _met(at: np.ndarray, prints: np.ndarray, most: int) -> np.ndarray:
+    """Which of the values, in order of ``at``, have an equal one whose fingerprint differs in ``most`` bits at most."""
+    met = np.zeros(len(at), bool)
+    for lag in range(1, MET_LAGS + 1):
+        first = np.flatnonzero(at[lag:] == at[:-lag])
+        if not len(first):
+            break
+        first = first[np.bitwise_count(prints[first] ^ prints[first + lag]) <= most]
+        met[first] = met[first + lag] = True
+    return met
+
+
+def shared_values(nodes: DataFrame, parts: list[tuple[list[int], int]], most: int = BITS) -> DataFrame:
     """(at, row): the nodes ``(row, prints)`` at each part's value that more than one of them has; a saved table.
 
-    Most values stand alone, so they travel packed: a block of nodes sends each
-    task that brings values together its values in order, as 32 bits of their
-    hash and the numbers of their rows. Values of equal hash count as one value.
-    A task unpacks one block's rows at a time, so a value may have any number.
+    Of the nodes that meet in a value of up to ``MET_LAGS`` of them only those are kept that differ
+    from another one there in ``most`` bits of the part's whole fingerprint at most.
+
+    Most values stand alone or are met by chance, so they travel packed: a block
+    of nodes sends each task that brings values together the numbers of the
+    values, of the rows and the fingerprints. A task unpacks one block's
+    share at a time, and values of many nodes are not gathered, so a value may have any number.
     """
-    width = FINGERPRINTS * sum(len(_all_flips(*part)) for part in parts)
+    number, mask, change = _columns(parts)
+    width = len(number)
     tasks = max(1, math.ceil(nodes.count() * width / TASK_VALUES))
     size = max(1, BLOCK_VALUES // width)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers = batch.column(0).to_numpy().view(np.uint64)
-            prints = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, FINGERPRINTS)
+            every = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, FINGERPRINTS)
             for first in range(0, len(numbers), size):
-                found = _part_values(prints[first : first + size], parts).ravel()
-                at = (found >> np.uint64(32)) % np.uint64(tasks) << np.uint64(32) | found & LOW
-                order = np.argsort(at, kind="stable")
-                at, held = at[order], numbers[first + order // width]
-                cuts = np.searchsorted(at, np.arange(tasks + 1, dtype=np.uint64) << np.uint64(32)).tolist()
+                prints = np.ascontiguousarray(every[first : first + size].T)
+                task = np.empty((width, prints.shape[1]), np.uint32)
+                for k in range(width):
+                    at = words.mixed((prints[number[k]] & mask[k]) ^ change[k])
+                    task[k] = (at >> np.uint64(32)) % np.uint64(tasks)
+                task = task.ravel().astype(np.uint16) if tasks <= 1 << 16 else task.ravel()
+                order = np.argsort(task, kind="stable")
+                cuts = np.searchsorted(task[order], np.arange(tasks + 1)).tolist()
+                column, row = order // prints.shape[1], order % prints.shape[1]
+                held, bits = numbers[first + row], prints[number[column], row]
                 some = [k for k in range(tasks) if cuts[k] < cuts[k + 1]]
-                values = [_pack_sorted(at[cuts[k] : cuts[k + 1]] & LOW) for k in some]
-                packed = [_pack(held[cuts[k] : cuts[k + 1]]) for k in some]
-                columns = [pa.array(some, pa.int64()), pa.array(values, pa.binary()), pa.array(packed, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["task", "values", "rows"])
+                pieces = [slice(cuts[k], cuts[k + 1]) for k in some]
+                columns = [pa.array(some, pa.int64()), pa.array([_pack_sorted(column[x].astype(np.uint64)) for x in pieces], pa.binary())]
+                columns += [pa.array([_pack(y[x]) for x in pieces], pa.binary()) for y in (held, bits)]
+                yield pa.RecordBatch.from_arrays(columns, ["task", "columns", "rows", "prints"])
+
+    def values(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
+        column = _unpack_sorted(table["columns"][k].as_py()).astype(np.int64)
+        bits = _unpack(table["prints"][k].as_py())
+        return words.mixed((bits & mask[column]) ^ change[column]), bits
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in rows.groups(batches, 0):
-            several = []
-            for run in table["values"]:
-                values = _unpack_sorted(run.as_py())
-                # Once, or twice if the block has it more often.
-                several += [np.unique(values), np.unique(values[1:][values[1:] == values[:-1]])]
-            every = np.sort(np.concatenate(several))
-            several = np.unique(every[1:][every[1:] == every[:-1]])
-            for run, numbers in zip(table["values"], table["rows"]):
-                values = _unpack_sorted(run.as_py())
-                held = np.isin(values, several)
-                at = np.uint64(table["task"][0].as_py() << 32) | values[held]
-                row = _unpack(numbers.as_py())[held]
-                yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), pa.array(row.view(np.int64))], ["at", "row"])
-
-    sent = nodes.select("row", "prints").mapInArrow(send, "task long, values binary, rows binary")
+            several, often = [], []
+            for k in range(len(table)):
+                at, count = np.unique(values(table, k)[0], return_counts=True)
+                several.append(at)
+                often.append(count)
+            several, often = np.concatenate(several), np.concatenate(often)
+            order = np.argsort(several)
+            several, start = np.unique(several[order], return_index=True)
+            often = np.add.reduceat(often[order], start) if len(start) else often
+            gathered = []
+            for k in range(len(table)):
+                at, bits = values(table, k)
+                row = _unpack(table["rows"][k].as_py())
+                count = often[np.searchsorted(several, at)]
+                if (held := count > MET_LAGS + 1).any():
+                    yield pa.RecordBatch.from_arrays([pa.array(at[held].view(np.int64)), pa.array(row[held].view(np.int64))], ["at", "row"])
+                held = (count > 1) & ~held
+                gathered.append((at[held], row[held], bits[held]))
+            at, row, bits = (np.concatenate(x) for x in zip(*gathered))
+            order = np.argsort(at, kind="stable")
+            order = order[_met(at[order], bits[order], most)]
+            yield pa.RecordBatch.from_arrays([pa.array(at[order].view(np.int64)), pa.array(row[order].view(np.int64))], ["at", "row"])
+
+    sent = nodes.select("row", "prints").mapInArrow(send, "task long, columns binary, rows binary, prints binary")
     return workdir.saved(sent.repartition("task").sortWithinPartitions("task").mapInArrow(meet, "at long, row long"), "shared")
 
 
@@ -383,19 +429,27 @@ def print_links(nodes: DataFrame, percent: int, verified: Callable[[DataFrame],
     Parts and thresholds are planned for the distance ``CERTAIN`` on the first
     fingerprint; the others are drawn in the same way and take the same plan.
     Pairs within that distance in any fingerprint are found for certain, others
-    by chance in any part of any of them. As in ``links``, the ends of a value
-    are compared first, each member with both ends, and then members of other
-    components. Until then a node is its row's number, which is short.
+    by chance in any part of any of them. As in ``links``, members of a value are
+    compared with its ends first. Each node's smallest and nearest ends are
+    verified before any other pair, and again its nearest ones in other components; most of a
+    large group is one component then. Verified after that are only pairs of
+    different components: what is left of the ends, and members of a value.
+    Until then a node is its row's number, which is short.
     """
-    nodes = workdir.saved(nodes.select(F.monotonically_increasing_id().alias("row"), "node", "prints"), "texts")
+    ones = F.aggregate("prints", F.lit(0), lambda n, x: n + F.bit_count(x))
+    few = (ones < FEW * BITS * FINGERPRINTS).alias("few")
+    nodes = workdir.saved(nodes.select(F.monotonically_increasing_id().alias("row"), "node", "prints", few), "texts")
     parts = plan(*_bit_pairs(nodes.select(F.get("prints", F.lit(0)).alias("fp"))), CERTAIN)
     checks = [f"c{k}" for k in range(CHECKED)]
-    checked = nodes.select("row", "node", *[F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(checks)])
+    checked = nodes.select("row", "node", "few", *[F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(checks)])
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in checks), F.lit(0))
     others_of = lambda df: df.select(*[F.col(c).alias(f"other_{c}") for c in df.columns])
-    near = differ <= _far(percent)
+    ordered = lambda df: df.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
+    limit = lambda p: F.lit(_most(p, BITS * CHECKED, DEVIATIONS))
+    usual = _chance(percent)
+    near = differ <= F.when(F.col("few") | F.col("other_few"), limit(max(TIED, usual))).otherwise(limit(usual))
 
-    posted = shared_values(nodes, parts)
+    posted = shared_values(nodes, parts, max(CERTAIN, _most(usual, BITS - min(len(group) for group, _ in parts), MET_DEVIATIONS)))
     ends = posted.groupBy("at").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("n"))
     ends = workdir.saved(ends.filter("low < high"), "ends")
     large = ends.filter("n > 2").select("at", "low", "high")
@@ -406,17 +460,32 @@ def print_links(nodes: DataFrame, percent: int, verified: Callable[[DataFrame],
         met = met.union(shared.filter(F.col("row") != F.col(end)).select(F.least("row", end), F.greatest("row", end)))
     left = met.distinct().join(checked.withColumnRenamed("row", "a"), "a")
     close = left.join(others_of(checked).withColumnRenamed("other_row", "b"), "b").filter(near)
-    ordered = lambda df: df.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
-    linked = workdir.saved(verified(ordered(close)), "links")
+    close = close.select(F.col("a").alias("row"), "node", F.col("b").alias("other_row"), "other_node", differ.alias("differ"))
+    close = workdir.saved(close, "close")
+
+    tried, linked, roots, left = [], [], None, close
+    for turn in range(ROUNDS):
+        turned = left.select(*[F.col(c).alias(d) for c, d in zip(["other_row", "other_node", "row", "node", "differ"], close.columns)])
+        wanted = [F.min(F.struct("differ", "other_row", "other_node")).other_node]
+        if not turn:
+            wanted.append(F.min(F.struct("other_row", "other_node")).other_node)
+        best = left.union(turned).groupBy("node").agg(F.array_distinct(F.array(*wanted)).alias("best"))
+        tried.append(workdir.saved(ordered(best.select("node", F.explode("best").alias("other_node"))), "best"))
+        linked.append(workdir.saved(verified(tried[-1]), "links"))
+        roots = components.roots(functools.reduce(DataFrame.union, linked)).withColumnRenamed("root", "part_of")
+        apart = F.coalesce("part_of", "node") != F.coalesce("other_part_of", "other_node")
+        left = close.join(roots, "node", "left").join(others_of(roots), "other_node", "left").filter(apart).select(close.columns)
 
-    roots = components.roots(linked).withColumnRenamed("root", "part_of")
     parted = shared.select("at", "row").join(checked, "row").join(roots, "node", "left")
-    parted = parted.select("at", "node", *checks, F.coalesce("part_of", "node").alias("part_of"))
+    parted = parted.select("at", "node", "few", *checks, F.coalesce("part_of", "node").alias("part_of"))
     mixed = parted.groupBy("at").agg(F.min("part_of").alias("low"), F.max("part_of").alias("high")).filter(F.col("low") != F.col("high"))
     asking = workdir.saved(parted.join(mixed.select("at"), "at"), "parted")
     others = others_of(asking).withColumnRenamed("other_at", "at")
     rest = asking.join(others, "at").filter((F.col("part_of") != F.col("other_part_of")) & (F.col("node") < F.col("other_node")) & near)
-    return linked.union(workdir.saved(verified(ordered(rest).distinct()), "links"))
+    rest = ordered(rest.select("node", "other_node").union(left.select("node", "other_node")))
+    rest = rest.join(functools.reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
+    linked.append(workdir.saved(verified(rest), "links"))
+    return functools.reduce(DataFrame.union, linked)
 
 
 def _chosen(marked: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -437,7 +506,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     share ``percent`` of their distinct shingles of ``shingle`` words are linked.
     At a share s a bit differs with a chance of p = acos(2s / (1 + s)) / pi at
     most, whatever the kind of edit, and with three parts a pair is missed with
-    (1 - (1 - p) ** (64 / 3)) ** (3 * FINGERPRINTS): 0.28 % at 0.80, 0.0032 % at 0.85.
+    (1 - (1 - p) ** (64 / 3)) ** (3 * FINGERPRINTS): 0.28 % at 0.80, 0.0032 % at 0.85
+    (0.281 % with the fingerprint compared where the pair meets, 0.279 % without).
+    Sets of less than some 40 shingles are tied more often: 3 / 16 of the bits of four and five differ.
     Groups are connected components. Equal texts are one node. Of
     rows that tie in id and text, one stays; missing ids come last.
     """
