@@ -57,7 +57,7 @@ ROUNDS = 2
 # Part values of three nodes or more are broadcast up to this number.
 BROADCAST_VALUES = 200_000
 # Part values that a block of nodes sends at once, and that a task brings together.
-BLOCK_VALUES, TASK_VALUES = 1_600_000, 2_000_000
+BLOCK_VALUES, TASK_VALUES = 800_000, 1_000_000
 
 
 def _shingle_hashes(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -374,19 +374,18 @@ def shared_values(nodes: DataFrame, parts: list[tuple[list[int], int]], most: in
             every = batch.column(1).flatten().to_numpy().view(np.uint64).reshape(-1, FINGERPRINTS)
             for first in range(0, len(numbers), size):
                 prints = np.ascontiguousarray(every[first : first + size].T)
-                task = np.empty((width, prints.shape[1]), np.uint32)
+                task = np.empty((width, prints.shape[1]), np.uint16 if tasks <= 1 << 16 else np.uint32)
                 for k in range(width):
                     at = words.mixed((prints[number[k]] & mask[k]) ^ change[k])
                     task[k] = (at >> np.uint64(32)) % np.uint64(tasks)
-                task = task.ravel().astype(np.uint16) if tasks <= 1 << 16 else task.ravel()
-                order = np.argsort(task, kind="stable")
-                cuts = np.searchsorted(task[order], np.arange(tasks + 1)).tolist()
-                column, row = order // prints.shape[1], order % prints.shape[1]
-                held, bits = numbers[first + row], prints[number[column], row]
+                order = np.argsort(task.ravel(), kind="stable")
+                cuts = [0, *np.cumsum(np.bincount(task.ravel(), minlength=tasks)).tolist()]
                 some = [k for k in range(tasks) if cuts[k] < cuts[k + 1]]
-                pieces = [slice(cuts[k], cuts[k + 1]) for k in some]
-                columns = [pa.array(some, pa.int64()), pa.array([_pack_sorted(column[x].astype(np.uint64)) for x in pieces], pa.binary())]
-                columns += [pa.array([_pack(y[x]) for x in pieces], pa.binary()) for y in (held, bits)]
+                packed = []
+                for k in some:
+                    column, row = np.divmod(order[cuts[k] : cuts[k + 1]], prints.shape[1])
+                    packed.append((_pack_sorted(column.astype(np.uint64)), _pack(numbers[first + row]), _pack(prints[number[column], row])))
+                columns = [pa.array(some, pa.int64()), *[pa.array(x, pa.binary()) for x in zip(*packed)]]
                 yield pa.RecordBatch.from_arrays(columns, ["task", "columns", "rows", "prints"])
 
     def values(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -400,11 +399,12 @@ def shared_values(nodes: DataFrame, parts: list[tuple[list[int], int]], most: in
             for k in range(len(table)):
                 at, count = np.unique(values(table, k)[0], return_counts=True)
                 several.append(at)
-                often.append(count)
+                often.append(count.astype(np.int32))
             several, often = np.concatenate(several), np.concatenate(often)
             order = np.argsort(several)
-            several, start = np.unique(several[order], return_index=True)
-            often = np.add.reduceat(often[order], start) if len(start) else often
+            several, often = several[order], often[order]
+            start = np.flatnonzero(np.diff(several, prepend=~several[:1]))
+            several, often = several[start], np.add.reduceat(often, start)
             gathered = []
             for k in range(len(table)):
                 at, bits = values(table, k)
