@@ -52,7 +52,7 @@ CHECKED, DEVIATIONS = 32, 5
 TIED, FEW = 3 / 16, 0.44
 # Nodes that meet in a value of up to this many others are compared on its whole fingerprint there.
 MET_DEVIATIONS, MET_LAGS = 3.5, 64
-# Times that each node's nearest ends are verified before all others.
+# Times that each node's nearest is verified before all others.
 ROUNDS = 2
 # Part values of three nodes or more are broadcast up to this number.
 BROADCAST_VALUES = 200_000
@@ -429,11 +429,11 @@ def print_links(nodes: DataFrame, percent: int, verified: Callable[[DataFrame],
     Parts and thresholds are planned for the distance ``CERTAIN`` on the first
     fingerprint; the others are drawn in the same way and take the same plan.
     Pairs within that distance in any fingerprint are found for certain, others
-    by chance in any part of any of them. As in ``links``, members of a value are
-    compared with its ends first. Each node's smallest and nearest ends are
-    verified before any other pair, and again its nearest ones in other components; most of a
+    by chance in any part of any of them. Members of a value are compared with
+    its smallest first. The smallest and the nearest of those are verified for each node
+    before any other pair, and again the nearest in another component; most of a
     large group is one component then. Verified after that are only pairs of
-    different components: what is left of the ends, and members of a value.
+    different components: what is left of these, and other members of a value.
     Until then a node is its row's number, which is short.
     """
     ones = F.aggregate("prints", F.lit(0), lambda n, x: n + F.bit_count(x))
@@ -452,12 +452,11 @@ def print_links(nodes: DataFrame, percent: int, verified: Callable[[DataFrame],
     posted = shared_values(nodes, parts, max(CERTAIN, _most(usual, BITS - min(len(group) for group, _ in parts), MET_DEVIATIONS)))
     ends = posted.groupBy("at").agg(F.min("row").alias("low"), F.max("row").alias("high"), F.count("*").alias("n"))
     ends = workdir.saved(ends.filter("low < high"), "ends")
-    large = ends.filter("n > 2").select("at", "low", "high")
+    large = ends.filter("n > 2").select("at", "low")
     large = F.broadcast(large) if large.count() <= BROADCAST_VALUES else large
     shared = workdir.saved(posted.join(large, "at"), "large")
-    met = ends.select(F.col("low").alias("a"), F.col("high").alias("b"))
-    for end in ("low", "high"):
-        met = met.union(shared.filter(F.col("row") != F.col(end)).select(F.least("row", end), F.greatest("row", end)))
+    met = ends.filter("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
+    met = met.union(shared.filter("row <> low").select("low", "row"))
     left = met.distinct().join(checked.withColumnRenamed("row", "a"), "a")
     close = left.join(others_of(checked).withColumnRenamed("other_row", "b"), "b").filter(near)
     close = close.select(F.col("a").alias("row"), "node", F.col("b").alias("other_row"), "other_node", differ.alias("differ"))
